@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from phyllo.llm import cross_split, grouped_splits, quota_sample, survivors
+from phyllo.llm import cross_split, grouped_splits, name_matching, quota_sample, survivors
 from phyllo.session import table
 
 
@@ -17,6 +17,14 @@ def p2_splits(spark: SparkSession, d: str) -> DataFrame:
     return grouped_splits.assign_splits(table(spark, d, "records"))
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return name_matching.match_names(table(spark, d, "name_answers"), table(spark, d, "plants"))
+
+
+def p3_unmatched(spark: SparkSession, d: str) -> DataFrame:
+    return name_matching.unmatched(table(spark, d, "name_answers"), table(spark, d, "plants"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return cross_split.overlap_pairs(table(spark, d, "records"), table(spark, d, "splits"))
 
@@ -48,6 +56,7 @@ def p6_survivors(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "p2_found": p2_found, "p2_splits": p2_splits,
+    "p3_found": p3_found, "p3_unmatched": p3_unmatched,
     "p4_found": p4_found, "p4_report": p4_report,
     "p5_found": p5_found, "p5_report": p5_report, "p5_sample": p5_sample,
     "p6_found": p6_found, "p6_survivors": p6_survivors,
