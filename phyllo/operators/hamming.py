@@ -1,8 +1,8 @@
 """Similarity self-join of 64-bit hashes within a Hamming distance: exact, and an equi-join inside code generation.
 
 The 64 bits are cut into ``t + 2`` bands. Two hashes within t bits agree on at least two bands, so each pair of bands is
-a key (28 keys of 16 bits for t = 6), and a pair of hashes is kept only under the first key on which it agrees, which
-needs no distinct. Beyond t = 8 keys of single bands (``t + 1`` of them) are used in the same way. Equal hashes are collapsed first, so blank pictures cost nothing. A key made of over-frequent band
+a key (28 keys of 16 bits for t = 6); pairs that are close on all 64 bits are kept, once. Beyond t = 8 keys of single
+bands (``t + 1`` of them) are used in the same way. Equal hashes are collapsed first, so blank pictures cost nothing. A key made of over-frequent band
 values only is refined by further bands of the remaining bits, in the same way and as exactly, so that band values
 which a third of all hashes share make no quadratic bucket; the list of such values is bounded by ``(t + 2) / hot``.
 """
@@ -45,18 +45,6 @@ def _packed(parts: list[tuple[Column, int]]) -> Column:
     return out
 
 
-def _agreed(x: Column, cuts: list[Cut], g: int) -> Column:
-    """The g lowest bands that are 0 in the xor x, as a bit mask (long); fewer bits if fewer bands agree."""
-    left = None
-    for n, c in enumerate(cuts):
-        bit = F.when(band(x, c) == 0, F.lit(1 << n).cast("long")).otherwise(F.lit(0).cast("long"))
-        left = bit if left is None else left.bitwiseOR(bit)
-    rest = left
-    for _ in range(g):
-        rest = rest.bitwiseAND(rest - 1)
-    return left.bitwiseXOR(rest)
-
-
 def _frequent(own: DataFrame, cuts: list[Cut], hot: float, least: int) -> set[tuple[int, int]]:
     """(band, value) of the values that more than that share of the hashes have: at most len(cuts) / hot of them."""
     values = F.posexplode(F.array(*[band(F.col("h"), c) for c in cuts])).alias("band", "value")
@@ -90,28 +78,26 @@ def self_pairs(hashes: DataFrame, c: str = "h", t: int = 6, hot: float = 1 / 24,
             out = out & (band(h, cuts[i]).isin(values) if values else F.lit(False))
         return out
 
-    def join(rows: DataFrame, keys: list[Column], first: Column) -> DataFrame:
+    def join(rows: DataFrame, keys: list[Column]) -> DataFrame:
         rows = rows.select(h, F.explode(F.array(*keys)).alias("k"))
         rows = rows.where("k IS NOT NULL") if frequent else rows
         left, right = rows.select(F.col("h").alias("a"), "k"), rows.select(F.col("h").alias("b"), "k")
-        close = (F.col("a") < F.col("b")) & (F.bit_count(x) <= t) & first
-        return left.alias("l").join(right.alias("r").hint("shuffle_hash"), (F.col("l.k") == F.col("r.k")) & close).select("a", "b", F.bit_count(x).alias("distance"))
+        # the condition stays this short, as a generated method of over 8,000 bytes is never compiled by the JVM
+        close = (F.col("a") < F.col("b")) & (F.bit_count(x) <= t)
+        return left.alias("l").join(right.alias("r").hint("shuffle_hash"), (F.col("l.k") == F.col("r.k")) & close).select("a", "b")
 
-    name = F.col("l.k").bitwiseAND(F.lit((1 << (t + g)) - 1).cast("long"))
-    agreed = _agreed(x, cuts, g)
     keys = []
     for combo in combos:
         key = _packed([named(combo), *((band(h, cuts[i]), cuts[i][1]) for i in combo)])
         keys.append(F.when(~all_hot(combo), key) if frequent else key)
-    out = join(own, keys, name == agreed)
+    out = join(own, keys)
     for combo in combos:
         if not set(combo) <= {b for b, _ in frequent}:
             continue
         rest = [c for n, c in enumerate(cuts) if n not in combo]
-        compact = lambda y, rest=rest: _packed([(band(y, c), c[1]) for c in rest])
+        compact = _packed([(band(h, c), c[1]) for c in rest])
         sub = bands(t + g, sum(w for _, w in rest))
         values = [(band(h, cuts[i]), cuts[i][1]) for i in combo]
-        refined = [_packed([named(s), *values, *((band(compact(h), sub[i]), sub[i][1]) for i in s)]) for s in combos]
-        same = agreed == sum(1 << n for n in combo)
-        out = out.unionByName(join(own.where(all_hot(combo)), refined, same & (name == _agreed(compact(x), sub, g))))
-    return out
+        refined = [_packed([named(s), *values, *((band(compact, sub[i]), sub[i][1]) for i in s)]) for s in combos]
+        out = out.unionByName(join(own.where(all_hot(combo)), refined))
+    return out.distinct().select("a", "b", F.bit_count(x).alias("distance"))
