@@ -49,32 +49,32 @@ def _members(records: DataFrame, targets: DataFrame) -> DataFrame:
     return rows.select("target_id", "need", "identity", "seq", priority.alias("priority")).withColumn("slice", F.shiftrightunsigned("priority", 64 - SLICES.bit_length() + 1).cast("int"))
 
 
-def availability(records: DataFrame, targets: DataFrame) -> DataFrame:
-    """Each target with ``need``, ``available`` kept records and ``short`` (how many are missing)."""
-    have = _members(records, targets).groupBy("target_id").agg(F.count("*").alias("available"))
-    out = needs(targets).join(have, "target_id", "left").withColumn("available", F.coalesce("available", F.lit(0).cast("long")))
-    return out.withColumn("short", F.greatest(F.col("need") - F.col("available"), F.lit(0).cast("long")))
+def draw(records: DataFrame, targets: DataFrame) -> DataFrame:
+    """(target_id, seq, available) of the drawn records: of each target the ``need`` of lowest priority, or all there are.
 
-
-def sample(records: DataFrame, targets: DataFrame) -> DataFrame:
-    """(target_id, seq) of the drawn records: for each target its ``need`` of lowest priority, or all there are.
-
-    ``seq`` is the first delivery of the record in that category.
+    ``seq`` is the first delivery of the record in that category, ``available`` the final count of the category.
     """
     rows = _members(records, targets)
     counts = rows.groupBy("target_id", "slice").agg(F.count("*").alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.partitionBy("target_id").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
+    whole = Window.partitionBy("target_id")
+    before = F.coalesce(F.sum("n").over(whole.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
+    counts = counts.select("target_id", "slice", before.alias("before"), F.sum("n").over(whole).alias("available"))  # 64 rows a target at most
     order = F.row_number().over(Window.partitionBy("target_id", "slice").orderBy(F.expr("shiftrightunsigned(priority, 1)"), "priority", "identity"))
-    open_at = counts.select("target_id", "slice", before.alias("before")).alias("b")
-    ranked = rows.withColumn("at", order)
-    out = ranked.join(open_at, ["target_id", "slice"]).where(F.col("at") + F.col("before") <= F.col("need"))
-    return out.select("target_id", "seq")
+    out = rows.withColumn("at", order).join(counts, ["target_id", "slice"]).where(F.col("at") + F.col("before") <= F.col("need"))
+    return out.select("target_id", "seq", "available")
+
+
+def sample(records: DataFrame, targets: DataFrame) -> DataFrame:
+    """(target_id, seq) of the drawn records."""
+    return draw(records, targets).select("target_id", "seq")
 
 
 def report(records: DataFrame, targets: DataFrame) -> DataFrame:
     """Every target with what it asked for, what there was, what it got and what is missing; exhausted: all was taken and it fell short."""
-    a = availability(records, targets)
-    return a.select("target_id", "draw_id", "need", "available", F.least("need", "available").alias("taken"), "short", (F.col("short") > 0).alias("exhausted"))
+    got = draw(records, targets).groupBy("target_id").agg(F.max("available").alias("available"), F.count("*").alias("taken"))
+    zero = F.lit(0).cast("long")
+    out = needs(targets).join(got, "target_id", "left").select("target_id", "draw_id", "need", F.coalesce("available", zero).alias("available"), F.coalesce("taken", zero).alias("taken"))
+    return out.withColumn("short", F.col("need") - F.col("taken")).withColumn("exhausted", F.col("taken") < F.col("need"))
 
 
 def exhausted(records: DataFrame, targets: DataFrame) -> DataFrame:
