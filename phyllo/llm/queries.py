@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from phyllo.llm import cross_split, grouped_splits, name_matching, quota_sample, survivors
+from phyllo.llm import bpe, cross_split, eval_leaks, grouped_splits, keyword_spam, name_matching, quota_sample, survivors
 from phyllo.session import table
 
 
@@ -54,12 +54,46 @@ def p6_survivors(spark: SparkSession, d: str) -> DataFrame:
     return survivors.build_survivors(table(spark, d, "records"), table(spark, d, "sources"))
 
 
+def p7_ids(spark: SparkSession, d: str) -> DataFrame:
+    return bpe.encode(table(spark, d, "documents"))
+
+
+def p7_decoded(spark: SparkSession, d: str) -> DataFrame:
+    """The round trip: every text, encoded and decoded again."""
+    return bpe.decode(bpe.encode(table(spark, d, "documents"))).select("doc_id", "text")
+
+
+def _names(spark: SparkSession, d: str) -> DataFrame:
+    """Genera and epithets of the catalogue, which stand for names in templates."""
+    return table(spark, d, "plants").select(F.explode(F.split("scientific_name", "[^\\p{L}-]+")).alias("name")).where("length(name) > 3").distinct()
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    found = eval_leaks.leaks(table(spark, d, "documents"), table(spark, d, "eval_items"), _names(spark, d))
+    return found.select("doc_id", "item_id")
+
+
+def p8_report(spark: SparkSession, d: str) -> DataFrame:
+    return eval_leaks.leak_report(table(spark, d, "documents"), table(spark, d, "eval_items"), _names(spark, d))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return keyword_spam.spam(table(spark, d, "documents")).select("doc_id")
+
+
+def p9_measures(spark: SparkSession, d: str) -> DataFrame:
+    return keyword_spam.measure(table(spark, d, "documents"))
+
+
 QUERIES = {
     "p2_found": p2_found, "p2_splits": p2_splits,
     "p3_found": p3_found, "p3_unmatched": p3_unmatched,
     "p4_found": p4_found, "p4_report": p4_report,
     "p5_found": p5_found, "p5_report": p5_report, "p5_sample": p5_sample,
     "p6_found": p6_found, "p6_survivors": p6_survivors,
+    "p7_ids": p7_ids, "p7_decoded": p7_decoded,
+    "p8_found": p8_found, "p8_report": p8_report,
+    "p9_found": p9_found, "p9_measures": p9_measures,
 }
 
 # --- SQL ---------------------------------------------------------------------------------------------------------------
@@ -92,6 +126,7 @@ SQL: dict[str, str] = {
     "p5_found": f"SELECT target_id FROM ({_AVAILABLE}) WHERE available < need",
     "p5_report": f"""SELECT target_id, draw_id, need, available, least(need, available) AS taken, greatest(need - available, 0) AS short, available < need AS exhausted
   FROM ({_AVAILABLE})""",
+    "p7_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
     "p6_found": f"""WITH RECURSIVE rec AS (SELECT r.seq, lower(r.checksum) AS c, {_HASH} AS h, r.status = 'kept' AS kept, coalesce(s.trust_rank, 2147483647) AS trust,
       {_STATED.format("r.license")} AS licensed, greatest(coalesce(r.width, 0), 0) AS width, coalesce(TRY_CAST(nullif(trim(r.downloaded_at), '') AS TIMESTAMPTZ), TIMESTAMPTZ '0001-01-01 00:00:00+00') AS at
     FROM records r LEFT JOIN sources s USING (source)),
