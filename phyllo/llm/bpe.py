@@ -131,7 +131,9 @@ def _rank_row(spark: SparkSession, path: str) -> DataFrame:
 def encode_vocabulary(words: DataFrame, path: str, chunk: int = CHUNK) -> DataFrame:
     """(word, ids) of a table of distinct words (column word)."""
     n = max(1, -(-words.count() // chunk))
-    chunks = words.groupBy(F.pmod(F.xxhash64("word"), F.lit(n)).alias("chunk")).agg(F.collect_list("word").alias("words")).withColumn("one", F.lit(0))
+    parts = min(n, 4 * int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # few bytes, but much work: not to be coalesced
+    chunked = words.select("word", F.pmod(F.xxhash64("word"), F.lit(n)).alias("chunk")).repartition(parts, "chunk")
+    chunks = chunked.groupBy("chunk").agg(F.collect_list("word").alias("words")).withColumn("one", F.least("chunk", F.lit(0)).cast("int"))
     both = chunks.join(F.broadcast(_rank_row(words.sparkSession, path)), "one")
     ids = F.transform("words", lambda w: F.struct(w.alias("word"), encode_word(w, F.col("first"), F.col("moved"), F.col("keys"), F.col("vals")).alias("ids")))
     return both.select(F.inline(ids))
@@ -159,6 +161,6 @@ def decode(encoded: DataFrame, path: str | None = None, ids: str = "ids", alias:
     row = spark.createDataFrame([(0, pieces)], "one int, pieces array<string>")
     # rows are chunked so that the pieces are not copied beside each of them
     kept = encoded.columns
-    chunks = encoded.withColumn("_c", F.pmod(F.xxhash64(ids), F.lit(max(1, -(-encoded.count() // 500))))).groupBy("_c").agg(F.collect_list(F.struct(*kept)).alias("_rows")).withColumn("one", F.lit(0))
+    chunks = encoded.withColumn("_c", F.pmod(F.xxhash64(ids), F.lit(max(1, -(-encoded.count() // 500))))).groupBy("_c").agg(F.collect_list(F.struct(*kept)).alias("_rows")).withColumn("one", F.least("_c", F.lit(0)).cast("int"))
     text = lambda x: F.decode(F.unhex(F.array_join(F.transform(x[ids], lambda i: F.coalesce(F.get(F.col("pieces"), i), F.lit(""))), "")), "utf-8")
     return chunks.join(F.broadcast(row), "one").select(F.inline(F.transform("_rows", lambda x: F.struct(*[x[c].alias(c) for c in kept], text(x).alias(alias)))))
