@@ -14,12 +14,14 @@ from pyspark.sql import types as T
 
 #: Letters that decomposition leaves whole. Fixed values.
 WHOLE = str.maketrans({"ß": "ss", "æ": "ae", "œ": "oe", "ø": "o", "đ": "d", "ð": "d", "ł": "l", "þ": "th", "ı": "i"})
+#: What folding takes away (all combining marks) or spells out.
+FOLDED = {c: None for c in range(0x300, 0x20000) if unicodedata.combining(chr(c))} | WHOLE
 SPACES = re.compile(r"\s+")
 
 
 def fold(s: str) -> str:
     """Lower case without accents; compatible forms are unified, white space is left as it is."""
-    return "".join(c for c in unicodedata.normalize("NFKD", s.casefold()) if not unicodedata.combining(c)).translate(WHOLE)
+    return s.lower() if s.isascii() else unicodedata.normalize("NFKD", s.casefold()).translate(FOLDED)
 
 
 def map_distinct(df: DataFrame, column: str, alias: str, f, kind: T.DataType, keep: list[str] | None = None) -> DataFrame:
