@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from phyllo.functions.text import fold
 
 WINDOW, SPAN, SHARED, DENSITY = 3, 13, 11, 0.78
-BLOCK, SLACK = 20_000, 12
+BLOCK, SLACK, CLOSE, EDGE = 20_000, 12, 14, 10
 TAG = re.compile(r"<[^<>]{1,300}>")
 LINK = re.compile(r"\]\([^()\s]{0,300}\)")
 WORD = re.compile(r"[^\W_]+")
@@ -149,24 +149,27 @@ class Items:
             else:
                 runs.append([hit])
         for run in runs:
-            if len(run) < 3:
+            places = sorted(j for j, _ in run)
+            # the sparsest passage that counts still has three windows so close together
+            if not any(z - x <= CLOSE for x, z in zip(places, places[2:])):
                 continue
-            low = max(0, min(j - i for j, i in run) - SLACK)
-            high = min(len(t), max(j - i for j, i in run) + len(words) + SLACK)
-            for start in range(low, max(low + 1, high - len(words)), 2 * len(words)):  # pieces overlap by more than one item
-                stop = min(high, start + 4 * len(words))
-                got = self._measure(item, words, t[start:stop], raw[start:stop])
+            first = max(0, min(i for _, i in run) - EDGE)
+            part = words[first : max(i for _, i in run) + WINDOW + EDGE]
+            low, high = max(0, places[0] - EDGE), min(len(t), places[-1] + WINDOW + EDGE)
+            for start in range(low, max(low + 1, high - len(part)), 2 * len(part)):  # pieces overlap by more than the part
+                stop = min(high, start + 4 * len(part))
+                got = self._measure(item, first, part, t[start:stop], raw[start:stop])
                 if got and (best is None or got[0] > best[0]):
                     best = (got[0], got[1], start + got[2])
         return best
 
-    def _measure(self, item: int, words: list[str], t: list[str], raw: list[str]) -> tuple[int, int, int] | None:
+    def _measure(self, item: int, first: int, words: list[str], t: list[str], raw: list[str]) -> tuple[int, int, int] | None:
         _, a, b, c, d, pairs = align(words, t)
         values: dict[tuple[str, str], str] = {}
         shared = 0
         for i, j in pairs:
             if words[i] in "#%@":
-                was = values.setdefault((words[i], self.slots[item][i]), raw[j])
+                was = values.setdefault((words[i], self.slots[item][first + i]), raw[j])
                 shared += was == raw[j]
             else:
                 shared += 1
