@@ -59,6 +59,11 @@ def materialize(df: DataFrame, what: str = "step") -> DataFrame:
     return back
 
 
+def keep_until_exit(spark: SparkSession, path: str) -> None:
+    """Have a folder of intermediate files deleted when the driver ends."""
+    _written.append((spark, path))
+
+
 def release(df: DataFrame) -> None:
     """Delete the files of a table that materialize returned; df may not be read afterwards."""
     path = getattr(df, "_phyllo_path", None)
