@@ -24,6 +24,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
     ends = edges.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b")).where("a <> b")
     pair = lambda x, y: F.inline(F.array(F.struct(x.alias("v"), y.alias("u")), F.struct(y.alias("v"), x.alias("u"))))
     c = materialize(ends.select(pair(F.col("a"), F.col("b"))).distinct(), "hash-to-min")
+    if c.isEmpty():
+        return c.select(F.col("v").alias("node"), F.col("u").alias("root"))
     for _ in range(max_rounds):
         low = c.groupBy("v").agg(F.least(F.min("u"), F.first("v")).alias("m"))
         watch = Observation()
