@@ -6,9 +6,9 @@ template. Windows of ``WINDOW`` template words of all items form a hash table, a
 are joined where the document is read: no shuffle, and the whole text is seen. Where windows of an item lie on neighbouring
 diagonals, words are aligned (match, change, left out, added), and the best passage is measured.
 
-A document leaks an item if one passage of it covers at least ``SPAN`` words of the item in order, of which ``SHARED`` or more
-and at least ``DENSITY`` of the passage are shared. Slots count as shared where the placeholders agree in type, and, as the
-slot check, only if the values they stand for are exchanged consistently: one value may not stand for two others.
+A document leaks an item if one passage of it covers at least ``SPAN`` words of the item in order, ``SHARED`` of them equal, and
+at least ``DENSITY`` of the passage is shared. Shared are equal words, and slots whose placeholders agree in type and, as the
+slot check, whose values are exchanged consistently: one value may not stand for two others.
 
 The hash table is broadcast in blocks of ``BLOCK`` items, so any number of items can be asked; documents are unbounded.
 
@@ -164,17 +164,24 @@ class Items:
         return best
 
     def _measure(self, item: int, first: int, words: list[str], t: list[str], raw: list[str]) -> tuple[int, int, int] | None:
-        _, a, b, c, d, pairs = align(words, t)
+        *_, pairs = align(words, t)
+        if len(pairs) < SHARED:
+            return None
         values: dict[tuple[str, str], str] = {}
-        shared = 0
+        same, alike = [0], [0]  # running counts of equal words, and of those or slots exchanged consistently
         for i, j in pairs:
-            if words[i] in "#%@":
-                was = values.setdefault((words[i], self.slots[item][first + i]), raw[j])
-                shared += was == raw[j]
-            else:
-                shared += 1
-        span = b - a
-        return (shared, span, c) if span >= SPAN and shared >= SHARED and shared >= DENSITY * max(span, d - c) else None
+            own = self.slots[item][first + i]
+            fits = words[i] not in "#%@" or values.setdefault((words[i], own), raw[j]) == raw[j]
+            same.append(same[-1] + (own == raw[j]))
+            alike.append(alike[-1] + fits)
+        # the longest run of pairs that is dense enough: an alignment may trail off into words that agree by chance
+        for n in range(len(pairs), SHARED - 1, -1):
+            for x in range(len(pairs) - n + 1):
+                (i0, j0), (i1, j1) = pairs[x], pairs[x + n - 1]
+                span = i1 - i0 + 1
+                if span >= SPAN and same[x + n] - same[x] >= SHARED and alike[x + n] - alike[x] >= DENSITY * max(span, j1 - j0 + 1):
+                    return alike[x + n] - alike[x], span, j0
+        return None
 
 
 @lru_cache(maxsize=4)
