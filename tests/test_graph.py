@@ -46,16 +46,16 @@ def test_components_empty(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-@pytest.mark.parametrize("t", [1, 6, 10])
-@pytest.mark.parametrize("least", [10**9, 100])
-def test_self_pairs(spark, t, least):
+@pytest.mark.parametrize("t", [0, 1, 6, 10])
+@pytest.mark.parametrize("bucket", [10**9, 100, 5])
+def test_self_pairs(spark, t, bucket):
     rng = np.random.default_rng(t)
     base = [signed(x) for x in rng.integers(0, 2**63, 400, dtype=np.uint64) * 2]
     hot = [signed(int(x) & 0x0000FF0FFF00FFFF) for x in rng.integers(0, 2**63, 400, dtype=np.uint64)]
     near = [signed((b & (2**64 - 1)) ^ (1 << int(rng.integers(64))) ^ (1 << int(rng.integers(64)))) for b in base[:150] + hot[:150]]
     values = base + hot + near
     df = spark.createDataFrame([(v,) for v in values + base[:5]] + [(None,)], "h long")
-    got = self_pairs(df, "h", t, hot=0.05, hot_least=least).collect()
+    got = self_pairs(df, "h", t, bucket).collect()
     assert len({(r["a"], r["b"]) for r in got}) == len(got)
     assert {(r["a"], r["b"]) for r in got} == brute(values, t)
 
