@@ -59,6 +59,8 @@ def distance(a: str, b: str, most: int) -> int:
         return most + 1
     if a == b:
         return 0
+    if not a or not b:
+        return len(a) + len(b)
     before, row = [], list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
         last, before, row = before, row, [i] + [0] * len(b)
@@ -94,6 +96,10 @@ class Matcher:
                     had[1].add(own)
                 if len(full) == 2:
                     self.short.setdefault((full[0][0], full[1]), set()).add(own)
+        self.longer: dict[tuple[str, ...], list[tuple[str, ...]]] = {}
+        for full in self.whole:
+            if len(full) == 3:
+                self.longer.setdefault(full[:2], []).append(full)
         self.mentions, self.pieces = ahocorasick.Automaton(), ahocorasick.Automaton()
         fifths: dict[str, list[tuple[str, ...]]] = {}
         for full in self.whole:
@@ -138,10 +144,19 @@ class Matcher:
                 free.append((start, end, full))
         if not free:
             return None
-        start, _, full = min(free, key=lambda x: (-len(x[2]), x[0]))
+        _, _, full = min(free, key=lambda x: (-len(x[2]), x[0]))
+        full = self._below(ws, full) or full
         rank, ids = self.whole[full]
         return self._result(3_000_000 + 1000 * sum(map(len, full)) + 10 * (1 - rank), ids)
 
+    def _below(self, ws: list[str], full: tuple[str, ...]) -> tuple[str, ...] | None:
+        """The variety whose name goes on after a species' name with up to two wrong letters."""
+        at = next(i for i in range(len(ws)) if tuple(ws[i : i + len(full)]) == full) + len(full)
+        if at >= len(ws):
+            return None
+        near = sorted((d, own) for own in self.longer.get(full, ()) if (d := distance(ws[at], own[len(full)], self.most)) <= self.most)
+        return near[0][1] if near and (len(near) == 1 or near[0][0] < near[1][0]) else None
+
     def _abbreviated(self, ws: list[str]) -> tuple[int, str, str] | None:
         for a, b in zip(ws, ws[1:]):
             if len(a) == 1:
@@ -161,8 +176,10 @@ class Matcher:
         candidates = {full for _, owners in self.pieces.iter(flat) for full in owners}
         best, length, ids = self.most + 1, 0, set()
         for full in candidates:
-            d = self._wrong(ws, full, best)
-            if d < best or d == best and len(full) > length:  # of equally similar names the longer one is meant
+            if len(full) < length:
+                continue
+            d = self._wrong(ws, full, self.most + 1 if len(full) > length else best)
+            if d <= self.most and (len(full) > length or d < best):  # a longer name is meant before a more similar one
                 best, length, ids = d, len(full), set()
             if d == best <= self.most and len(full) == length:
                 ids |= self.whole[full][1]
