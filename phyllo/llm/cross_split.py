@@ -8,7 +8,9 @@ takes radius 2 for it (radii 1, 1, 1, 0 or 2, 1, 1, none). Training hashes probe
 are. A candidate passes the length filter (numbers of set bits differ by 6 at most), the position filter (it is kept only
 at its first piece within the radius, so no distinct is needed) and is verified on all 64 bits. Every step is exact.
 
-Evaluation is the smaller side, as splits are; the counts of shingles are a table of 4 x 65,536 rows at most.
+Evaluation is the smaller side, as splits are; the counts of shingles are a table of 4 x 65,536 rows at most. Beyond
+``MANY`` training hashes three pieces of 21 and 22 bits take the place of the four, with radii 2, 1, 1: five times the index
+for a thirtieth of the candidates a pair of hashes, so the join stays near its input in size.
 
 Defined results: null, blank or malformed hashes match nothing; checksums are compared without case, null and blank ones
 match nothing; a row of both sides is paired with others but not with itself; each pair comes once; repeated split rows
@@ -23,73 +25,71 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from phyllo.functions.text import blank
-from phyllo.operators.hamming import hash_bits
+from phyllo.operators.hamming import band, bands, hash_bits
 
-PIECES, WIDTH = 4, 16
+#: Above so many training hashes three wider pieces are used: more index entries, far fewer candidates.
+MANY = 20_000_000
 
 
-def _piece(h: Column, i: int) -> Column:
-    return F.shiftrightunsigned(h, WIDTH * i).bitwiseAND(F.lit((1 << WIDTH) - 1).cast("long"))
-
-
-def _flips(radius: int) -> list[int]:
+def _flips(radius: int, width: int) -> list[int]:
     """All xor masks of a piece within that many bits."""
-    return [sum(1 << b for b in at) for n in range(radius + 1) for at in combinations(range(WIDTH), n)]
+    return [sum(1 << b for b in at) for n in range(radius + 1) for at in combinations(range(width), n)]
 
 
 def _xor_with(base: Column):
     return lambda m: base.bitwiseXOR(m.cast("long"))
 
 
-def _radii(t: int) -> tuple[list[int], list[int]]:
+def _radii(t: int, pieces: int) -> tuple[list[int], list[int]]:
     """Radii of the pieces from the rarest to the most frequent, without and with a hot last piece (-1: not indexed)."""
-    even = [(t + 1 + PIECES - 1 - k) // PIECES - 1 for k in range(PIECES)]
-    skip = [(t + 1 + PIECES - 2 - k) // (PIECES - 1) - 1 for k in range(PIECES - 1)] + [-1]
+    even = [(t + 1 + pieces - 1 - k) // pieces - 1 for k in range(pieces)]
+    skip = [(t + 1 + pieces - 2 - k) // (pieces - 1) - 1 for k in range(pieces - 1)] + [-1]
     return even, skip
 
 
-def near_pairs(evaluation: DataFrame, training: DataFrame, t: int = 6, hot: float = 1 / 512) -> DataFrame:
+def near_pairs(evaluation: DataFrame, training: DataFrame, t: int = 6, hot: float = 1 / 512, pieces: int | None = None) -> DataFrame:
     """(e, r, distance) of all pairs of an evaluation hash e and a training hash r (bigint column h) within t bits.
 
-    A piece value is hot if it is in more than ``hot`` of the training hashes. 3 <= t <= 11; equal hashes are pairs too.
+    A piece value is hot if it is in more than ``hot`` of the training hashes (and in 64). 3 <= t <= 11; equal hashes are
+    pairs too. pieces: 4 (of 16 bits), or 3 (of 21 and 22) for very many training hashes; chosen by their number if None.
     """
-    if not PIECES - 1 <= t <= 11:
+    if not 3 <= t <= 11:
         raise ValueError("3 <= t <= 11")
     h = F.col("h")
     ev = evaluation.select("h").where("h IS NOT NULL").distinct()
     tr = training.select("h").where("h IS NOT NULL").distinct()
-    pieces = F.posexplode(F.array(*[_piece(h, i) for i in range(PIECES)])).alias("i", "value")
-    key = lambda i, value: F.shiftleft(i.cast("long"), WIDTH).bitwiseOR(value)
-    probes = tr.select(h.alias("r"), pieces).select("r", key(F.col("i"), F.col("value")).alias("k"))
-    counts = probes.groupBy("k").agg(F.count("*").alias("n"))
-    # the counts of each evaluation hash's own pieces: 4 rows a hash, joined to at most 4 x 65,536 counts
-    own = ev.select(h, pieces).select("h", "i", key(F.col("i"), F.col("value")).alias("k"))
     total = tr.count()
-    ranked = (
-        own.join(F.broadcast(counts), "k", "left")
-        .groupBy("h").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.col("i")))).alias("order"))
-    )
-    even, skip = _radii(t)
-    is_hot = F.col("order")[PIECES - 1]["n"] > F.lit(max(64, int(hot * total)))
-    radii = [F.when(is_hot, skip[k]).otherwise(even[k]) for k in range(PIECES)]
-    of = lambda i: sum((F.when(F.col("order")[k]["i"] == i, radii[k] + 1).otherwise(0) for k in range(PIECES)), F.lit(0)) - 1
+    pieces = pieces or (3 if total > MANY else 4)
+    cuts = bands(pieces)
+    top = max(w for _, w in cuts)
+    spread = F.posexplode(F.array(*[band(h, c) for c in cuts])).alias("i", "value")
+    key = lambda i, value: F.shiftleft(i.cast("long"), top).bitwiseOR(value)
+    probes = tr.select(h.alias("r"), spread).select("r", key(F.col("i"), F.col("value")).alias("k"))
+    counts = probes.groupBy("k").agg(F.count("*").alias("n"))
+    counts = F.broadcast(counts) if pieces == 4 else counts  # at most 4 x 65,536 rows
+    own = ev.select(h, spread).select("h", "i", key(F.col("i"), F.col("value")).alias("k"))
+    ranked = own.join(counts, "k", "left").groupBy("h").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.col("i")))).alias("order"))
+    even, skip = _radii(t, pieces)
+    is_hot = F.col("order")[pieces - 1]["n"] > F.lit(max(64, int(hot * total)))
+    radii = [F.when(is_hot, skip[k]).otherwise(even[k]) for k in range(pieces)]
+    of = lambda i: sum((F.when(F.col("order")[k]["i"] == i, radii[k] + 1).otherwise(0) for k in range(pieces)), F.lit(0)) - 1
     # the radii of the pieces, 4 bits each, plus 1, travel with the index entry for the position filter
-    packed = sum((F.shiftleft((of(i) + 1).cast("int"), 4 * i) for i in range(PIECES)), F.lit(0))
+    packed = sum((F.shiftleft((of(i) + 1).cast("int"), 4 * i) for i in range(pieces)), F.lit(0))
     planned = ranked.select("h", packed.alias("radii"))
     radius = lambda i: F.shiftright(F.col("radii"), 4 * i).bitwiseAND(F.lit(15)) - 1
     entries = []
-    for i in range(PIECES):
+    for i, c in enumerate(cuts):
         masks = F.lit(None).cast("array<int>")
         for r in sorted({*even, *skip} - {-1}):
-            masks = F.when(radius(i) == r, F.array(*[F.lit(m) for m in _flips(r)])).otherwise(masks)
-        base = F.lit(i << WIDTH).cast("long").bitwiseOR(_piece(h, i))
+            masks = F.when(radius(i) == r, F.array(*[F.lit(m) for m in _flips(r, c[1])])).otherwise(masks)
+        base = F.lit(i << top).cast("long").bitwiseOR(band(h, c))
         entries.append(F.transform(F.coalesce(masks, F.array().cast("array<int>")), _xor_with(base)))
     index = planned.select(F.col("h").alias("e"), "radii", F.explode(F.concat(*entries)).alias("k"))
     x = F.col("e").bitwiseXOR(F.col("r"))
-    at = F.shiftright(F.col("i.k"), WIDTH)
+    at = F.shiftright(F.col("i.k"), top)
     earlier = F.lit(False)
-    for i in range(PIECES - 1):
-        earlier = earlier | ((at > i) & (F.bit_count(_piece(x, i)) <= radius(i)))
+    for i in range(pieces - 1):
+        earlier = earlier | ((at > i) & (F.bit_count(band(x, cuts[i])) <= radius(i)))
     passes = (F.abs(F.bit_count("e") - F.bit_count("r")) <= t) & (F.bit_count(x) <= t) & ~earlier
     return probes.alias("p").join(index.alias("i").hint("shuffle_hash"), (F.col("p.k") == F.col("i.k")) & passes).select("e", "r", F.bit_count(x).alias("distance"))
 

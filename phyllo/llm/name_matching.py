@@ -240,9 +240,15 @@ def match_names(answers: DataFrame, plants: DataFrame, key: str = "answer_id", c
     """(key, internal_id) of every row of answers; internal_id is '' where no entry of plants is meant."""
     listed = plants.select("internal_id", "scientific_name", "synonyms").where("internal_id IS NOT NULL")
     n = max(1, -(-listed.count() // block))
+    if n > 1:  # single names, those of one genus in one block, so that a variety meets its species
+        none = F.lit(None).cast("string")
+        synonyms = F.transform(F.split(F.coalesce("synonyms", F.lit("")), r"\|"), lambda s: F.struct(none.alias("scientific_name"), s.alias("synonyms")))
+        forms = F.concat(F.array(F.struct(F.col("scientific_name"), none.alias("synonyms"))), synonyms)
+        genus = F.regexp_extract(F.lower(F.coalesce("scientific_name", "synonyms")), r"\p{L}{2,}", 0)
+        listed = listed.select("internal_id", F.inline(forms)).withColumn("block", F.pmod(F.xxhash64(genus), F.lit(n)))
     found = None
     for b in range(n):
-        own = listed if n == 1 else listed.where(F.pmod(F.xxhash64("internal_id"), F.lit(n)) == b)
+        own = listed if n == 1 else listed.where(F.col("block") == b).drop("block")
         part = _block(answers, [tuple(r) for r in own.collect()], key, list(columns))
         found = part if found is None else found.unionByName(part)
     # per column the best score, and whether it means one plant only; then the better column

@@ -129,13 +129,13 @@ def test_overlaps(spark, n):
     assert all(r["n_pairs"] >= r["n_records"] > 0 for r in cross_split.overlap_report(df, sp).collect())
 
 
-@pytest.mark.parametrize(("t", "hot"), [(6, 1.0), (6, 0.0), (3, 0.0), (11, 0.0)])
-def test_near_pairs_with_hot_pieces(spark, t, hot):
+@pytest.mark.parametrize(("t", "hot", "pieces"), [(6, 1.0, 4), (6, 0.0, 4), (3, 0.0, 4), (11, 0.0, 4), (6, 1.0, 3), (6, 0.0, 3)])
+def test_near_pairs_with_hot_pieces(spark, t, hot, pieces):
     rng = random.Random(t)
     held = [rng.getrandbits(62) & (0x3FFF0000FFFFFFFF if i % 2 else (1 << 62) - 1) for i in range(200)]
     train = [h ^ sum(1 << b for b in rng.sample(range(60), rng.randrange(t + 3))) for h in held] + [rng.getrandbits(62) & 0x3FFF0000FFFFFFFF for _ in range(200)]
     df = lambda v: spark.createDataFrame([(x,) for x in [*v, None]], "h long")
-    got = [(r["e"], r["r"]) for r in cross_split.near_pairs(df(held), df(train), t, hot).collect()]
+    got = [(r["e"], r["r"]) for r in cross_split.near_pairs(df(held), df(train), t, hot, pieces).collect()]
     assert len(got) == len(set(got)) and set(got) == {(a, b) for a in set(held) for b in set(train) if far(a, b) <= t}
 
 
