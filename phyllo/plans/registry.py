@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("pages", "curation", "evaluation", "streams")
+MODULES = ("pages", "curation", "evaluation", "more", "streams")
 
 
 def _gather(what: str) -> dict:
