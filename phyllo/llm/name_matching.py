@@ -77,6 +77,14 @@ def distance(a: str, b: str, most: int) -> int:
     return min(row[len(b)], most + 1)
 
 
+def letters(s: str) -> int:
+    """The letters of s as a bit set."""
+    out = 0
+    for c in set(s):
+        out |= 1 << (ord(c) & 63)
+    return out
+
+
 class Matcher:
     """Names of one block of the list: entries (id, scientific name, '|'-joined synonyms)."""
 
@@ -101,16 +109,17 @@ class Matcher:
             if len(full) == 3:
                 self.longer.setdefault(full[:2], []).append(full)
         self.mentions, self.pieces = ahocorasick.Automaton(), ahocorasick.Automaton()
-        fifths: dict[str, list[tuple[str, ...]]] = {}
+        fifths: dict[str, dict[int, list[tuple[int, int, tuple[str, ...]]]]] = {}
         for full in self.whole:
             self.mentions.add_word(" " + " ".join(full) + " ", full)
             flat, n = "".join(full), 2 * most + 1
             for k in range(n):
-                piece = flat[len(flat) * k // n : len(flat) * (k + 1) // n]
+                at = len(flat) * k // n
+                piece = flat[at : len(flat) * (k + 1) // n]
                 if piece:
-                    fifths.setdefault(piece, []).append(full)
+                    fifths.setdefault(piece, {}).setdefault(at, []).append((len(flat), letters(flat), full))
         for piece, owners in fifths.items():
-            self.pieces.add_word(piece, owners)
+            self.pieces.add_word(piece, (len(piece), owners))
         self.mentions.make_automaton()
         self.pieces.make_automaton()
 
@@ -172,8 +181,19 @@ class Matcher:
     def _similar(self, ws: list[str]) -> tuple[int, str, str] | None:
         if not self.whole or len(ws) == 1 and len(ws[0]) < 12:
             return None
-        flat = "".join(ws)
-        candidates = {full for _, owners in self.pieces.iter(flat) for full in owners}
+        flat, bounds = "".join(ws), [0]
+        for w in ws:
+            bounds.append(bounds[-1] + len(w))
+        candidates = set()
+        most = 2 * self.most  # a wrong letter takes one letter away and brings another at most
+        runs = {b: [(e - b, letters(flat[b:e])) for e in bounds[i + 1 : i + 6]] for i, b in enumerate(bounds[:-1])}
+        for end, (size, owners) in self.pieces.iter(flat):
+            for at, names in owners.items():
+                # the name would start here: at a word, give or take the wrong letters before the piece, and end at one
+                near = end - size + 1 - at
+                spans = [run for b in range(near - self.most, near + self.most + 1) if b in runs for run in runs[b]]
+                if spans:
+                    candidates.update(full for n, own, full in names if any(abs(n - m) <= self.most and (own ^ has).bit_count() <= most for m, has in spans))
         best, length, ids = self.most + 1, 0, set()
         for full in candidates:
             if len(full) < length:
