@@ -51,11 +51,17 @@ HASH = re.compile(r"(?<![\w&/])#[^\W\d_]\w*")
 WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 PRICE = re.compile(r"\d+(?:[.,]\d{2})?\s?(?:EUR|USD|GBP|CHF|€|\$|£)(?!\w)|(?:€|\$|£|EUR|USD|GBP|CHF)\s?\d|\b(?:SKU|EAN|GTIN|ASIN|MPN|REF|ART)[-:# ]?\s?[A-Z0-9-]*\d{3,}", re.I)
 RECORD = re.compile(r"^\W{0,3}(?:\[\d+(?:/\d+)?\]|\d{4}-\d\d-\d\d|\d\d:\d\d)|\b\w+:\s*\d+\b.*\d|\(\w+ \d+")
+DIGIT = re.compile(r"\d")
 UNIT = re.compile(r"\n+|(?<=[.!?…])\s+|\s[·•|»]+\s|\s>>\s|;\s")
 
 
 def _function(w: str) -> bool:
-    return w in FUNCTION or any(p in FUNCTION for p in re.split("['’]", w) if p != w)
+    return w in FUNCTION or ("'" in w or "’" in w) and any(p in FUNCTION for p in w.replace("’", "'").split("'"))
+
+
+def _size(s: str) -> int:
+    """Characters that are no white space."""
+    return sum(map(len, s.split()))
 
 
 def recurrence(words: list[str]) -> tuple[float, float]:
@@ -78,6 +84,8 @@ def recurrence(words: list[str]) -> tuple[float, float]:
 def _kind(unit: str) -> tuple[str, list[str]]:
     """('tag' | 'record' | 'words', words) of one unit."""
     words = [w.casefold() for w in WORD.findall(unit)]
+    if not DIGIT.search(unit):  # neither a price nor a record
+        return "words", words
     if PRICE.search(unit):
         return "tag", words
     return ("record" if RECORD.search(unit) else "words"), words
@@ -90,7 +98,7 @@ def stuffing(text: str) -> tuple[float, float, float, float]:
 
     def weigh(m: re.Match) -> str:
         nonlocal linked
-        linked += sum(not c.isspace() for c in m.group())
+        linked += _size(m.group())
         return "\n"
 
     s = LINK.sub(weigh, s)
@@ -99,8 +107,7 @@ def stuffing(text: str) -> tuple[float, float, float, float]:
     s = HASH.sub(" ", s)
     tagged = sum(map(len, hashed))
     units = [(u, *_kind(u)) for u in UNIT.split(s) if u and not u.isspace()]
-    size = lambda u: sum(not c.isspace() for c in u)
-    total = linked + tagged + sum(size(u) for u, _, _ in units)
+    total = linked + tagged + sum(_size(u) for u, _, _ in units)
     if not total:
         return 0.0, 0.0, 0.0, 0.0
     # function words in the lag window around each word, over the words of plain units in their order
@@ -116,10 +123,10 @@ def stuffing(text: str) -> tuple[float, float, float, float]:
     listed = [k for k, n in bare.items() if n * 2 > len(units[k][2])]
     of_list = [w for k in listed for w in units[k][2]]
     near, auto = recurrence(of_list)
-    stuffed = linked + tagged + sum(size(u) for u, kind, _ in units if kind == "tag")
+    stuffed = linked + tagged + sum(_size(u) for u, kind, _ in units if kind == "tag")
     # a list counts if its terms keep returning, or if it is long and of nouns only
     if len(of_list) >= 8 and (near >= 0.2 or auto >= 0.1 or len(of_list) >= 20):
-        stuffed += sum(size(units[k][0]) for k in listed)
+        stuffed += sum(_size(units[k][0]) for k in listed)
     return stuffed / total, (linked + tagged) / total, near, auto
 
 
