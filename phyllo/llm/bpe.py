@@ -5,7 +5,7 @@ become ids and ``aggregate`` folds the merges over the id array, the lowest rank
 The ranks are a literal map, laid out as a perfect hash in plain arrays in one row that is broadcast to chunks of words (a
 Spark map of 50,000 entries would be searched from its start each time); its size is that of the vocabulary, whatever the
 corpus. After a merge only the two pairs beside it are looked up again. 3. The words of all texts are joined with their
-ids and put back in order.
+ids: a bounded number of the commonest words by broadcast, where the texts are, the others by shuffle.
 
 Vocabularies are ``.tiktoken`` files, whose path is a parameter; nothing of them is kept here.
 
@@ -17,10 +17,13 @@ from __future__ import annotations
 
 import base64
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from importlib.util import find_spec
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +33,8 @@ from phyllo.session import materialize
 SPACE = r"\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 CHUNK = 2000
+#: So many of the commonest words are broadcast.
+FREQUENT = 50_000
 NO = 1 << 30
 GROUPS, SLOTS, M1, M2 = 1 << 15, 1 << 18, 1640531527, 1103515245
 
@@ -139,16 +144,59 @@ def encode_vocabulary(words: DataFrame, path: str, chunk: int = CHUNK) -> DataFr
     return both.select(F.inline(ids))
 
 
-def encode(documents: DataFrame, path: str | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, ids) of every row of documents."""
+def _look_up(words: pa.ListArray, known: pa.Array, starts: np.ndarray, flat: np.ndarray) -> tuple[pa.ListArray, pa.ListArray]:
+    """(ids, rare) of each row: ids of the known words, the j-th other word of a row as -j, and those other words."""
+    at = words.offsets.to_numpy().astype(np.int64)
+    own = words.values.slice(at[0], at[-1] - at[0])
+    at -= at[0]
+    idx = pc.index_in(own, value_set=known).to_numpy(zero_copy_only=False)
+    rare = np.isnan(idx) if idx.dtype.kind == "f" else np.zeros(len(idx), bool)
+    idx = np.where(rare, 0, idx).astype(np.int64)
+    n = np.where(rare, 1, starts[idx + 1] - starts[idx])
+    to = np.r_[0, np.cumsum(n)]
+    out = np.empty(to[-1], np.int32)
+    inner = np.arange(to[-1]) - np.repeat(to[:-1], n)
+    out[:] = flat[np.minimum(np.repeat(starts[idx], n) + inner, len(flat) - 1)] if len(flat) else 0
+    seen = np.r_[0, np.cumsum(rare)]
+    row = np.searchsorted(at, np.flatnonzero(rare), side="right") - 1
+    out[to[:-1][rare]] = -(seen[1:][rare] - seen[at[row]])
+    return pa.ListArray.from_arrays(pa.array(to[at].astype(np.int32)), pa.array(out)), pa.ListArray.from_arrays(pa.array(seen[at].astype(np.int32)), own.filter(pa.array(rare)))
+
+
+def encode(documents: DataFrame, path: str | None = None, key: str = "doc_id", text: str = "text", frequent: int = FREQUENT) -> DataFrame:
+    """(key, ids) of every row of documents.
+
+    The ``frequent`` commonest words (of 32 characters at most, so a few MB) are broadcast and looked up where the text is;
+    only the other words are shuffled to their ids, and only the rows that hold one wait for them.
+    """
     path = path or vocabulary()
+    words = documents.select(F.explode(words_of(text)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    words = materialize(words, "words")
+    encoded = materialize(encode_vocabulary(words.select("word"), path), "encoded")
+    short = encoded.join(words, "word").where(F.length("word") <= 32).orderBy(F.desc("n"), "word").limit(frequent).select("word", "ids").collect()
+    shared = documents.sparkSession.sparkContext.broadcast((pa.array([r["word"] for r in short], pa.string()), np.cumsum([0, *(len(r["ids"]) for r in short)]), np.array([i for r in short for i in r["ids"]], np.int32)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, starts, flat = shared.value
+        for batch in batches:
+            column = batch.column("words")
+            if batch.num_rows and len(known):
+                ids, rare = _look_up(column, known, starts, flat)
+            else:  # no word is known: each row is all rare
+                n = np.diff(column.offsets.to_numpy())
+                ids, rare = pa.ListArray.from_arrays(column.offsets, pa.array(-np.concatenate([np.arange(1, k + 1) for k in n] or [[]]).astype(np.int32))), column
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("key"), ids, rare], names=["row", "key", "ids", "rare"])
+
     # rows are told apart by their place in the scan, so repeated keys or rows don't run together
-    rows = documents.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), words_of(text).alias("words"))
-    tokens = rows.select("row", "key", F.posexplode_outer("words").alias("pos", "word"))
-    words = materialize(tokens.where("word IS NOT NULL").select("word").distinct(), "words")
-    encoded = materialize(encode_vocabulary(words, path), "encoded")
-    placed = tokens.join(encoded, "word", "left").groupBy("row").agg(F.first("key").alias(key), F.array_sort(F.collect_list(F.when(F.col("ids").isNotNull(), F.struct("pos", "ids")))).alias("all"))
-    return placed.select(key, F.flatten(F.transform("all", lambda x: x["ids"])).alias("ids"))
+    rows = documents.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.coalesce(words_of(text), F.array().cast("array<string>")).alias("words"))
+    kind = documents.schema[key].dataType.simpleString()
+    placed = materialize(rows.mapInArrow(run, f"row long, key {kind}, ids array<int>, rare array<string>"), "placed")
+    done = placed.where(F.size("rare") == 0).select(F.col("key").alias(key), "ids")
+    open_ = placed.where(F.size("rare") > 0)
+    found = open_.select("row", F.posexplode("rare").alias("j", "word")).join(encoded.withColumnRenamed("ids", "own"), "word")
+    found = found.groupBy("row").agg(F.transform(F.array_sort(F.collect_list(F.struct("j", "own"))), lambda x: x["own"]).alias("own"))
+    filled = F.flatten(F.transform("ids", lambda x: F.when(x >= 0, F.array(x)).otherwise(F.col("own")[-x - 1])))
+    return done.unionByName(open_.select("row", "key", "ids").join(found, "row").select(F.col("key").alias(key), filled.alias("ids")))
 
 
 def decode(encoded: DataFrame, path: str | None = None, ids: str = "ids", alias: str = "text") -> DataFrame:

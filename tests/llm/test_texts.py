@@ -63,6 +63,8 @@ def test_bpe(spark):
     rows = [(i, t, "ids") for i, t in enumerate(TEXTS)] + [(3, "Hello world", "ids"), (None, "again", "ids")]
     df = spark.createDataFrame(rows, "doc_id long, text string, ids string")
     got = bpe.encode(df)
+    few = {(r["doc_id"], tuple(r["ids"])) for n in (0, 3) for r in bpe.encode(df, frequent=n).collect()}
+    assert few == {(r["doc_id"], tuple(r["ids"])) for r in got.collect()}
     by = {}
     for r in got.collect():
         by.setdefault(r["doc_id"], []).append(r["ids"])
