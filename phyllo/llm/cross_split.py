@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from phyllo.functions.text import blank
 from phyllo.operators.hamming import band, bands, hash_bits
+from phyllo.session import materialize
 
 #: Above so many training hashes three wider pieces are used: more index entries, far fewer candidates.
 MANY = 20_000_000
@@ -112,7 +113,7 @@ def overlaps(records: DataFrame, splits: DataFrame, t: int = 6) -> DataFrame:
 
     A pair of equal checksums is exact; any other pair has hashes within t bits. A row on both sides is met from both.
     """
-    rows = sides(records, splits)
+    rows = materialize(sides(records, splits), "sides")  # read five times below
     ev = rows.where("in_held").select(F.col("seq").alias("held_seq"), "held", "source", "checksum", "h")
     tr = rows.where("in_train").select(F.col("seq").alias("train_seq"), F.col("source").alias("train_source"), F.col("checksum").alias("train_checksum"), F.col("h").alias("train_h"))
     columns = ["held_seq", "train_seq", "held", "source", "train_source", "exact", "distance"]

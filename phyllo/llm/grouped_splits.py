@@ -52,7 +52,8 @@ def related(rows: DataFrame, seq: str, keys: list[Column]) -> DataFrame:
     """
     if not 1 <= len(keys) <= 2:
         raise ValueError("one or two keys")
-    own = rows.select(F.col(seq).alias("seq"), *[k.alias(f"k{i}") for i, k in enumerate(keys)])
+    # read three times below, so the keys are made once
+    own = materialize(rows.select(F.col(seq).alias("seq"), *[k.alias(f"k{i}") for i, k in enumerate(keys)]).where(F.coalesce(*[k for k in keys]).isNotNull()), "keys")
     label = own
     for i in range(len(keys)):
         shared = own.where(f"k{i} IS NOT NULL").groupBy(f"k{i}").agg(F.min("seq").alias(f"hub{i}"), F.count("*").alias("n")).where("n > 1").drop("n")
