@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from phyllo.operators.components import components
-from phyllo.operators.hamming import band, bands, hash_bits
+from phyllo.operators.hamming import band, bands, hash_bits, self_pairs
 
 NEAR = 6
 
@@ -32,31 +32,33 @@ def exact_duplicates(records: DataFrame) -> DataFrame:
     )
 
 
+def hash_classes(rows: DataFrame, within: str | None = None, row_id: str = "seq", h: str = "h") -> DataFrame:
+    """(id, class) of the rows that have a hash: rows of equal hash (and group) are a class, named by its smallest id."""
+    keys = [F.col(h).alias("h"), *([F.col(within).alias("g")] if within else [])]
+    own = rows.select(F.col(row_id).alias("id"), *keys).where("h IS NOT NULL")
+    names = ["h"] + (["g"] if within else [])
+    return own.join(own.groupBy(*names).agg(F.min("id").alias("class")), names).select("id", "class")
+
+
 def near_pairs(rows: DataFrame, t: int = NEAR, within: str | None = None, row_id: str = "seq", h: str = "h") -> DataFrame:
-    """(a, b, distance), a < b by row id, of rows whose hashes (bigint) lie within t bits; within: only of equal values there.
+    """(a, b, distance), a < b, of the classes of rows whose different hashes (bigint) lie within t bits.
 
-    t + 1 bands: two hashes within t bits agree on one of them. The Hamming test is part of the join condition, so no
-    unverified pair leaves the join. Rows of equal (hash, group) are collapsed first and expanded last: blank pictures make
-    no bucket of their own, and only the result holds their pairs.
+    Rows of equal hash are one class, named by its smallest id (``hash_classes`` has the members), so blank pictures are not
+    paired one by one; within: only hashes of equal values there. Over the whole table the exact Hamming self-join finds the
+    pairs; within groups (species) bands and group are the keys of an equi-join whose condition holds the Hamming test.
     """
     keys = ["h"] + (["g"] if within else [])
     own = rows.select(F.col(row_id).alias("id"), F.col(h).alias("h"), *([F.col(within).alias("g")] if within else [])).where("h IS NOT NULL")
-    values = own.select(*keys).distinct()
-    cuts = bands(t + 1)
-    spread = values.select(*keys, F.posexplode(F.array(*[band(F.col("h"), c) for c in cuts])).alias("n", "v"))
-    left, right = spread.alias("l"), spread.alias("r")
-    on = (F.col("l.n") == F.col("r.n")) & (F.col("l.v") == F.col("r.v"))
-    for k in keys[1:]:
-        on = on & (F.col(f"l.{k}") == F.col(f"r.{k}"))
+    classes = own.groupBy(*keys).agg(F.min("id").alias("id"))
     x = F.bit_count(F.col("l.h").bitwiseXOR(F.col("r.h")))
-    met = left.join(right, on & (F.col("l.h") < F.col("r.h")) & (x <= t)).select(F.col("l.h").alias("x"), F.col("r.h").alias("y"), x.alias("distance"), *[F.col(f"l.{k}") for k in keys[1:]]).distinct()
-    same = values.select(F.col("h").alias("x"), F.col("h").alias("y"), F.lit(0).alias("distance"), *keys[1:])
-    met = met.unionByName(same)
-    a = own.select(F.col("id").alias("i"), F.col("h").alias("x"), *keys[1:])
-    b = own.select(F.col("id").alias("j"), F.col("h").alias("y"), *keys[1:])
-    pairs = met.join(a, ["x", *keys[1:]]).join(b, ["y", *keys[1:]])
-    ordered = pairs.where((F.col("x") != F.col("y")) | (F.col("i") < F.col("j")))
-    return ordered.select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b"), F.col("distance").cast("int").alias("distance"))
+    if within:
+        spread = classes.select("id", *keys, F.posexplode(F.array(*[band(F.col("h"), c) for c in bands(t + 1)])).alias("n", "v"))
+        left, right = spread.alias("l"), spread.alias("r")
+        on = (F.col("l.n") == F.col("r.n")) & (F.col("l.v") == F.col("r.v")) & (F.col("l.g") == F.col("r.g"))
+        return left.join(right, on & (F.col("l.id") < F.col("r.id")) & (x <= t)).select(F.col("l.id").alias("a"), F.col("r.id").alias("b"), x.alias("distance")).distinct()
+    met = self_pairs(classes, "h", t).withColumnsRenamed({"a": "x", "b": "y"})
+    i, j = classes.select(F.col("id").alias("i"), F.col("h").alias("x")), classes.select(F.col("id").alias("j"), F.col("h").alias("y"))
+    return met.join(i, "x").join(j, "y").select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b"), "distance")
 
 
 def hash_components(rows: DataFrame, t: int = NEAR, within: str | None = None) -> DataFrame:
@@ -94,17 +96,14 @@ def cross_species(records: DataFrame, t: int = NEAR) -> DataFrame:
     """(seq, other_seq) of kept rows nearly identical to a row of another species; other_seq is the smallest such row."""
     kept = records.where("status = 'kept'").select("seq", "species", hash_bits("phash").alias("h")).where("h IS NOT NULL AND species IS NOT NULL")
     hubs = kept.groupBy("h", "species").agg(F.min("seq").alias("first"))
-    return kept.join(_species_pairs(hubs, t), ["h", "species"]).select("seq", "other_seq")
-
-
-def _species_pairs(hubs: DataFrame, t: int) -> DataFrame:
-    """(h, species, other_seq) over distinct (h, species, first)."""
-    cuts = bands(t + 1)
-    spread = hubs.select("h", "species", "first", F.posexplode(F.array(*[band(F.col("h"), c) for c in cuts])).alias("n", "v"))
-    l, r = spread.alias("l"), spread.alias("r")
-    close = F.bit_count(F.col("l.h").bitwiseXOR(F.col("r.h"))) <= t
-    met = l.join(r, (F.col("l.n") == F.col("r.n")) & (F.col("l.v") == F.col("r.v")) & (F.col("l.species") != F.col("r.species")) & close)
-    return met.groupBy(F.col("l.h").alias("h"), F.col("l.species").alias("species")).agg(F.min("r.first").alias("other_seq"))
+    near = self_pairs(hubs, "h", t).select(F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")), F.struct(F.col("b").alias("x"), F.col("a").alias("y")))).alias("p"))
+    # hashes of one species only have no neighbour of another species at distance 0
+    mixed = hubs.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select(F.col("h").alias("x"), F.col("h").alias("y"))
+    met = near.select("p.x", "p.y").unionByName(mixed)
+    others = hubs.select(F.col("h").alias("y"), F.col("species").alias("other"), "first")
+    found = met.join(hubs.select(F.col("h").alias("x"), "species"), "x").join(others, "y").where("species <> other")
+    best = found.groupBy(F.col("x").alias("h"), "species").agg(F.min("first").alias("other_seq"))
+    return kept.join(best, ["h", "species"]).select("seq", "other_seq")
 
 
 def first_in_group(df: DataFrame, keys: list[str], order: str = "seq") -> DataFrame:

@@ -40,12 +40,18 @@ def ded01_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return dedup.exact_duplicates(table(spark, d, "records")).select("seq", "status", "duplicate_of")
 
 
-@query(f"WITH {_KEPT} SELECT a.seq AS a, b.seq AS b, CAST(bit_count(xor(a.h, b.h)) AS INTEGER) AS distance FROM kept a JOIN kept b ON a.species = b.species AND a.seq < b.seq AND bit_count(xor(a.h, b.h)) <= 6")
+@query(f"WITH {_KEPT}, c AS (SELECT min(seq) AS id, h, species FROM kept WHERE h IS NOT NULL GROUP BY h, species) SELECT a.id AS a, b.id AS b, CAST(bit_count(xor(a.h, b.h)) AS INTEGER) AS distance FROM c a JOIN c b ON a.species = b.species AND a.id < b.id AND bit_count(xor(a.h, b.h)) <= 6")
 def ded02_near_pairs(spark: SparkSession, d: str) -> DataFrame:
     kept = table(spark, d, "records").where("status = 'kept'").select("seq", "species", hash_bits("phash").alias("h"))
     return dedup.near_pairs(kept, 6, "species")
 
 
+@query(f"WITH {_KEPT} SELECT seq AS id, min(seq) OVER (PARTITION BY h, species) AS class FROM kept WHERE h IS NOT NULL")
+def ded02_classes(spark: SparkSession, d: str) -> DataFrame:
+    kept = table(spark, d, "records").where("status = 'kept'").select("seq", "species", hash_bits("phash").alias("h"))
+    return dedup.hash_classes(kept, "species")
+
+
 _BLOCK = """v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
   m AS (SELECT vec_id, label, e, list_sort(e[2:])[32] AS med FROM v),
   hs AS (SELECT vec_id, label, CAST(list_sum(list_transform(range(64), lambda i: CASE WHEN e[i + 1] > med THEN CAST(power(2, 63 - i) AS UBIGINT)::HUGEINT ELSE 0::HUGEINT END)) AS UBIGINT) AS h FROM m)"""
@@ -56,7 +62,7 @@ def _hashes(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "embeddings").select(F.col("vec_id").alias("seq"), F.col("label").alias("species"), scalars.hash_of_block(F.transform("embedding", lambda x: x.cast("double"))).alias("h"))
 
 
-@query(f"WITH {_BLOCK} SELECT a.vec_id AS a, b.vec_id AS b, CAST(bit_count(xor(a.h, b.h)) AS INTEGER) AS distance FROM hs a JOIN hs b ON a.vec_id < b.vec_id AND bit_count(xor(a.h, b.h)) <= 20")
+@query(f"WITH {_BLOCK} SELECT a.vec_id AS a, b.vec_id AS b, CAST(bit_count(xor(a.h, b.h)) AS INTEGER) AS distance FROM (SELECT min(vec_id) AS vec_id, h FROM hs GROUP BY h) a JOIN (SELECT min(vec_id) AS vec_id, h FROM hs GROUP BY h) b ON a.vec_id < b.vec_id AND bit_count(xor(a.h, b.h)) <= 20")
 def ded02_near_pairs_t20(spark: SparkSession, d: str) -> DataFrame:
     return dedup.near_pairs(_hashes(spark, d), 20)
 

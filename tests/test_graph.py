@@ -67,9 +67,15 @@ def test_near_pairs_within(spark):
         h = signed(rng.integers(0, 2**63, dtype=np.uint64))
         rows += [(len(rows), h, "a"), (len(rows) + 1, h ^ 5, "a"), (len(rows) + 2, h, "b"), (len(rows) + 3, h, "a")]
     df = spark.createDataFrame(rows + [(9999, None, "a")], "seq long, h long, g string")
-    got = sorted((r["a"], r["b"], r["distance"]) for r in dedup.near_pairs(df, 6, "g").collect())
-    want = sorted((a[0], b[0], bin((a[1] ^ b[1]) & (2**64 - 1)).count("1")) for i, a in enumerate(rows) for b in rows[i + 1 :] if a[2] == b[2] and bin((a[1] ^ b[1]) & (2**64 - 1)).count("1") <= 6)
-    assert got == want
+    first = {}
+    for i, h, g in rows:
+        first.setdefault((h, g), i)
+    far = lambda a, b: bin((a ^ b) & (2**64 - 1)).count("1")
+    for within in ("g", None):
+        reps = {k if within else (k[0], ""): i for k, i in reversed(first.items())}
+        want = sorted((min(i, j), max(i, j), far(a, b)) for (a, g), i in reps.items() for (b, k), j in reps.items() if a < b and g == k and far(a, b) <= 6)
+        assert sorted((r["a"], r["b"], r["distance"]) for r in dedup.near_pairs(df, 6, within).collect()) == want
+    assert {r["id"]: r["class"] for r in dedup.hash_classes(df, "g").collect()} == {i: first[h, g] for i, h, g in rows}
 
 
 RECORDS = "seq long, species string, checksum string, phash string, downloaded_at string, status string, reason string, duplicate_of string"
