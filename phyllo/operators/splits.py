@@ -66,9 +66,10 @@ def repair(sizes: DataFrame, min_val: int = MIN_VAL, min_test: int = MIN_TEST, m
 
     sizes: (species, group_id, split, n). Only species that lack a side are touched, and only training groups move.
     """
-    low = Window.partitionBy("species")
-    lacking = sizes.withColumn("_v", F.sum(F.when(F.col("split") == "val", F.col("n")).otherwise(0)).over(low)).withColumn("_t", F.sum(F.when(F.col("split") == "test", F.col("n")).otherwise(0)).over(low))
-    lacking = lacking.where((F.col("_v") < min_val) | (F.col("_t") < min_test)).select("species", "group_id", "split", "n")
+    side = lambda name: F.sum(F.when(F.col("split") == name, F.col("n")).otherwise(0))
+    short = sizes.groupBy("species").agg(side("val").alias("_v"), side("test").alias("_t")).where((F.col("_v") < min_val) | (F.col("_t") < min_test)).select("species")
+    # a species with many groups has all sides, so what is grouped here is small
+    lacking = sizes.join(short, "species", "left_semi").select("species", "group_id", "split", "n")
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = {g: [s, int(n)] for g, s, n in zip(pdf["group_id"], pdf["split"], pdf["n"])}

@@ -91,9 +91,9 @@ def sample_records(sample: DataFrame, records: DataFrame) -> DataFrame:
 
 
 def with_headings(rows: DataFrame) -> DataFrame:
-    """rows with ``heading`` where the species changes in the order of the credit list."""
-    last = F.lag("species").over(Window.partitionBy(F.lit(0)).orderBy("species", "author", "source_id"))
-    return rows.withColumn("heading", F.coalesce(last != F.col("species"), F.lit(True)))
+    """rows with ``heading`` at the first of each species in the order of the credit list; species are independent."""
+    n = F.row_number().over(Window.partitionBy("species").orderBy("author", "source_id"))
+    return rows.withColumn("heading", n == 1)
 
 
 def release_checks(files: DataFrame, labels: DataFrame, card: DataFrame) -> DataFrame:

@@ -79,6 +79,7 @@ def test_credits_and_release(spark):
     df = spark.createDataFrame(rows, "status string, species string, author string, source string, source_id string, license string, license_url string, original_url string, path string")
     text = [r["value"] for r in sinks.attributions_text(df).collect()]
     assert text == ["## A\n\n- Zoe, CC0, u1\n", "## B\n\n- author not stated, CC0, u2\n"]
+    assert sorted((r["source_id"], r["heading"]) for r in sinks.with_headings(df).collect()) == [("1", True), ("2", True), ("3", False)]
     made = spark.createDataFrame([("m", bytearray(b"abc"))], "name string, content binary")
     labels = spark.createDataFrame([("a",), ("b",)], "class_id string")
     sha = made.select(F.sha2("content", 256)).first()[0]
