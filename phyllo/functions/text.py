@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from phyllo.session import ship
+
 #: Letters that decomposition leaves whole. Fixed values.
 WHOLE = str.maketrans({"ß": "ss", "æ": "ae", "œ": "oe", "ø": "o", "đ": "d", "ð": "d", "ł": "l", "þ": "th", "ı": "i"})
 #: What folding takes away (all combining marks) or spells out.
@@ -38,6 +40,7 @@ def map_distinct(df: DataFrame, column: str, alias: str, f, kind: T.DataType, ke
             new = pa.array([None if v is None else f(v) for v in values.dictionary.to_pylist()], to)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pc.take(new, values.indices)], names=[*keep, alias])
 
+    ship(df.sparkSession)
     return df.select(*dict.fromkeys([*keep, column])).mapInArrow(run, schema)
 
 

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from phyllo.session import ship
 from phyllo.sources.files import exists
 
 
@@ -49,6 +50,7 @@ def predict(images: DataFrame, make: Callable[[], Callable[[pd.DataFrame], np.nd
         for b in batches:
             yield b[columns].assign(p=[list(map(float, x)) for x in model(b)])
 
+    ship(images.sparkSession)
     return images.mapInPandas(run, schema)
 
 

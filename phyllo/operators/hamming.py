@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from phyllo.session import ship
+
 Cut = tuple[int, int]
 LEVELS = 3
 
@@ -161,6 +163,7 @@ def self_pairs(hashes: DataFrame, c: str = "h", t: int = 6, bucket: int = 50_000
             if out is not None:
                 yield out
 
+    ship(hashes.sparkSession)
     found = None
     for part in parts:
         sorted_ = part.select("path", "v", "h").repartition("path", "v").sortWithinPartitions("path", "v")

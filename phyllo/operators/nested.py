@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from phyllo.session import ship
+
 
 def _positions(parent: pa.Array) -> pa.Array:
     """0, 1, 2 ... within each run of equal parent indices."""
@@ -77,6 +79,7 @@ def child_table(df: DataFrame, keys: dict[str, str], levels: list[dict], fields:
             if batch.num_rows:
                 yield explode_batch(batch, keys, levels, fields)
 
+    ship(df.sparkSession)
     return source.mapInArrow(run, schema)
 
 

@@ -12,6 +12,7 @@ from phyllo.functions.scalars import group_key, split_of
 from phyllo.operators.components import components
 from phyllo.operators.dedup import hash_components
 from phyllo.operators.hamming import hash_bits
+from phyllo.session import ship
 
 MIN_VAL, MIN_TEST, MIN_TRAIN = 3, 1, 25
 #: Spellings of true in free flags. Fixed values.
@@ -83,6 +84,7 @@ def repair(sizes: DataFrame, min_val: int = MIN_VAL, min_test: int = MIN_TEST, m
                 out.append((pdf["species"].iloc[0], g, side))
         return pd.DataFrame(out, columns=["species", "group_id", "split"])
 
+    ship(sizes.sparkSession)
     return lacking.groupBy("species").applyInPandas(one, "species string, group_id string, split string")
 
 

@@ -6,6 +6,8 @@ import atexit
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,7 +31,22 @@ def get_session(name: str = "phyllo", cpus: str | None = None) -> SparkSession:
     )
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once a context: they may have neither its path nor its disk."""
+    context = spark.sparkContext
+    if getattr(context, "_phyllo_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    into = Path(tempfile.mkdtemp(prefix="phyllo-")) / "phyllo.zip"
+    with zipfile.ZipFile(into, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, Path("phyllo") / p.relative_to(root))
+    context.addPyFile(str(into))
+    context._phyllo_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -17,6 +17,8 @@ from collections.abc import Iterator
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from phyllo.session import ship
+
 
 def from_folder(root: str):
     """A fetcher over recorded pages."""
@@ -79,4 +81,5 @@ class Paged(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    ship(spark)
     spark.dataSource.register(Paged)

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from phyllo.session import ship
+
 
 def read_parquet(spark: SparkSession, path: str, schema, per_batch: int = 1) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", per_batch).parquet(path)
@@ -38,6 +40,7 @@ def quota(stream: DataFrame, key: str, order: str, quota: int) -> DataFrame:
         state.update((had + len(whole),))
         yield whole
 
+    ship(stream.sparkSession)
     return stream.groupBy(key).applyInPandasWithState(take, fields, "n long", "append", GroupStateTimeout.NoTimeout)
 
 
