@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from phyllo.session import materialize
+from phyllo.session import materialize, ship
 
 #: The white space of Unicode, and the word pattern of the public vocabulary with it. Fixed values.
 SPACE = r"\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
@@ -189,6 +189,7 @@ def encode(documents: DataFrame, path: str | None = None, key: str = "doc_id", t
 
     # rows are told apart by their place in the scan, so repeated keys or rows don't run together
     rows = documents.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.coalesce(words_of(text), F.array().cast("array<string>")).alias("words"))
+    ship(documents.sparkSession)
     kind = documents.schema[key].dataType.simpleString()
     placed = materialize(rows.mapInArrow(run, f"row long, key {kind}, ids array<int>, rare array<string>"), "placed")
     done = placed.where(F.size("rare") == 0).select(F.col("key").alias(key), "ids")

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from phyllo.functions.text import fold
+from phyllo.session import ship
 
 WINDOW, SPAN, SHARED, DENSITY = 3, 13, 11, 0.78
 BLOCK, SLACK, CLOSE, EDGE = 20_000, 12, 14, 10
@@ -202,6 +203,7 @@ def leaks(documents: DataFrame, items: DataFrame, names: DataFrame | None = None
         known = frozenset(w for r in rows for w in WORD.findall(fold(r["name"])))
     asked = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id IS NOT NULL AND text IS NOT NULL")
     n = max(1, -(-asked.count() // block))
+    ship(documents.sparkSession)
     out = None
     for b in range(n):
         own = asked if n == 1 else asked.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == b)

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from phyllo.session import ship
+
 WINDOW, LAGS, HALF = 12, 24, 0.5
 #: Function words of English, French, German and Italian. Fixed values.
 FUNCTION = frozenset(
@@ -139,6 +141,7 @@ def measure(documents: DataFrame) -> DataFrame:
             kinds = [batch.schema.field(0).type, *[pa.float64()] * 4]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kinds[k]) for k in range(5)], names=["doc_id", "stuffed", "linked", "recurrence", "autocorrelation"])
 
+    ship(documents.sparkSession)
     kind = documents.schema["doc_id"].dataType.simpleString()
     return documents.select("doc_id", "text").where("text IS NOT NULL").mapInArrow(run, f"doc_id {kind}, stuffed double, linked double, recurrence double, autocorrelation double")
 

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from phyllo.functions.text import fold
+from phyllo.session import ship
 
 BLOCK = 100_000
 #: Ranks, qualifiers and hybrid marks that are no words of a name. Fixed values.
@@ -253,6 +254,7 @@ def _block(answers: DataFrame, entries: list[tuple], key: str, columns: list[str
                 names=["k", "c", "score", "id", "other"],
             )
 
+    ship(answers.sparkSession)
     return answers.select(key, *columns).mapInArrow(run, f"k {kind}, c int, score long, id string, other string")
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from phyllo.functions.text import blank
 from phyllo.operators.components import components
 from phyllo.operators.hamming import hash_bits, self_pairs
-from phyllo.session import materialize
+from phyllo.session import materialize, ship
 
 BUNDLES = {
     "standing": ["status", "reason", "duplicate_of"],
@@ -180,6 +180,7 @@ def survivors(records: DataFrame, sources: DataFrame, t: int = 6) -> DataFrame:
             plain = [batch.column(c) for c in ("first_seq", "n_rows", "best_seq", "standing_seq", "file_seq", "time_seq")]
             yield pa.RecordBatch.from_arrays([*plain, *(pa.array(chosen[b], pa.int64()) for b in ("origin", "rights", "name"))], names=["first_seq", "n_rows", "best_seq", "standing_seq", "file_seq", "time_seq", "origin_seq", "rights_seq", "name_seq"])
 
+    ship(records.sparkSession)
     return known.mapInArrow(run, "first_seq long, n_rows long, best_seq long, standing_seq long, file_seq long, time_seq long, origin_seq long, rights_seq long, name_seq long")
 
 
