@@ -1,19 +1,19 @@
 """Similarity self-join of 64-bit hashes within a Hamming distance: exact, by bands, verified in vectorised blocks.
 
-The 64 bits are cut into ``t + 1`` bands; two hashes within t bits agree on one of them. So every hash goes to one bucket a
-band (its path), the buckets are shuffled as (path, hash) and sorted, and each bucket is joined with itself where it
-arrives: its remaining bits are cut into t + 1 bands again, and only hashes that agree on one of those are compared, whole
-columns at a time. In the JVM a hash join of the same pairs took six times the CPU, as it visits them row by row.
-
-A bucket of more than ``bucket`` hashes is not shuffled as one: it is cut by a further band of its remaining bits, up to
-``LEVELS`` times, so band values that a third of all hashes share make no giant bucket, and buckets stay small when the
-input grows. Equal hashes are collapsed before. No step drops a pair.
+Any bits, cut into ``t + 1`` bands, will do: two hashes within t bits agree on one of the bands. So every hash goes to one
+bucket a band, the buckets are shuffled as (scheme, band, value, hash) and sorted, and each bucket is joined with itself
+where it arrives: bands are cut again, out of the bits that tell its hashes apart, and only hashes that agree on one of
+those are compared, whole columns at a time. In the JVM a hash join of the same pairs took six times the CPU, as it visits
+them row by row.
+
+A bucket of more than ``bucket`` hashes is not shuffled as one: it gets a scheme of its own, bands of the bits that vary in
+it, up to ``LEVELS`` times. So band values that a third of all hashes share make no giant bucket, and buckets stay small when
+the input grows. Equal hashes are collapsed before. No step drops a pair.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +24,8 @@ from phyllo.session import ship
 
 Cut = tuple[int, int]
 LEVELS = 3
+#: A bit tells hashes apart if the rarer of its values has this share.
+VARIES = 0.1
 
 
 def hash_bits(c: Column | str) -> Column:
@@ -43,34 +45,17 @@ def band(c: Column, cut: Cut) -> Column:
     return F.shiftrightunsigned(c, start).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
 
 
-@lru_cache(maxsize=4096)
-def mask_of(path: tuple[int, ...], t: int) -> int:
-    """The bits fixed along a path: at each step one of t + 1 bands of the bits that are left."""
-    left, fixed = list(range(64)), 0
-    for step in path:
-        start, width = bands(t + 1, len(left))[step]
-        fixed |= sum(1 << b for b in left[start : start + width])
-        left = left[:start] + left[start + width :]
-    return fixed
-
-
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def _number(path: tuple[int, ...], t: int) -> int:
-    out = 0
-    for step in path:
-        out = out * (t + 2) + step + 1
-    return out
-
-
-def _path(number: int, t: int) -> tuple[int, ...]:
-    out = []
-    while number:
-        number, step = divmod(number, t + 2)
-        out.append(step - 1)
-    return tuple(reversed(out))
+def scheme(counts: np.ndarray, n: int, t: int) -> list[int]:
+    """Masks of t + 1 bands out of the bits that vary among n hashes, of which counts[k] have bit k set."""
+    share = np.minimum(counts, n - counts) / max(n, 1)
+    bits = [int(k) for k in np.flatnonzero(share >= VARIES)]
+    if len(bits) < 2 * (t + 1):  # too few of them: the most varied bits
+        bits = sorted(int(k) for k in np.argsort(-share, kind="stable")[: max(2 * (t + 1), int((share > 0).sum()))])
+    return [sum(1 << b for b in bits[start : start + width]) for start, width in bands(t + 1, len(bits))]
 
 
 def _compare(h: np.ndarray, key: np.ndarray, t: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -91,17 +76,14 @@ def _compare(h: np.ndarray, key: np.ndarray, t: int) -> list[tuple[np.ndarray, n
         d += 1
 
 
-def bucket_pairs(h: np.ndarray, fixed: int, t: int) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs (a < b as signed) within t bits of one bucket of distinct hashes that agree on the bits ``fixed``."""
+def bucket_pairs(h: np.ndarray, t: int) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs (a < b as signed) within t bits of one bucket of distinct hashes."""
     u = h.view(np.uint64)
     if len(u) <= 48:
         found = _compare(u, np.zeros(len(u), np.uint8), t)
     else:
-        left = [b for b in range(64) if not fixed >> b & 1]
-        found = []
-        for start, width in bands(t + 1, len(left)):
-            m = sum(1 << b for b in left[start : start + width])
-            found += _compare(u, u & np.uint64(m), t)
+        counts = np.unpackbits(u.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+        found = [p for m in scheme(counts, len(u), t) for p in _compare(u, u & np.uint64(m), t)]
     if not found:
         return np.array([], np.int64), np.array([], np.int64)
     a, b = (np.concatenate([p[k] for p in found]).view(np.int64) for k in (0, 1))
@@ -116,66 +98,58 @@ def self_pairs(hashes: DataFrame, c: str = "h", t: int = 6, bucket: int = 50_000
     """
     if not 0 <= t <= 30:
         raise ValueError("0 <= t <= 30")
+    spark = hashes.sparkSession
     own = hashes.select(F.col(c).alias("h")).where("h IS NOT NULL").distinct()
     h = F.col("h")
-    parts: list[DataFrame] = []
-    level = {(i,): None for i in range(t + 1)}
-    rows = own.select(h, F.explode(F.array(*[F.lit(_number(p, t)) for p in level])).alias("path"))
+    masks = [sum(1 << b for b in range(start, start + width)) for start, width in bands(t + 1)]
+    rows = own.select(F.lit(0).alias("s"), h, F.posexplode(F.array(*[h.bitwiseAND(F.lit(_signed(m)).cast("long")) for m in masks])).alias("i", "v"))
+    key, parts, last = ["s", "i", "v"], [], 0
     for depth in range(1, LEVELS + 1):
-        fixed = F.create_map(*[x for p in level for x in (F.lit(_number(p, t)), F.lit(_signed(mask_of(p, t))))])
-        rows = rows.withColumn("v", h.bitwiseAND(F.try_element_at(fixed, F.col("path"))) if depth > 1 else _fixed_bits(h, F.col("path"), level, t))
-        full = [] if depth == LEVELS else rows.groupBy("path", "v").agg(F.count("*").alias("n")).where(F.col("n") > bucket).select("path", "v").collect()
+        full = [] if depth == LEVELS else rows.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") > bucket).collect()
         if not full:
             parts.append(rows)
             break
-        big = F.broadcast(hashes.sparkSession.createDataFrame(full, "path int, v long"))  # one row for ``bucket`` hashes
-        parts.append(rows.join(big, ["path", "v"], "left_anti"))
-        paths = sorted({_path(r["path"], t) for r in full})
-        level = {(*p, i): None for p in paths for i in range(t + 1)}
-        deeper = F.transform(F.sequence(F.lit(1), F.lit(t + 1)), lambda i: F.col("path") * (t + 2) + i)
-        rows = rows.join(big, ["path", "v"], "left_semi").select(h, F.explode(deeper).alias("path"))
+        big = F.broadcast(spark.createDataFrame([tuple(r)[:3] for r in full], "s int, i int, v long"))  # one row for ``bucket`` hashes
+        parts.append(rows.join(big, key, "left_anti"))
+        crowded = rows.join(big, key, "left_semi")
+        bits = crowded.groupBy(*key).agg(F.count("*").alias("n"), F.array(*[F.sum(F.shiftrightunsigned(h, k).bitwiseAND(F.lit(1).cast("long"))) for k in range(64)]).alias("bits"))
+        plans = []
+        for r in bits.collect():
+            last += 1
+            plans.append((r["s"], r["i"], r["v"], last, [_signed(m) for m in scheme(np.array(r["bits"]), r["n"], t)]))
+        plan = F.broadcast(spark.createDataFrame(plans, "s int, i int, v long, own int, masks array<long>"))
+        rows = crowded.join(plan, key).select(F.col("own").alias("s"), h, F.posexplode("masks").alias("i", "m")).select("s", "h", "i", h.bitwiseAND(F.col("m")).alias("v"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
-        at: tuple[int, int] | None = None
+        at: tuple | None = None
 
         def close() -> pa.RecordBatch | None:
-            own = np.concatenate(held) if len(held) > 1 else held[0]
-            a, b = bucket_pairs(own, mask_of(_path(at[0], t), t), t)
+            a, b = bucket_pairs(np.concatenate(held) if len(held) > 1 else held[0], t)
             return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"]) if len(a) else None
 
         for batch in batches:
-            p, v, x = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("path", "v", "h"))
+            s, i, v, x = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("s", "i", "v", "h"))
             if not len(x):
                 continue
-            cuts = np.flatnonzero((p[1:] != p[:-1]) | (v[1:] != v[:-1])) + 1
+            cuts = np.flatnonzero((s[1:] != s[:-1]) | (i[1:] != i[:-1]) | (v[1:] != v[:-1])) + 1
             for start, stop in zip(np.r_[0, cuts], np.r_[cuts, len(x)]):
-                key = (int(p[start]), int(v[start]))
-                if key != at and held:
+                here = (int(s[start]), int(i[start]), int(v[start]))
+                if here != at and held:
                     out = close()
                     if out is not None:
                         yield out
                     held = []
-                at = key
+                at = here
                 held.append(np.ascontiguousarray(x[start:stop], dtype=np.int64))
         if held:
             out = close()
             if out is not None:
                 yield out
 
-    ship(hashes.sparkSession)
+    ship(spark)
     found = None
     for part in parts:
-        sorted_ = part.select("path", "v", "h").repartition("path", "v").sortWithinPartitions("path", "v")
-        one = sorted_.mapInArrow(run, "a long, b long")
+        one = part.select(*key, "h").repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "a long, b long")
         found = one if found is None else found.unionByName(one)
     return found.distinct().select("a", "b", F.bit_count(F.col("a").bitwiseXOR(F.col("b"))).alias("distance"))
-
-
-def _fixed_bits(h: Column, path: Column, level: dict, t: int) -> Column:
-    """h with only the bits of its path, as a short CASE that stays inside code generation."""
-    out = None
-    for p in level:
-        bits = h.bitwiseAND(F.lit(_signed(mask_of(p, t))).cast("long"))
-        out = F.when(path == _number(p, t), bits) if out is None else out.when(path == _number(p, t), bits)
-    return out
