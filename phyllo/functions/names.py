@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 #: Rank abbreviations of infraspecific names. Fixed values.
 RANKS = ("subsp", "ssp", "var", "f", "forma", "cv", "subvar")
 CROSS = "×"
+#: Apostrophes around cultivar names, besides the straight one. Fixed values.
+APOSTROPHES = "‘’ʻʼʽ′`´"
 
 
 def _c(c: Column | str) -> Column:
@@ -118,8 +120,7 @@ def title_variants(name: Column | str) -> Column:
 
 def cultivar(name: Column | str, parent: Column | str) -> Column:
     """The cultivar of a trade name: what is quoted, else a capitalised rest after the parent name that is no rank; else null."""
-    quotes = "[ʽʼ’‘`´\"“”]"
-    s = F.trim(F.regexp_replace(_c(name), quotes, "'"))
+    s = F.trim(F.translate(_c(name), APOSTROPHES, "'" * len(APOSTROPHES)))
     quoted = F.trim(F.regexp_extract(s, "'([^']+)'", 1))
     own = F.trim(_c(parent))
     rest = F.when(F.startswith(F.lower(s), F.lower(own)) & (own != ""), F.trim(F.substr(s, F.length(own) + 1)))

@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Words that mark a Commons category or title as no photograph. Fixed values.
-NOT_A_PHOTO = r"(?iu)\b(illustrations?|drawings?|herbarium|botanical art|paintings?|engravings?|stamps?|maps?|distribution|logos?|icons?|diagrams?|k[öo]hler|curtis|plates?|lithographs?|woodcuts?|products?)\b"
+#: Words of a title that is no photograph of a living plant. Fixed values, as patterns.
+NOT_A_PHOTO = [
+    "illustration", "drawing", "dessin", "zeichnung", "engraving", "gravure", "lithograph", r"botanical\s+plate", "planche", "k[öo]hler", r"flora\s+von", r"flora\s+of",
+    "herbarium", "herbier", "specimen", "holotype", "isotype", "lectotype", r"type\s+sheet", r"distribution\s+map", "carte", "diagram", "schema", "logo", "icon", "stamp", "timbre", r"coat\s+of\s+arms", "chromolith",
+]
 #: Entities in the order in which they are replaced. Fixed values.
-ENTITIES = [("&amp;", "&"), ("&quot;", '"'), ("&#039;", "'"), ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">")]
+ENTITIES = [("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#039;", "'"), ("&nbsp;", " ")]
 #: The format of collection logs: a counter, a name, and a failure with its reason. Fixed values.
-LOG_FAILED = r"^\s*\[\d+/\d+\]\s+(.+?):\s+(?:FAILED|ÉCHEC)\s+\((\w+)"
-LOG_SEEN = r"^\s*\[\d+/\d+\]\s+(.+?):\s"
+LOG_FAILED = r"^\[\d+/\d+\]\s+(.+?):\s+(?:FAILED|ÉCHEC)\s+\(([A-Za-z_][\w.]*)[:)]"
+LOG_SEEN = r"^\[\d+/\d+\]\s+(.+?):\s"
 
 
 def _c(c: Column | str) -> Column:
@@ -39,7 +42,7 @@ def plain_text(html: Column | str, most: int = 200) -> Column:
 
 
 def is_photo_title(title: Column | str) -> Column:
-    return ~_c(title).rlike(NOT_A_PHOTO)
+    return ~_c(title).rlike(rf"(?iu)\b(?:{'|'.join(NOT_A_PHOTO)})\b")
 
 
 def failed_name(line: Column | str) -> Column:

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from phyllo.functions.names import canonical_name, id_variants, internal_id, without_cross
 
 SMALL = 50_000
+#: Words of categories to visit first, in this order, and of those not to visit. Fixed values.
+PREFERRED = ["potted", "in pots", "indoor", "houseplant", "cultivars", "cultivated", "in gardens", "garden"]
+REFUSED = ["illustration", "herbarium", "specimen", "products", "stamps", "coins", "maps", "diagram", "seeds", "wood", "timber"]
 
 
 def maybe_broadcast(df: DataFrame, most: int = SMALL) -> DataFrame:
@@ -108,10 +111,13 @@ def compare_sets(a: DataFrame, b: DataFrame, only_a: str, only_b: str, both: str
     return rows.select("id", F.when(F.col("_b").isNull(), only_a).when(F.col("_a").isNull(), only_b).otherwise(both).alias("kind"))
 
 
-def ranked_categories(names: DataFrame, refused: Column, preferred: list[str], limit: int) -> DataFrame:
-    """Names (name, pos) that are not refused, those with a preferred word first (in the order of the words), capped."""
-    low = F.lower("name")
-    rank = F.lit(len(preferred))
-    for i in reversed(range(len(preferred))):
-        rank = F.when(F.contains(low, F.lit(preferred[i])), i).otherwise(rank)
-    return names.where(~refused).orderBy(rank, "pos").limit(limit)
+def ranked_categories(names: DataFrame, limit: int = 6, preferred: list[str] | None = None, refused: list[str] | None = None) -> DataFrame:
+    """Names (name, pos) without a refused word, those with a preferred word first (in the order of the words), capped."""
+    low, words = F.lower("name"), PREFERRED if preferred is None else preferred
+    has = lambda w: F.contains(low, F.lit(w))
+    rank, bad = F.lit(len(words)), F.lit(False)
+    for i in reversed(range(len(words))):
+        rank = F.when(has(words[i]), i).otherwise(rank)
+    for w in REFUSED if refused is None else refused:
+        bad = bad | has(w)
+    return names.where(~bad).orderBy(rank, "pos").limit(limit)

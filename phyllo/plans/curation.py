@@ -279,7 +279,7 @@ def scl07_photo_id(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "records").select("seq", scalars.photo_id_of("image_url").alias("photo_id"))
 
 
-@query("""SELECT doc_id, substr(trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(text, '<[^>]+>', ' ', 'g'), '&amp;', '&'), '&quot;', '"'), '&#039;', ''''), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '[\\s\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+', ' ', 'g')), 1, 200) AS plain FROM documents""")
+@query("""SELECT doc_id, substr(trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(text, '<[^>]+>', ' ', 'g'), '&amp;', '&'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#039;', ''''), '&nbsp;', ' '), '[\\s\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+', ' ', 'g')), 1, 200) AS plain FROM documents""")
 def scl09_plain_text(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", scalars.plain_text("text").alias("plain"))
 
@@ -360,7 +360,7 @@ def jn15_class_algebra(spark: SparkSession, d: str) -> DataFrame:
 
 
 _RUNS = "SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents WHERE text LIKE '%kept (gbif%'"
-_FAILED = r"^\s*\[\d+/\d+\]\s+(.+?):\s+(?:FAILED|ÉCHEC)\s+\((\w+)"
+_FAILED = r"^\[\d+/\d+\]\s+(.+?):\s+(?:FAILED|ÉCHEC)\s+\(([A-Za-z_][\w.]*)[:)]"
 
 
 @query(rf"SELECT reason, count(*) AS n FROM (SELECT doc_id, regexp_extract(line, '{_FAILED}', 1) AS name, arg_min(regexp_extract(line, '{_FAILED}', 2), pos) AS reason FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents WHERE text LIKE '%kept (gbif%') WHERE regexp_matches(line, '{_FAILED}') GROUP BY doc_id, name) GROUP BY reason")
@@ -368,7 +368,7 @@ def agg11_fail_reasons(spark: SparkSession, d: str) -> DataFrame:
     return logs.reasons(_lines(spark, d))
 
 
-@query(rf"SELECT p.internal_id FROM plants p WHERE p.scientific_name NOT IN (SELECT regexp_extract(line, '^\s*\[\d+/\d+\]\s+(.+?):\s', 1) FROM ({_RUNS}))")
+@query(rf"SELECT p.internal_id FROM plants p WHERE p.scientific_name NOT IN (SELECT regexp_extract(line, '^\[\d+/\d+\]\s+(.+?):\s', 1) FROM ({_RUNS}))")
 def jn20_never_reached(spark: SparkSession, d: str) -> DataFrame:
     expected = table(spark, d, "plants").select("internal_id", F.col("scientific_name").alias("name"))
     return logs.never_reached(_lines(spark, d), expected).select("internal_id")

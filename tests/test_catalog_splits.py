@@ -49,7 +49,7 @@ def test_groups_and_sets(spark):
     a, b = (spark.createDataFrame([(x,) for x in v], "id string") for v in (["p", "q", "q"], ["q", "r"]))
     assert dict(map(tuple, catalog.compare_sets(a, b, "a", "b", "both").collect())) == {"p": "a", "q": "both", "r": "b"}
     names = spark.createDataFrame([("X (garden)", 0), ("X (cultivars)", 1), ("X herbarium", 2), ("X (in pots)", 3)], "name string, pos int")
-    got = catalog.ranked_categories(names, F.col("name").contains("herbarium"), ["pot", "cultivar"], 6).collect()
+    got = catalog.ranked_categories(names).collect()
     assert [r["name"] for r in got] == ["X (in pots)", "X (cultivars)", "X (garden)"]
 
 
