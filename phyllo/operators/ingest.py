@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from phyllo.functions.licenses import is_allowed, parse_license
 from phyllo.functions.scalars import large_photo, photo_id_of
 from phyllo.operators.nested import child_table, inat_results
 
@@ -14,19 +15,24 @@ def given(*cs: Column) -> Column:
     return F.coalesce(*[F.when(c != "", c) for c in cs[:-1]], cs[-1])
 
 
+def with_allowed_license(candidates: DataFrame, share_alike: bool = False) -> DataFrame:
+    """The candidates whose licence can be read and allows commercial use and derivatives."""
+    return candidates.where(is_allowed(parse_license("license"), share_alike))
+
+
 def gbif_candidates(pages: DataFrame) -> DataFrame:
     """Still images of occurrences with an http address; the medium's own licence before the occurrence's.
 
     source_id counts all media of the occurrence, so it stays the same whatever the filter.
     """
-    carry = {"occ_key": "occ_key", "license": "occ_license", "rights_holder": "occ_holder", "recorded_by": "recorded_by", "ref_url": "occ_url", "dataset_key": "dataset_key"}
+    carry = {"occ_key": "occ_key", "license": "occ_license", "rights_holder": "occ_holder", "recorded_by": "recorded_by", "ref_url": "occ_url", "dataset_key": "dataset_key", "publishing_org_key": "org"}
     media = {"media_type": "media_type", "identifier": "image_url", "license": "own_license", "rights_holder": "own_holder", "creator": "creator", "publisher": "publisher"}
     rows = child_table(pages, {"page_id": "page_id"}, [{"array": "results", "pos": "result_pos", "carry": carry}, {"array": "media", "pos": "photo_pos"}], media)
     c = F.col
     return rows.where("media_type = 'StillImage' AND image_url LIKE 'http%'").select(
         "page_id", F.concat(c("occ_key").cast("string"), F.lit("#"), c("photo_pos")).alias("source_id"), F.lit("gbif").alias("source"), "image_url",
-        given(c("own_license"), c("occ_license")).alias("license"), given(c("own_holder"), c("creator"), c("occ_holder"), c("recorded_by")).alias("author"),
-        c("occ_key").cast("string").alias("observation_id"), c("occ_url").alias("original_url"), "publisher", "dataset_key",
+        given(c("own_license"), c("occ_license")).alias("license"), given(c("creator"), c("own_holder"), c("recorded_by"), c("occ_holder")).alias("author"),
+        c("occ_key").cast("string").alias("observation_id"), c("occ_url").alias("original_url"), given(c("publisher"), c("org")).alias("publisher"), "dataset_key",
     )
 
 

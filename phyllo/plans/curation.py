@@ -212,7 +212,7 @@ _MEDIA = """SELECT page_id, r, result_pos, unnest(r.media) AS m, unnest(range(le
 
 
 @query(f"""SELECT page_id, r.occ_key || '#' || pos AS source_id, m.identifier AS image_url, coalesce(nullif(m.license, ''), r.license) AS license,
-  coalesce(nullif(m.rights_holder, ''), nullif(m.creator, ''), nullif(r.rights_holder, ''), r.recorded_by) AS author FROM ({_MEDIA}) WHERE m.media_type = 'StillImage' AND m.identifier LIKE 'http%'""")
+  coalesce(nullif(m.creator, ''), nullif(m.rights_holder, ''), nullif(r.recorded_by, ''), r.rights_holder) AS author FROM ({_MEDIA}) WHERE m.media_type = 'StillImage' AND m.identifier LIKE 'http%'""")
 def prd04_gbif_candidates(spark: SparkSession, d: str) -> DataFrame:
     return ingest.gbif_candidates(table(spark, d, "gbif_pages")).select("page_id", "source_id", "image_url", "license", "author")
 

@@ -70,6 +70,9 @@ def test_candidates(spark):
     page = gbif(spark, [occurrence(42, [medium("https://a/photos/1/x.jpg", "CC0_1_0"), medium("https://b", None, "Sound"), medium("ftp://c", "x"), medium("http://d", "")], "CC_BY_4_0")])
     got = sorted((r["source_id"], r["license"], r["author"]) for r in ingest.gbif_candidates(page).collect())
     assert got == [("42#0", "CC0_1_0", "Ada"), ("42#3", "CC_BY_4_0", "Ada")]
+    assert ingest.with_allowed_license(ingest.gbif_candidates(page)).count() == 2
+    assert ingest.with_allowed_license(ingest.gbif_candidates(gbif(spark, [occurrence(1, [medium("http://a", "CC_BY_SA_4_0")])])), True).count() == 1
+    assert ingest.with_allowed_license(ingest.gbif_candidates(gbif(spark, [occurrence(1, [medium("http://a", "CC_BY_SA_4_0"), medium("http://b", None)])]))).count() == 0
     known = spark.createDataFrame([("gbif", "42#3")], "source string, source_id string")
     assert [r["source_id"] for r in ingest.new_candidates(ingest.gbif_candidates(page), known, ["source_id"]).collect()] == ["42#0"]
     photos = [{"id": 1, "license_code": "cc-by", "url": "http://x/square.jpg"}, {"id": 2, "license_code": "cc0", "url": "http://x", "hidden": True}, {"id": 3, "url": "http://x"}, {"id": 4, "license_code": "cc-by", "url": "http://x/square.jpg"}]
