@@ -10,7 +10,7 @@ at its first piece within the radius, so no distinct is needed) and is verified
 
 Evaluation is the smaller side, as splits are; the counts of shingles are a table of 4 x 65,536 rows at most. Beyond
 ``MANY`` training hashes three pieces of 21 and 22 bits take the place of the four, with radii 2, 1, 1: five times the index
-for a thirtieth of the candidates a pair of hashes, so the join stays near its input in size.
+for a sixth of the candidates (1.3e-4 of all pairs in place of 8e-4), as these grow with the square of the input.
 
 Defined results: null, blank or malformed hashes match nothing; checksums are compared without case, null and blank ones
 match nothing; a row of both sides is paired with others but not with itself; each pair comes once; repeated split rows
