@@ -82,7 +82,10 @@ def internal_id(name: Column | str) -> Column:
 
 
 def genus_of(canonical: Column | str) -> Column:
-    return F.coalesce(F.try_element_at(F.split(_c(canonical), " "), F.lit(1)), F.lit(""))
+    """The first word that is no hybrid sign before the genus."""
+    words = F.split(_c(canonical), " ")
+    at = F.when((words[0] == CROSS) & (F.size(words) > 1), 2).otherwise(1)
+    return F.coalesce(F.try_element_at(words, at), F.lit(""))
 
 
 def epithet_of(canonical: Column | str) -> Column:

@@ -260,10 +260,8 @@ def scl03_slug_id(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT internal_id, genus, CASE WHEN scientific_name LIKE '× %' THEN genus ELSE epithet END AS epithet FROM plants")
 def scl05_genus_epithet(spark: SparkSession, d: str) -> DataFrame:
-    own = table(spark, d, "plants")
     s = names.canonical_name("scientific_name")
-    lead = s.startswith("× ")
-    return own.select("internal_id", F.when(lead, F.col("genus")).otherwise(names.genus_of(s)).alias("genus"), F.when(lead, F.col("genus")).otherwise(names.epithet_of(s)).alias("epithet"))
+    return table(spark, d, "plants").select("internal_id", names.genus_of(s).alias("genus"), names.epithet_of(s).alias("epithet"))
 
 
 @query("""SELECT license, count(*) AS n, CASE WHEN allowed IS NULL THEN NULL ELSE code END AS code FROM (SELECT license, CASE
@@ -322,7 +320,7 @@ def agg08_distinct_members(spark: SparkSession, d: str) -> DataFrame:
 @query("""SELECT internal_id FROM (SELECT internal_id, row_number() OVER (PARTITION BY replace(internal_id, '-x-', '-') ORDER BY internal_id) AS n FROM plants
   WHERE replace(internal_id, '-x-', '-') NOT IN (SELECT DISTINCT replace(internal_plant_id, '-x-', '-') FROM splits WHERE internal_plant_id IS NOT NULL) AND internal_id NOT LIKE 'x-%') WHERE n = 1""")
 def sel01_keep_candidates(spark: SparkSession, d: str) -> DataFrame:
-    plants = table(spark, d, "plants").where("internal_id NOT LIKE 'x-%'").select("internal_id", F.col("internal_id").alias("ord"))
+    plants = table(spark, d, "plants").select("internal_id", F.col("internal_id").alias("ord"))
     known = table(spark, d, "splits").select(F.col("internal_plant_id").alias("id")).where("id IS NOT NULL").distinct()
     return catalog.keep_new(plants, known, "internal_id", "ord").select("internal_id")
 

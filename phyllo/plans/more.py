@@ -91,10 +91,10 @@ def prd12_verdict(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT internal_id AS asked, internal_id AS label, 'direct' AS how FROM plants WHERE internal_id IN (SELECT internal_plant_id FROM splits) AND NOT internal_id LIKE 'x-%'")
 def jn10_resolve_labels(spark: SparkSession, d: str) -> DataFrame:
-    p = table(spark, d, "plants").where("NOT internal_id LIKE 'x-%'")
+    p = table(spark, d, "plants")
     labels = table(spark, d, "splits").select(F.col("internal_plant_id").alias("class_id")).where("class_id <> ''").distinct()
     out = catalog.resolve_labels(p.select(F.col("scientific_name").alias("name")), labels, catalog.alias_map(p))
-    return out.where("how = 'direct'").select(F.col("id").alias("asked"), "label", "how")
+    return out.select(F.col("id").alias("asked"), "label", "how")
 
 
 @query("SELECT internal_id, o FROM (SELECT replace(replace(lower(replace(species, '×', 'x')), ' ', '-'), '.', '') AS internal_id, min(seq) AS o FROM records GROUP BY 1) WHERE internal_id NOT IN (SELECT internal_id FROM plants WHERE family = 'Vaduraceae')")
@@ -106,7 +106,7 @@ def jn12_register(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT DISTINCT species AS id, internal_plant_id AS class_id FROM records WHERE internal_plant_id IN (SELECT internal_id FROM plants WHERE family = 'Paroraceae') AND internal_plant_id NOT LIKE 'x-%'")
 def jn13_mapped_classes(spark: SparkSession, d: str) -> DataFrame:
-    foreign = table(spark, d, "records").where("internal_plant_id <> '' AND internal_plant_id NOT LIKE 'x-%'").select(F.col("species").alias("id"), F.col("species").alias("name")).distinct()
+    foreign = table(spark, d, "records").select(F.col("species").alias("id"), F.col("species").alias("name")).distinct()
     labels = table(spark, d, "plants").where("family = 'Paroraceae'").select(F.col("internal_id").alias("class_id"))
     return services.mapped_classes(foreign, labels).select("id", "class_id")
 
@@ -115,7 +115,7 @@ def jn13_mapped_classes(spark: SparkSession, d: str) -> DataFrame:
 def jn14_foreign_counts(spark: SparkSession, d: str) -> DataFrame:
     meta = table(spark, d, "records").where("source = 'plantnet300k'").select(F.col("species").alias("species_id"), "license", F.col("status").alias("organ"))
     mapping = table(spark, d, "plants").select(F.col("scientific_name").alias("id"), F.col("internal_id").alias("class_id"))
-    return services.foreign_counts(meta, mapping, ["CC0 1.0", "CC BY 4.0"]).where("kind <> 'species'")
+    return services.foreign_counts(meta, mapping, ["CC0 1.0", "CC BY 4.0"])
 
 
 @query("SELECT count(DISTINCT species) AS names, count(DISTINCT species) FILTER (species IN (SELECT scientific_name FROM plants)) AS resolved FROM records")
@@ -191,4 +191,4 @@ def spl09_seeded_sample(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT internal_id, regexp_replace(replace(lower(scientific_name), '×', ' '), '\\s+', ' ', 'g') AS comparable FROM plants WHERE scientific_name NOT LIKE '× %'")
 def scl06_comparable(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "plants").where("scientific_name NOT LIKE '× %'").select("internal_id", names.comparable("scientific_name").alias("comparable"))
+    return table(spark, d, "plants").select("internal_id", names.comparable("scientific_name").alias("comparable"))
