@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from phyllo.operators.components import components
-from phyllo.operators.hamming import band, bands, hash_bits, self_pairs
+from phyllo.operators.hamming import hash_bits, self_pairs
 
 NEAR = 6
 
@@ -44,34 +44,31 @@ def near_pairs(rows: DataFrame, t: int = NEAR, within: str | None = None, row_id
     """(a, b, distance), a < b, of the classes of rows whose different hashes (bigint) lie within t bits.
 
     Rows of equal hash are one class, named by its smallest id (``hash_classes`` has the members), so blank pictures are not
-    paired one by one; within: only hashes of equal values there. Over the whole table the exact Hamming self-join finds the
-    pairs; within groups (species) bands and group are the keys of an equi-join whose condition holds the Hamming test.
+    paired one by one; within: only hashes of equal values there, null with none. The exact Hamming self-join finds the
+    pairs, with a hash of the group in its buckets, so that a hot group is cut; the group itself is compared at the end.
     """
-    keys = ["h"] + (["g"] if within else [])
-    own = rows.select(F.col(row_id).alias("id"), F.col(h).alias("h"), *([F.col(within).alias("g")] if within else [])).where("h IS NOT NULL")
-    classes = own.groupBy(*keys).agg(F.min("id").alias("id"))
-    x = F.bit_count(F.col("l.h").bitwiseXOR(F.col("r.h")))
-    if within:
-        spread = classes.select("id", *keys, F.posexplode(F.array(*[band(F.col("h"), c) for c in bands(t + 1)])).alias("n", "v"))
-        left, right = spread.alias("l"), spread.alias("r")
-        on = (F.col("l.n") == F.col("r.n")) & (F.col("l.v") == F.col("r.v")) & (F.col("l.g") == F.col("r.g"))
-        return left.join(right, on & (F.col("l.id") < F.col("r.id")) & (x <= t)).select(F.col("l.id").alias("a"), F.col("r.id").alias("b"), x.alias("distance")).distinct()
-    met = self_pairs(classes, "h", t).withColumnsRenamed({"a": "x", "b": "y"})
-    i, j = classes.select(F.col("id").alias("i"), F.col("h").alias("x")), classes.select(F.col("id").alias("j"), F.col("h").alias("y"))
-    return met.join(i, "x").join(j, "y").select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b"), "distance")
+    group = F.col(within) if within else F.lit("")
+    own = rows.select(F.col(row_id).alias("id"), F.col(h).alias("h"), group.alias("g")).where("h IS NOT NULL AND g IS NOT NULL")
+    classes = own.groupBy("g", "h").agg(F.min("id").alias("id")).withColumn("k", F.xxhash64("g"))
+    met = self_pairs(classes, "h", t, group="k")
+    side = lambda h, g, i: classes.select("k", F.col("h").alias(h), F.col("g").alias(g), F.col("id").alias(i))
+    both = met.join(side("a", "g", "i"), ["k", "a"]).join(side("b", "g2", "j"), ["k", "b"]).where("g = g2")
+    return both.select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b"), "distance")
 
 
-def hash_components(rows: DataFrame, t: int = NEAR, within: str | None = None) -> DataFrame:
-    """(seq, root) of the rows (seq, h) that have a near twin, single linkage; root is the smallest seq of the group.
-
-    Equal hashes are linked as a star to their first row, not pair by pair.
-    """
+def hash_links(rows: DataFrame, t: int = NEAR, within: str | None = None) -> DataFrame:
+    """(a, b): links between the rows (seq, h) that are near twins; equal hashes are a star around their first row."""
     keys = ["h"] + ([within] if within else [])
-    own = rows.select("seq", *keys).where("h IS NOT NULL")
+    own = rows.select("seq", *keys).dropna(subset=keys)
     hubs = own.groupBy(*keys).agg(F.min("seq").alias("hub"))
     close = near_pairs(hubs.withColumnRenamed("hub", "seq"), t, within)
     stars = own.join(hubs, keys).where("seq <> hub").select(F.col("hub").alias("a"), F.col("seq").alias("b"))
-    return components(close.select("a", "b").unionByName(stars)).select(F.col("node").alias("seq"), "root")
+    return close.select("a", "b").unionByName(stars)
+
+
+def hash_components(rows: DataFrame, t: int = NEAR, within: str | None = None) -> DataFrame:
+    """(seq, root) of the rows (seq, h) that have a near twin, single linkage; root is the smallest seq of the group."""
+    return components(hash_links(rows, t, within)).select(F.col("node").alias("seq"), "root")
 
 
 def mark_duplicates(records: DataFrame, t: int = NEAR) -> DataFrame:

@@ -6,6 +6,9 @@ where it arrives: bands are cut again, out of the bits that tell its hashes apar
 those are compared, whole columns at a time. In the JVM a hash join of the same pairs took six times the CPU, as it visits
 them row by row.
 
+With groups, only hashes of one group are paired: the group is part of the bucket, so that a group which a third of all
+rows share is cut like any other full bucket.
+
 A bucket of more than ``bucket`` hashes is not shuffled as one: it gets a scheme of its own, bands of the bits that vary in
 it, up to ``LEVELS`` times. So band values that a third of all hashes share make no giant bucket, and buckets stay small when
 the input grows. Equal hashes are collapsed before. No step drops a pair.
@@ -24,6 +27,8 @@ from phyllo.session import ship
 
 Cut = tuple[int, int]
 LEVELS = 3
+#: Buckets up to this size are compared as they are.
+SMALL = 48
 #: A bit tells hashes apart if the rarer of its values has this share.
 VARIES = 0.1
 
@@ -58,98 +63,113 @@ def scheme(counts: np.ndarray, n: int, t: int) -> list[int]:
     return [sum(1 << b for b in bits[start : start + width]) for start, width in bands(t + 1, len(bits))]
 
 
-def _compare(h: np.ndarray, key: np.ndarray, t: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Pairs within t bits among hashes of equal key: each hash against the one d places on, for all d at once a column."""
-    order = np.argsort(key, kind="stable")
-    h, key = h[order], key[order]
-    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+def _near(h: np.ndarray, starts: np.ndarray, t: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs within t bits in each run of h: each hash against the one d places on, for all d at once a column."""
     ends = np.repeat(np.r_[starts[1:], len(h)], np.diff(np.r_[starts, len(h)]))
-    at, d, out = np.arange(len(h)), 1, []
+    at, d, left, right = np.arange(len(h)), 1, [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     while True:
         at = at[at + d < ends[at]]
         if not len(at):
-            return out
-        a, b = h[at], h[at + d]
-        near = np.flatnonzero(np.bitwise_count(a ^ b) <= t)
-        if len(near):
-            out.append((a[near], b[near]))
+            return np.concatenate(left), np.concatenate(right)
+        near = at[np.bitwise_count(h[at] ^ h[at + d]) <= t]
+        left.append(near)
+        right.append(near + d)
         d += 1
 
 
+def _compare(h: np.ndarray, key: np.ndarray, t: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs within t bits among hashes of equal key."""
+    order = np.argsort(key, kind="stable")
+    h, key = h[order], key[order]
+    a, b = _near(h, np.flatnonzero(np.r_[True, key[1:] != key[:-1]]), t)
+    return h[a], h[b]
+
+
 def bucket_pairs(h: np.ndarray, t: int) -> tuple[np.ndarray, np.ndarray]:
     """All pairs (a < b as signed) within t bits of one bucket of distinct hashes."""
     u = h.view(np.uint64)
-    if len(u) <= 48:
-        found = _compare(u, np.zeros(len(u), np.uint8), t)
+    if len(u) <= SMALL:
+        found = [_compare(u, np.zeros(len(u), np.uint8), t)]
     else:
         counts = np.unpackbits(u.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-        found = [p for m in scheme(counts, len(u), t) for p in _compare(u, u & np.uint64(m), t)]
-    if not found:
-        return np.array([], np.int64), np.array([], np.int64)
+        found = [_compare(u, u & np.uint64(m), t) for m in scheme(counts, len(u), t)]
     a, b = (np.concatenate([p[k] for p in found]).view(np.int64) for k in (0, 1))
     pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
     return pairs[:, 0], pairs[:, 1]
 
 
-def self_pairs(hashes: DataFrame, c: str = "h", t: int = 6, bucket: int = 50_000) -> DataFrame:
+def self_pairs(hashes: DataFrame, c: str = "h", t: int = 6, bucket: int = 50_000, group: str | None = None) -> DataFrame:
     """(a, b, distance), a < b, of all pairs of different values of the bigint column c within t bits, each once.
 
-    Nulls are ignored and repeated values count once. 0 <= t <= 30.
+    group: a bigint column; pairs of equal groups only, as (group, a, b, distance). Nulls in either are ignored and repeated
+    values count once. 0 <= t <= 30.
     """
     if not 0 <= t <= 30:
         raise ValueError("0 <= t <= 30")
     spark = hashes.sparkSession
-    own = hashes.select(F.col(c).alias("h")).where("h IS NOT NULL").distinct()
+    own = hashes.select(F.col(c).alias("h"), (F.col(group) if group else F.lit(0)).cast("long").alias("g")).where("h IS NOT NULL AND g IS NOT NULL").distinct()
     h = F.col("h")
     masks = [sum(1 << b for b in range(start, start + width)) for start, width in bands(t + 1)]
-    rows = own.select(F.lit(0).alias("s"), h, F.posexplode(F.array(*[h.bitwiseAND(F.lit(_signed(m)).cast("long")) for m in masks])).alias("i", "v"))
-    key, parts, last = ["s", "i", "v"], [], 0
+    rows = own.select("g", F.lit(0).alias("s"), h, F.posexplode(F.array(*[h.bitwiseAND(F.lit(_signed(m)).cast("long")) for m in masks])).alias("i", "v"))
+    key, parts, last = ["g", "s", "i", "v"], [], 0
     for depth in range(1, LEVELS + 1):
         full = [] if depth == LEVELS else rows.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") > bucket).collect()
         if not full:
             parts.append(rows)
             break
-        big = F.broadcast(spark.createDataFrame([tuple(r)[:3] for r in full], "s int, i int, v long"))  # one row for ``bucket`` hashes
+        big = F.broadcast(spark.createDataFrame([tuple(r)[:4] for r in full], "g long, s int, i int, v long"))  # one row for ``bucket`` hashes
         parts.append(rows.join(big, key, "left_anti"))
         crowded = rows.join(big, key, "left_semi")
         bits = crowded.groupBy(*key).agg(F.count("*").alias("n"), F.array(*[F.sum(F.shiftrightunsigned(h, k).bitwiseAND(F.lit(1).cast("long"))) for k in range(64)]).alias("bits"))
         plans = []
         for r in bits.collect():
             last += 1
-            plans.append((r["s"], r["i"], r["v"], last, [_signed(m) for m in scheme(np.array(r["bits"]), r["n"], t)]))
-        plan = F.broadcast(spark.createDataFrame(plans, "s int, i int, v long, own int, masks array<long>"))
-        rows = crowded.join(plan, key).select(F.col("own").alias("s"), h, F.posexplode("masks").alias("i", "m")).select("s", "h", "i", h.bitwiseAND(F.col("m")).alias("v"))
+            plans.append((*(r[k] for k in key), last, [_signed(m) for m in scheme(np.array(r["bits"]), r["n"], t)]))
+        plan = F.broadcast(spark.createDataFrame(plans, "g long, s int, i int, v long, own int, masks array<long>"))
+        rows = crowded.join(plan, key).select("g", F.col("own").alias("s"), h, F.posexplode("masks").alias("i", "m")).select("g", "s", "h", "i", h.bitwiseAND(F.col("m")).alias("v"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        at: tuple | None = None
-
-        def close() -> pa.RecordBatch | None:
-            a, b = bucket_pairs(np.concatenate(held) if len(held) > 1 else held[0], t)
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"]) if len(a) else None
-
+        def pairs(columns: list[np.ndarray]) -> pa.RecordBatch:
+            """Of whole buckets: the small ones together, the others one by one."""
+            g, x = columns[0], columns[4]
+            cuts = np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in columns[:4]])) + 1
+            starts = np.r_[0, cuts]
+            size = np.diff(np.r_[starts, len(x)])
+            rows = np.flatnonzero(np.repeat((size > 1) & (size <= SMALL), size))
+            few = size[(size > 1) & (size <= SMALL)]
+            a, b = _near(x[rows].view(np.uint64), np.r_[0, np.cumsum(few)[:-1]], t) if len(rows) else (rows, rows)
+            a, b = rows[a], rows[b]
+            out = [(g[a], np.minimum(x[a], x[b]), np.maximum(x[a], x[b]))]
+            for k in np.flatnonzero(size > SMALL):
+                low, high = bucket_pairs(x[starts[k] : starts[k] + size[k]], t)
+                out.append((np.full(len(low), g[starts[k]]), low, high))
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[n] for o in out])) for n in range(3)], names=["g", "a", "b"])
+
+        waiting: list[list[np.ndarray]] = []
         for batch in batches:
-            s, i, v, x = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("s", "i", "v", "h"))
-            if not len(x):
+            if not batch.num_rows:
+                continue
+            columns = [batch.column(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in (*key, "h")]
+            # the last bucket of a batch may go on in the next
+            change = np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in columns[:4]])) + 1
+            first = [c[0] for c in columns[:4]] == [c[-1] for c in waiting[-1][:4]] if waiting else True
+            cut = int(change[-1]) if len(change) else (0 if first else -1)
+            if cut == 0:
+                waiting.append(columns)
+                continue
+            if cut < 0:  # one bucket, another than the one that waits
+                yield pairs([np.concatenate(c) for c in zip(*waiting)])
+                waiting = [columns]
                 continue
-            cuts = np.flatnonzero((s[1:] != s[:-1]) | (i[1:] != i[:-1]) | (v[1:] != v[:-1])) + 1
-            for start, stop in zip(np.r_[0, cuts], np.r_[cuts, len(x)]):
-                here = (int(s[start]), int(i[start]), int(v[start]))
-                if here != at and held:
-                    out = close()
-                    if out is not None:
-                        yield out
-                    held = []
-                at = here
-                held.append(np.ascontiguousarray(x[start:stop], dtype=np.int64))
-        if held:
-            out = close()
-            if out is not None:
-                yield out
+            waiting.append([c[:cut] for c in columns])
+            yield pairs([np.concatenate(c) for c in zip(*waiting)])
+            waiting = [[c[cut:] for c in columns]]
+        if waiting:
+            yield pairs([np.concatenate(c) for c in zip(*waiting)])
 
     ship(spark)
     found = None
     for part in parts:
-        one = part.select(*key, "h").repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "a long, b long")
+        one = part.select(*key, "h").repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "g long, a long, b long")
         found = one if found is None else found.unionByName(one)
-    return found.distinct().select("a", "b", F.bit_count(F.col("a").bitwiseXOR(F.col("b"))).alias("distance"))
+    return found.distinct().select(*([F.col("g").alias(group)] if group else []), "a", "b", F.bit_count(F.col("a").bitwiseXOR(F.col("b"))).alias("distance"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from phyllo.functions.scalars import group_key, split_of
 from phyllo.operators.components import components
-from phyllo.operators.dedup import hash_components
+from phyllo.operators.dedup import hash_links
 from phyllo.operators.hamming import hash_bits
 from phyllo.session import ship
 
@@ -35,8 +35,7 @@ def assign_groups(records: DataFrame, t: int = 6) -> DataFrame:
     for c in ("key", "checksum"):
         part = kept.join(hub(c), c).where("seq <> hub").select(F.col("hub").alias("a"), F.col("seq").alias("b"))
         links = part if links is None else links.unionByName(part)
-    near = hash_components(kept.select("seq", "species", "h"), t, "species").where("seq <> root").select(F.col("root").alias("a"), F.col("seq").alias("b"))
-    roots = components(links.unionByName(near)).withColumnRenamed("node", "seq")
+    roots = components(links.unionByName(hash_links(kept.select("seq", "species", "h"), t, "species"))).withColumnRenamed("node", "seq")
     named = kept.select("seq", "key").join(roots, "seq", "left").select("seq", F.coalesce("root", "seq").alias("root"))
     return named.join(kept.select(F.col("seq").alias("root"), F.col("key").alias("group_id")), "root").select("seq", "group_id")
 

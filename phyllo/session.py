@@ -7,6 +7,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +19,9 @@ _written: list[tuple[SparkSession, str]] = []
 def get_session(name: str = "phyllo", cpus: str | None = None) -> SparkSession:
     """A local session for tests and bench; on a cluster the submitted session is used as it is."""
     cpus = cpus or os.environ.get("BENCH_CPUS", "8")
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        return active
     return (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(name)
@@ -27,6 +32,7 @@ def get_session(name: str = "phyllo", cpus: str | None = None) -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.checkpoint.dir", os.environ.get("PHYLLO_SHARED") or _own_folder())
         .getOrCreate()
     )
 
@@ -50,11 +56,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _own_folder() -> str:
+    """A folder of this machine, for local sessions only."""
+    return "file://" + os.path.join(tempfile.gettempdir(), "phyllo-shared")
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir of the session, or, where that is unset, a local one."""
+    """The folder all executors share: spark.checkpoint.dir of the session.
+
+    Where that is unset, a local session takes a folder of its machine, and any other raises: executors on several
+    machines would each write to their own disk, and what the driver reads back would lack their parts.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
-        found = "file://" + os.path.join(tempfile.gettempdir(), "phyllo-shared")
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
+        found = _own_folder()
+    if found.startswith("file://"):
         os.makedirs(found[7:], exist_ok=True)
     return found.rstrip("/")
 
@@ -89,6 +108,18 @@ def release(df: DataFrame) -> None:
         _written[:] = [x for x in _written if x[1] != path]
 
 
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Delete at the end of the block what materialize wrote within it; results must be written or collected by then."""
+    before = {path for _, path in _written}
+    try:
+        yield
+    finally:
+        for spark, path in [x for x in _written if x[1] not in before]:
+            _delete(spark, path)
+            _written.remove((spark, path))
+
+
 @atexit.register
 def _cleanup() -> None:
     for spark, path in _written:

@@ -1,8 +1,10 @@
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
 
+from phyllo import session
 from phyllo.operators import dedup
 from phyllo.operators.components import components
 from phyllo.operators.hamming import self_pairs
@@ -92,3 +94,28 @@ def test_mark_duplicates(spark):
     assert got == {1: ("kept", ""), 2: ("duplicate", "a"), 3: ("duplicate", "a"), 4: ("kept", ""), 5: ("kept", ""), 6: ("rejected", ""), 7: ("kept", ""), 8: ("kept", "")}
     assert sorted(map(tuple, dedup.cross_species(df).collect())) == [(4, 5), (5, 4)]
     assert dedup.mark_duplicates(df.limit(0)).count() == 0
+
+
+class Elsewhere:
+    """What shared_dir reads of a session that is not local and names no shared folder."""
+
+    master = "spark://somewhere:7077"
+    sparkContext = conf = property(lambda self: self)
+
+    def get(self, key, default=None):
+        return default
+
+    def getConf(self):
+        return self
+
+
+def test_no_shared_folder_off_local():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(Elsewhere())
+
+
+def test_scratch_is_deleted(spark):
+    with session.scratch():
+        path = session.materialize(spark.range(3), "test")._phyllo_path.removeprefix("file://")
+        assert Path(path).is_dir()
+    assert not Path(path).exists()
