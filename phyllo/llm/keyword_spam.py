@@ -1,15 +1,26 @@
 """Keyword-stuffed and link-list pages: recurrence gaps, positional autocorrelation and lists without function words.
 
-A text is cut into links, tags and units (lines, sentences, list members). Links and hash tags are stuffing by themselves.
-A run of units is stuffing if it reads as a list of nouns instead of sentences: a lag window of ``WINDOW`` words around each
-word holds no article and no two different function words, and either the terms recur with the regularity that only a machine keeps up (short
-recurrence gaps; positional autocorrelation: the share of words that return at the lags 1 to ``LAGS``), or the run is a
-list of distinct nouns or product tags (prices, article numbers). Records of a log or a table (numbered, with counts)
-and names beside sentences stay, as they are neither repeated terms nor tags. A page is flagged if more than half of its
-characters are stuffing.
-
-Everything is computed within a text, the whole text, in one pass without a shuffle. Defined results: null, empty and
-blank texts and texts without words are not flagged; repeated rows give repeated results; tables may have other columns.
+A text is cut into links, tags and units (lines, sentences, list members). Links, hash tags and units with prices or article
+numbers are stuffing by themselves; records of a log are not. The words of all other units, in their order, are judged by
+lag windows:
+
+* Repetition. A word recurs if the same word stands at most ``LAGS`` words away. Around each word, the share of content
+  words that recur and the share of words that return at one and the same lag (positional autocorrelation) are taken;
+  prose does not reach ``DENSE`` and ``REGULAR``, whatever its language. Function words don't excuse repetition.
+* Lists. A unit whose words mostly have no two different function words within ``NEAR`` places (one may belong to a
+  keyword; a core one, such as an article, suffices) is a list of nouns in place of a sentence, unless it is shaped like a
+  sentence: ``SHAPED`` to ``LONG`` words, an end mark, a comma after every third word at most. So prose of languages that
+  nothing is known about stays.
+
+Which words are function words is learned from the corpus, of each language: those that stand in at least ``COMMON`` of the
+sentences (``CORE``: the core ones), averaged over the documents, so that a word must be frequent and evenly spread to get
+there. One aggregation over all texts with map-side combine finds them; at most some hundred words a language are collected,
+since the shares of one sentence's words sum to its length. A language with fewer than ``LEAST`` documents isn't learned.
+As a text may hold several languages, each stretch of ``SPAN`` words is measured by the language that knows most of them.
+
+A page is flagged if more than half of its characters are stuffing. Every text is measured whole, without a shuffle.
+Defined results: null, empty and blank texts and texts without words are not flagged; repeated rows give repeated results;
+a table without the column lang is one of unknown languages; tables may have other columns.
 """
 
 from __future__ import annotations
@@ -18,35 +29,16 @@ import html
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from phyllo.session import ship
 
-WINDOW, LAGS, HALF = 12, 24, 0.5
-#: Function words of English, French, German and Italian. Fixed values.
-FUNCTION = frozenset(
-    """a about above across after against all along also although always among an and are around as at be because been before behind below beside between
-    beyond both but by can could did do does doesn't don't down during each either every few for from had has have he her here him his how i if in inside into is it it's its
-    just like may me might more most much must my near nearly never no nor not now of off often on once only or other our out outside over own per rarely seldom she
-    should since so some soon still such than that the their them then there these they this those through to too toward towards under until up upon us usually was we were what
-    when whenever where which while who whom whose why will with within without would you your
-    à afin ainsi alors après au aucun aussi autour autre aux avant avec bien bientôt c ça car ce cela ces cet cette ceux chaque chez comme contre d dans de depuis derrière des
-    devant donc dont du elle elles en encore entre est et été être eux fois il ils j jamais je jusqu jusque l la là le les leur leurs lentement lorsque lui mais me même mes
-    moi mon n ne ni nos notre nous on ont ou où par parce parfois parmi pas peu pendant plus pour pourquoi près puis qu quand que quel quelle qui s sa sans se selon
-    ses si sinon son sont souvent sous sur ta tandis te tes toi ton toujours tous tout toute tous très tu un une vers voici vos votre vous y
-    aber alle allem allen aller alles als also am an auch auf aus bald bei bevor bin bis da damit dann das dass dein dem den denn der des dessen die dies diese diesem dieser dieses
-    doch dort du durch ein eine einem einen einer eines er es etwas euch für gegen hat hatte hier hinter ich ihm ihn ihr ihre im immer in indem ins ist ja jede jedem jeden
-    jeder jedes jetzt kann kaum kein keine können langsam lang man mehr mein meist mich mit nach neben nicht nichts noch nun nur ob obwohl oder oft ohne schon sehr sein seine
-    sich sie sind so sobald über um und uns unter vom von vor wann war warum was weil weiter wenn wer werden wie wieder will wir wird wo zu zum zur zwischen
-    a ad agli ai al alla alle allo anche attorno avanti benché c che chi ci ciò col come con contro cui da dagli dai dal dalla dalle dallo davanti degli dei del dell della
-    delle dello dentro di dietro dopo dove e ed è era essere fra fuori gli ha hanno ho i il in intorno io la le lei lo loro lui ma mai mentre mi mio molto ne negli nei nel nella
-    nelle nello nemmeno no noi non nostro o ogni oltre oppure per perché però più poi poiché presso prima può qua quale quando quanto quello questa questo qui quindi se sé
-    sempre senza si sia sono sopra sotto sta su sua sugli sui sul sulla sulle sullo suo talvolta te ti tra tu tuo tutti tutto un una uno verso vi voi""".split()
-)
-#: The articles among them. Fixed values.
-ARTICLES = frozenset("the a an le la les l un une des du der die das dem den ein eine einen einer il lo gli una uno".split())
+NEAR, LAGS, SPAN, HALF = 6, 12, 12, 0.5
+DENSE, REGULAR = 0.7, 0.5
+COMMON, CORE, LEAST, SHAPED, LONG = 0.06, 0.3, 30, 5, 60
 LINK = re.compile(r"<a\b[^<>]*>(.*?)</a>|\[([^\[\]\n]{0,200})\]\(\s*(?:https?://|www\.)[^()\s]*\s*\)|(?:https?://|www\.)[^\s<>()\"']+", re.I | re.S)
 TAG = re.compile(r"<[^<>]{1,300}>")
 HASH = re.compile(r"(?<![\w&/])#[^\W\d_]\w*")
@@ -54,11 +46,70 @@ WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 PRICE = re.compile(r"\d+(?:[.,]\d{2})?\s?(?:EUR|USD|GBP|CHF|€|\$|£)(?!\w)|(?:€|\$|£|EUR|USD|GBP|CHF)\s?\d|\b(?:SKU|EAN|GTIN|ASIN|MPN|REF|ART)[-:# ]?\s?[A-Z0-9-]*\d{3,}", re.I)
 RECORD = re.compile(r"^\W{0,3}(?:\[\d+(?:/\d+)?\]|\d{4}-\d\d-\d\d|\d\d:\d\d)|\b\w+:\s*\d+\b.*\d|\(\w+ \d+")
 DIGIT = re.compile(r"\d")
-UNIT = re.compile(r"\n+|(?<=[.!?…])\s+|\s[·•|»]+\s|\s>>\s|;\s")
+#: Latin, Greek and Cyrillic small letters, with which no sentence begins. Fixed values.
+SMALL = "a-zß-öø-ÿα-ωа-я"
+UNIT = re.compile(rf"\n+|(?<=[.!?…])\s+(?![{SMALL}])|\s[·•|»]+\s|\s>>\s|(?<=;)\s+")
+END = re.compile(r"[.!?…;。！？]\W*$")
+#: The parts of a sentence-like unit in the JVM: what may not count as words, where units end, words. Elided words are split.
+JVM_NOISE, JVM_UNIT, JVM_WORD = r"https?://\S+|www\.\S+|<[^<>]{1,300}>|#\w+", r"\n+|(?<=[.!?…])\s+(?!\p{Ll})|;\s", r"[\p{L}\p{M}]+"
+
+
+def _language(c: Column) -> Column:
+    """The first two or three letters of a declared language in lower case; '' for null, und and anything else."""
+    code = F.regexp_extract(F.lower(F.trim(c)), r"^([a-z]{2,3})(?:[-_].*)?$", 1)
+    return F.coalesce(F.when(code != "und", code), F.lit(""))
+
+
+def _declared(documents: DataFrame) -> Column:
+    return _language(F.col("lang").cast("string")) if "lang" in documents.columns else F.lit("")
+
 
+def function_words(documents: DataFrame) -> DataFrame:
+    """(lang, word, share): the words that stand in at least COMMON of the sentences of a language with LEAST documents.
 
-def _function(w: str) -> bool:
-    return w in FUNCTION or ("'" in w or "’" in w) and any(p in FUNCTION for p in w.replace("’", "'").split("'"))
+    share is the mean over the documents of the share of their sentences that hold the word. A sentence is a unit of
+    SHAPED to LONG words with an end mark.
+    """
+    text = F.regexp_replace("text", JVM_NOISE, " ")
+    units = F.filter(F.split(text, JVM_UNIT), lambda u: u.rlike(r"[.!?…]\W*$"))
+    words = F.transform(units, lambda u: F.regexp_extract_all(F.lower(u), F.lit(JVM_WORD), F.lit(0)))
+    words = F.transform(F.filter(words, lambda w: F.size(w).between(SHAPED, LONG)), lambda w: F.array_distinct(w))
+    rows = documents.select(_declared(documents).alias("lang"), words.alias("units")).where("lang <> '' AND size(units) > 0")
+    each = rows.select("lang", (F.lit(1.0) / F.size("units")).alias("weight"), F.explode(F.flatten("units")).alias("word"))
+    total = rows.groupBy("lang").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST)
+    mean = each.groupBy("lang", "word").agg(F.sum("weight").alias("w"))
+    return mean.join(F.broadcast(total), "lang").where(F.col("w") >= COMMON * F.col("n")).select("lang", "word", (F.col("w") / F.col("n")).alias("share"))
+
+
+class Learned:
+    """The function words of the learned languages: {language: {word: core}}."""
+
+    def __init__(self, languages: dict[str, dict[str, bool]]) -> None:
+        self.languages = languages
+        self.spoken: dict[str, dict[str, int]] = {}  # word -> {language: 1, or 2 for a core word}
+        for lang, own in languages.items():
+            for word, core in own.items():
+                self.spoken.setdefault(word, {})[lang] = 1 + core
+
+    def marks(self, words: list[str], lang: str) -> list[int]:
+        """Of each of some neighbouring words: 0, 1 for a function word, 2 for a core one of the language that knows most of them."""
+        found = [self.spoken.get(w) or (None if w.isalpha() else self._elided(w)) for w in words]
+        heard: dict[str, set[str]] = {}
+        for w, langs in zip(words, found):
+            for k in langs or ():
+                heard.setdefault(k, set()).add(w)
+        if not heard:
+            return [0] * len(words)
+        best = max(heard, key=lambda k: (len(heard[k]), k == lang, k))
+        return [langs.get(best, 0) if langs else 0 for langs in found]
+
+    def _elided(self, w: str) -> dict[str, int] | None:
+        """Of a word with an apostrophe, whose parts were learned apart."""
+        out: dict[str, int] = {}
+        for part in re.split("['’]", w):
+            for k, n in self.spoken.get(part, {}).items():
+                out[k] = max(n, out.get(k, 0))
+        return out or None
 
 
 def _size(s: str) -> int:
@@ -66,86 +117,163 @@ def _size(s: str) -> int:
     return sum(map(len, s.split()))
 
 
-def recurrence(words: list[str]) -> tuple[float, float]:
-    """(share of words that returned within LAGS words, the best share of words that return at one lag)."""
-    n = len(words)
-    if n < 2:
-        return 0.0, 0.0
-    last: dict[str, int] = {}
-    near = 0
-    for i, w in enumerate(words):
-        if i - last.get(w, -n) <= LAGS:
-            near += 1
-        last[w] = i
-    best = 0.0
-    for lag in range(1, min(LAGS, n // 3) + 1):
-        best = max(best, sum(a == b for a, b in zip(words, words[lag:])) / (n - lag))
-    return near / n, best
-
-
-def _kind(unit: str) -> tuple[str, list[str]]:
-    """('tag' | 'record' | 'words', words) of one unit."""
-    words = [w.casefold() for w in WORD.findall(unit)]
-    if not DIGIT.search(unit):  # neither a price nor a record
-        return "words", words
-    if PRICE.search(unit):
-        return "tag", words
-    return ("record" if RECORD.search(unit) else "words"), words
-
-
-def stuffing(text: str) -> tuple[float, float, float, float]:
+class Batch:
+    """The plain words of many texts one after another, with their units, measured whole columns at a time."""
+
+    def __init__(self, learned: Learned) -> None:
+        self.learned, self.ids = learned, {}
+        self.word: list[int] = []  # of each word: its id,
+        self.mark: list[int] = []  # 0, 1 for a function word, 2 for a core one
+        self.per_unit: list[tuple[int, int, bool, int]] = []  # of each plain unit: words, size, may be a list, text
+        self.per_text: list[tuple[int, int, int]] = []  # of each text: its size, what is stuffing by itself, links and tags
+
+    def add(self, text: str, lang: str = "") -> None:
+        s = html.unescape(text) if "&" in text else text
+        linked = 0
+
+        def weigh(m: re.Match) -> str:
+            nonlocal linked
+            linked += _size(m.group())
+            return " "
+
+        s = TAG.sub("\n", LINK.sub(weigh, s))
+        if "#" in s:
+            linked += sum(map(len, HASH.findall(s)))
+            s = HASH.sub(" ", s)
+        total = stuffed = linked
+        plain: list[tuple[str, list[str]]] = []
+        for u in UNIT.split(s):
+            size = _size(u) if u else 0
+            if not size:
+                continue
+            total += size
+            if DIGIT.search(u):
+                if PRICE.search(u):
+                    stuffed += size
+                    continue
+                if RECORD.search(u):
+                    continue
+            plain.append((u, [w.casefold() for w in WORD.findall(u)]))
+        at, ids = len(self.per_text), self.ids
+        for u, ws in plain:
+            shaped = SHAPED <= len(ws) <= LONG and 3 * u.count(",") <= len(ws) and END.search(u) is not None
+            self.per_unit.append((len(ws), _size(u), not shaped, at))
+            self.word += [ids.setdefault(w, len(ids)) for w in ws]
+            for start in range(0, len(ws), SPAN):
+                self.mark += self.learned.marks(ws[start : start + SPAN], lang)
+        self.per_text.append((total, stuffed, linked))
+
+    def measures(self) -> np.ndarray:
+        """A row a text: (share of stuffing, share of links and tags, recurrence, autocorrelation)."""
+        n, texts = len(self.word), len(self.per_text)
+        size, alone, linked = (np.array([t[k] for t in self.per_text], np.float64) for k in range(3))
+        out = np.zeros((texts, 4))
+        some = np.maximum(size, 1)
+        if n:
+            words, unit_size, may, text = (np.array([u[k] for u in self.per_unit]) for k in range(4))
+            unit = np.repeat(np.arange(len(words)), words)
+            of = text[unit]
+            word, mark = np.array(self.word), np.array(self.mark, np.int8)
+            edges = np.searchsorted(of, np.arange(texts + 1))
+            first, last = edges[of], edges[of + 1]
+            key = of * (len(self.ids) + 1) + word
+            before = self._before(key)
+            repeated, near, auto = self._repeated(key, before, mark, first, last)
+            listed = self._bare(mark, before, first, last)
+            hits = lambda x: np.bincount(unit, x, len(words))
+            known = words > 0
+            bad = known & ((2 * hits(repeated) > words) | (may.astype(bool) & (2 * hits(listed) > words)))
+            # a unit or two of a text that reads as prose otherwise is a heading or a caption, no list
+            enough = np.bincount(text, np.where(bad, words, 0), texts) >= 8
+            alone = alone + np.bincount(text, np.where(bad, unit_size, 0), texts) * enough
+            counts = np.maximum(np.bincount(of, minlength=texts), 1)
+            out[:, 2], out[:, 3] = np.bincount(of, near, texts) / counts, np.bincount(of, auto, texts) / counts
+        out[:, 0], out[:, 1] = alone / some, linked / some
+        return out
+
+    @staticmethod
+    def _before(key: np.ndarray) -> np.ndarray:
+        """The place of the same word before, in the same text; far below all places if there is none."""
+        order = np.argsort(key, kind="stable")
+        out = np.full(len(key), -(1 << 40), np.int64)
+        same = key[order[1:]] == key[order[:-1]]
+        out[order[1:][same]] = order[:-1][same]
+        return out
+
+    @staticmethod
+    def _repeated(key: np.ndarray, before: np.ndarray, mark: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each word: stands it in regular repetition, the share that recurs around it, the best share at one lag."""
+        n = len(key)
+        at = np.arange(n)
+        low, high = np.maximum(at - SPAN, first), np.minimum(at + SPAN + 1, last)
+
+        def around(x: np.ndarray) -> np.ndarray:
+            sums = np.r_[0, np.cumsum(x, dtype=np.int64)]
+            return sums[high] - sums[low]
+
+        close = at - before <= LAGS
+        recurs = close.copy()
+        recurs[before[close]] = True
+        content = mark == 0
+        near = around(recurs & content) / np.maximum(around(content), 1)
+        best = np.zeros(n)
+        for lag in range(1, min(LAGS, n - 1) + 1):
+            equal = np.zeros(n, bool)
+            equal[lag:] = key[lag:] == key[:-lag]
+            equal[:-lag] |= equal[lag:]
+            best = np.maximum(best, around(equal))
+        best /= high - low
+        return (high - low >= SPAN) & ((near >= DENSE) & (best >= REGULAR)), near, best
+
+    @staticmethod
+    def _bare(mark: np.ndarray, before: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Of each word: are there neither two different function words nor a core one within NEAR places."""
+        n = len(mark)
+        at = np.arange(n)
+        low, high = np.maximum(at - NEAR, first), np.minimum(at + NEAR + 1, last)
+        seen = np.zeros(n, np.int16)
+        for d in range(-NEAR, NEAR + 1):
+            j = np.clip(at + d, 0, n - 1)
+            inside = (at + d >= low) & (at + d < high)
+            seen += np.where(inside & (before[j] < low), mark[j], 0).astype(np.int16)
+        return seen < 2
+
+
+def stuffing(text: str, lang: str = "", learned: Learned | None = None) -> tuple[float, float, float, float]:
     """(share of stuffing, share of links and tags, recurrence within LAGS, autocorrelation) of a text, by characters."""
-    s = html.unescape(text) if "&" in text else text
-    linked = 0
-
-    def weigh(m: re.Match) -> str:
-        nonlocal linked
-        linked += _size(m.group())
-        return "\n"
-
-    s = LINK.sub(weigh, s)
-    s = TAG.sub("\n", s)
-    hashed = HASH.findall(s)
-    s = HASH.sub(" ", s)
-    tagged = sum(map(len, hashed))
-    units = [(u, *_kind(u)) for u in UNIT.split(s) if u and not u.isspace()]
-    total = linked + tagged + sum(_size(u) for u, _, _ in units)
-    if not total:
-        return 0.0, 0.0, 0.0, 0.0
-    # function words in the lag window around each word, over the words of plain units in their order
-    owner = [k for k, (_, kind, ws) in enumerate(units) if kind == "words" for _ in ws]
-    words = [w for _, kind, ws in units if kind == "words" for w in ws]
-    marks = [w if _function(w) else None for w in words]
-    bare: dict[int, int] = {}
-    for i, k in enumerate(owner):
-        a, b = max(0, i - WINDOW // 2), min(len(words), i + WINDOW // 2 + 1)
-        # one function word may belong to a keyword (order now); two different ones, or an article, make a sentence likely
-        seen = {m for m in marks[a:b] if m}
-        bare[k] = bare.get(k, 0) + (len(seen) < 2 and not seen & ARTICLES)
-    listed = [k for k, n in bare.items() if n * 2 > len(units[k][2])]
-    of_list = [w for k in listed for w in units[k][2]]
-    near, auto = recurrence(of_list)
-    stuffed = linked + tagged + sum(_size(u) for u, kind, _ in units if kind == "tag")
-    # a list counts if its terms keep returning, or if it is long and of nouns only
-    if len(of_list) >= 8 and (near >= 0.2 or auto >= 0.1 or len(of_list) >= 20):
-        stuffed += sum(_size(units[k][0]) for k in listed)
-    return stuffed / total, (linked + tagged) / total, near, auto
-
-
-def measure(documents: DataFrame) -> DataFrame:
+    batch = Batch(learned or Learned({}))
+    batch.add(text, lang)
+    return tuple(batch.measures()[0].tolist())
+
+
+def learn(documents: DataFrame) -> Learned:
+    """The function words of a corpus; each language has some hundred at most."""
+    languages: dict[str, dict[str, bool]] = {}
+    for r in function_words(documents).collect():
+        languages.setdefault(r["lang"], {})[r["word"]] = r["share"] >= CORE
+    return Learned(languages)
+
+
+def measure(documents: DataFrame, learned: Learned | None = None) -> DataFrame:
     """(doc_id, stuffed, linked, recurrence, autocorrelation) of every document with a text."""
+    shared = documents.sparkSession.sparkContext.broadcast((learned or learn(documents)).languages)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [(d, *stuffing(t)) for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
-            kinds = [batch.schema.field(0).type, *[pa.float64()] * 4]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kinds[k]) for k in range(5)], names=["doc_id", "stuffed", "linked", "recurrence", "autocorrelation"])
+        known = Learned(shared.value)
+        for whole in batches:
+            for start in range(0, whole.num_rows, 2000):
+                part, batch = whole.slice(start, 2000), Batch(known)
+                for text, lang in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
+                    batch.add(text, lang)
+                got = batch.measures()
+                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(got[:, k]) for k in range(4))], names=["doc_id", "stuffed", "linked", "recurrence", "autocorrelation"])
 
     ship(documents.sparkSession)
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", "text").where("text IS NOT NULL").mapInArrow(run, f"doc_id {kind}, stuffed double, linked double, recurrence double, autocorrelation double")
+    rows = documents.select("doc_id", "text", _declared(documents).alias("lang")).where("text IS NOT NULL")
+    return rows.mapInArrow(run, f"doc_id {kind}, stuffed double, linked double, recurrence double, autocorrelation double")
 
 
-def spam(documents: DataFrame) -> DataFrame:
+def spam(documents: DataFrame, learned: Learned | None = None) -> DataFrame:
     """(doc_id, stuffed) of the documents more than half of whose text is stuffing."""
-    return measure(documents).where(F.col("stuffed") > HALF).select("doc_id", "stuffed")
+    return measure(documents, learned).where(F.col("stuffed") > HALF).select("doc_id", "stuffed")

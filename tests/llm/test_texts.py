@@ -133,3 +133,36 @@ def test_spam_table(spark):
     docs = spark.createDataFrame([(i, t, 1.0) for i, t in enumerate(STUFFED + HONEST)], "doc_id long, text string, stuffed double")
     assert {r["doc_id"] for r in keyword_spam.spam(docs).collect()} == set(range(len(STUFFED)))
     assert keyword_spam.spam(docs.limit(0)).count() == 0
+
+
+FOREIGN = [
+    "Комнатные растения требуют регулярного полива и хорошего освещения. Зимой воду дают реже, потому что рост замедляется. Весной пересадите цветок в более просторный горшок.",
+    "Bitkiyi doğrudan güneş ışığından uzak tutmak gerekir. Toprak kurudukça haftada bir kez sulama yapılır. Kışın sulama sıklığı azaltılmalıdır çünkü büyüme yavaşlar.",
+    "A növényt közvetlen napfénytől védett helyen kell tartani. A földet csak akkor öntözzük, amikor a felső rétege kiszáradt. Télen ritkábban kap vizet, mert lassabban nő.",
+    "Roślinę należy ustawić w jasnym miejscu z dala od kaloryfera. Podlewamy ją raz w tygodniu, gdy wierzchnia warstwa ziemi przeschnie. Zimą ograniczamy podlewanie i nie nawozimy.",
+    "Zet de plant op een lichte plek zonder felle middagzon. Geef eens per week water en laat de grond tussendoor opdrogen. In de winter groeit de plant langzamer en heeft hij minder nodig.",
+]
+LEARNED = keyword_spam.Learned({"en": {"the": True, "a": True, "for": False, "and": False, "of": False, "it": False}})
+
+
+@pytest.mark.parametrize("text", FOREIGN)
+@pytest.mark.parametrize("lang", ["", "en", "xx"])
+def test_prose_of_unknown_languages_stays(text, lang):
+    assert keyword_spam.stuffing(text, lang)[0] == keyword_spam.stuffing(text, lang, LEARNED)[0] == 0
+
+
+@pytest.mark.parametrize("text", ["buy plants for the garden and cheap plants for the garden " * 60, "buy the monstera, buy the monstera " * 30])
+def test_function_words_dont_excuse_repetition(text):
+    assert keyword_spam.stuffing(text)[0] > 0.5 < keyword_spam.stuffing(text, "en", LEARNED)[0]
+
+
+def test_function_words_are_learned(spark):
+    rng = random.Random(5)
+    nouns, rows = [f"noun{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(300)], []
+    for i in range(60):
+        rows.append((i, " ".join(f"The {rng.choice(nouns)} of the {rng.choice(nouns)} keeps {rng.choice(nouns)} near." for _ in range(6)), "EN" if i % 2 else "en-GB"))
+    rows += [(100, None, "en"), (101, "", "en"), (102, "kot ma mleko i nic poza tym.", "pl")]
+    got = {(r["lang"], r["word"]): r["share"] for r in keyword_spam.function_words(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert set(got) == {("en", w) for w in ("the", "of", "keeps", "near")} and all(abs(x - 1) < 1e-9 for x in got.values())
+    known = keyword_spam.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert keyword_spam.stuffing(" ".join(nouns[:90]), "en", known)[0] == 1
