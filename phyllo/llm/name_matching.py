@@ -2,18 +2,26 @@
 
 1. An Aho-Corasick automaton over all names and aliases (as folded words) finds the mentions embedded in a value; of the
    mentions that overlap the longest wins, and of the rest the longest, then the first.
-2. A value without one goes to abbreviations: an initial and an epithet match if just one plant fits.
-3. What is left goes to token-set similarity: the words of the value against the words of the candidates, words being as
-   similar as their edit distance leaves them; the candidates come from a second automaton over the fifths of all names,
-   as two wrong letters (a swap of neighbours is one) leave a fifth whole. Up to two wrong letters in all, unique best.
-
-The reference list goes to the executors up to ``BLOCK`` entries at a time; a longer list is matched block by block and the
-results of the blocks are merged, so no list is too long and none is cut.
+2. A value without one goes to abbreviations: an initial and an epithet match if just one plant fits; an epithet with wrong
+   letters if just one is nearest.
+3. What is left goes to token-set similarity: a name is as similar as its words find different words of the value, in any
+   order and among any others, each as similar as its edit distance leaves it; up to two wrong letters in all (a swap of
+   neighbours is one), for words out of their order one in four. The longest name wins, then the fewest wrong letters,
+   then words that stand together; else it is ambiguous. Words like a given one come from an index of all words with up to two letters left out.
+   A value whose words don't do it may be broken at wrong blanks: runs of words are compared with whole names,
+   blanks not counting, with candidates from a second automaton over the fifths of all names (two wrong letters leave a
+   fifth whole).
+
+The score of a match holds all that decides (kind, length, wrong letters, place), so it is the same whatever part of the list
+a name is compared with. Up to ``BLOCK`` entries are broadcast, and values are matched where they are. A longer list is cut
+into blocks (a genus in one block, as varieties are told from species), the distinct values are cut into slices, and each
+pair of a block and a slice is matched in one task by a cogrouped join; nothing is collected, and the table is read once.
 
 Defined results: null, blank and unmatched values give ''; two columns are tried both, the better match wins (whole
-mention over abbreviation over similarity), then the first column; names that mean two plants alike match neither (by their
-full form), except that a scientific name goes before a synonym; repeated rows give repeated results; an empty list leaves
-all unmatched. Only the named columns are read, so extra columns can't clash.
+mention over abbreviation over similar words over runs), then the first column; names that mean two plants alike match neither (by their
+full form), except that a scientific name goes before a synonym; a value that has but one word outside brackets is read with
+the bracketed words; repeated rows give repeated results; an empty list leaves all unmatched. Only the named columns are
+read, so extra columns can't clash.
 """
 
 from __future__ import annotations
@@ -24,6 +32,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import ahocorasick
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +40,9 @@ from pyspark.sql import functions as F
 from phyllo.functions.text import fold
 from phyllo.session import ship
 
-BLOCK = 100_000
+BLOCK, SLICE = 20_000, 50_000
+#: Bits of a score below the kind of match.
+KIND, PLACE = 56, (1 << 28) - 1
 #: Ranks, qualifiers and hybrid marks that are no words of a name. Fixed values.
 NO_WORD = {
     "x", "cf", "aff", "sp", "spp", "var", "v", "varietas", "subsp", "ssp", "subspecies", "f", "fo", "forma", "form", "subvar", "cv", "cultivar",
@@ -43,11 +54,12 @@ CULTIVAR = re.compile(r"\bcv\b\.?.*$", re.S)
 LETTERS = re.compile(r"[^\W_]+")
 
 
-def words(raw: str) -> list[str]:
+def words(raw: str, bracketed: bool = False) -> list[str]:
     """The folded words of a name: no marks of hybrids, ranks or doubt, no cultivars, no bracketed remarks."""
     s = html.unescape(html.unescape(raw.replace("&TIMES;", "&times;"))).replace("×", " ").replace("✕", " ").replace("_", " ")
     s = fold(s)
-    bare = CULTIVAR.sub(" ", BRACKETS.sub(" ", QUOTED.sub(" ", s)))
+    bare = QUOTED.sub(" ", s)
+    bare = CULTIVAR.sub(" ", bare if bracketed else BRACKETS.sub(" ", bare))
     found = LETTERS.findall(bare) or LETTERS.findall(s)
     # a first letter is an abbreviated genus, an x only if no genus follows it
     initial = len(found) > 1 and len(found[0]) == 1 and (found[0] != "x" or sum(w not in NO_WORD for w in found) == 1)
@@ -86,13 +98,22 @@ def letters(s: str) -> int:
     return out
 
 
+def shortened(w: str, most: int) -> set[str]:
+    """w with up to ``most`` letters left out: two words within ``most`` edits have one of these in common."""
+    out, last = {w}, {w}
+    for _ in range(most):
+        last = {x[:i] + x[i + 1 :] for x in last for i in range(len(x))}
+        out |= last
+    return out
+
+
 class Matcher:
     """Names of one block of the list: entries (id, scientific name, '|'-joined synonyms)."""
 
     def __init__(self, entries: list[tuple[str, str | None, str | None]], most: int = 2) -> None:
         self.most = most
         self.whole: dict[tuple[str, ...], tuple[int, set[str]]] = {}
-        self.short: dict[tuple[str, str], set[str]] = {}
+        self.short: dict[str, dict[str, set[str]]] = {}  # initial -> epithet -> ids
         for own, name, synonyms in entries:
             for rank, raw in [(0, name or ""), *((1, s) for s in (synonyms or "").split("|"))]:
                 full = tuple(self._name(raw, rank))
@@ -104,11 +125,19 @@ class Matcher:
                 elif had[0] == rank:
                     had[1].add(own)
                 if len(full) == 2:
-                    self.short.setdefault((full[0][0], full[1]), set()).add(own)
+                    self.short.setdefault(full[0][0], {}).setdefault(full[1], set()).add(own)
         self.longer: dict[tuple[str, ...], list[tuple[str, ...]]] = {}
+        self.holding: dict[str, list[tuple[str, ...]]] = {}  # last word of a name -> names
+        self.brief: dict[str, list[str]] = {}  # a shortened word -> words of names
+        self.near: dict[str, dict[str, int]] = {}
         for full in self.whole:
             if len(full) == 3:
                 self.longer.setdefault(full[:2], []).append(full)
+            self.holding.setdefault(full[-1], []).append(full)
+        for w in {w for full in self.whole for w in full}:
+            for x in shortened(w, most):
+                self.brief.setdefault(x, []).append(w)
+        self.least = min((sum(map(len, full)) for full in self.whole), default=0)
         self.mentions, self.pieces = ahocorasick.Automaton(), ahocorasick.Automaton()
         fifths: dict[str, dict[int, list[tuple[int, int, tuple[str, ...]]]]] = {}
         for full in self.whole:
@@ -133,31 +162,34 @@ class Matcher:
 
     def match(self, raw: str | None) -> tuple[int, str, str] | None:
         """(score, id, another id or ''): the higher the score the better; a second id makes it ambiguous."""
-        ws = words(raw) if raw else []
+        ws = words(raw) if raw and self.whole else []
         if not ws:
             return None
-        return self._mention(ws) or self._abbreviated(ws) or self._similar(ws)
+        found = self._mention(ws) or self._abbreviated(ws) or self._tokens(ws) or self._run(ws)
+        if found is None and len(ws) == 1 and BRACKETS.search(raw):  # the rest of the name may stand in brackets
+            more = words(raw, True)
+            if len(more) > 1:
+                found = self._mention(more, ws[0]) or self._tokens(more, ws[0])
+                return found and (found[0] & (1 << KIND) - 1, *found[1:])
+        return found
 
     @staticmethod
-    def _result(score: int, ids: set[str]) -> tuple[int, str, str]:
+    def _result(kind: int, rest: int, ids: set[str]) -> tuple[int, str, str]:
         two = sorted(ids)[:2]
-        return score, two[0], two[1] if len(two) > 1 else ""
+        return kind << KIND | rest, two[0], two[1] if len(two) > 1 else ""
 
-    def _mention(self, ws: list[str]) -> tuple[int, str, str] | None:
-        if not self.whole:
-            return None
+    def _mention(self, ws: list[str], must: str = "") -> tuple[int, str, str] | None:
         text = " " + " ".join(ws) + " "
-        found = [(end - sum(map(len, full)) - len(full) + 1, end, full) for end, full in self.mentions.iter(text)]
+        found = [(end - sum(map(len, full)) - len(full) + 1, end, full) for end, full in self.mentions.iter(text) if not must or must in full]
         free: list[tuple[int, int, tuple[str, ...]]] = []
         for start, end, full in sorted(found, key=lambda x: (-len(x[2]), x[0] - x[1], x[0])):
             if all(end <= a or start >= b for a, b, _ in free):
                 free.append((start, end, full))
         if not free:
             return None
-        _, _, full = min(free, key=lambda x: (-len(x[2]), x[0]))
-        full = self._below(ws, full) or full
+        low, full = min((((-len(x), start), x) for start, _, full in free for x in (self._below(ws, full) or full,)), key=lambda x: x[0])
         rank, ids = self.whole[full]
-        return self._result(3_000_000 + 1000 * sum(map(len, full)) + 10 * (1 - rank), ids)
+        return self._result(4, len(full) << 52 | (PLACE - min(low[1], PLACE)) << 20 | min(sum(map(len, full)), (1 << 19) - 1) << 1 | (1 - rank), ids)
 
     def _below(self, ws: list[str], full: tuple[str, ...]) -> tuple[str, ...] | None:
         """The variety whose name goes on after a species' name with up to two wrong letters."""
@@ -168,68 +200,119 @@ class Matcher:
         return near[0][1] if near and (len(near) == 1 or near[0][0] < near[1][0]) else None
 
     def _abbreviated(self, ws: list[str]) -> tuple[int, str, str] | None:
-        for a, b in zip(ws, ws[1:]):
-            if len(a) == 1:
-                ids = self.short.get((a, b))
-                if not ids and len(b) >= 6:
-                    near = [(d, i) for (x, e), own in self.short.items() if x == a and abs(len(e) - len(b)) <= self.most and (d := distance(e, b, self.most)) <= self.most for i in own]
-                    low = min((d for d, _ in near), default=0)
-                    ids = {i for d, i in near if d == low}
-                if ids:
-                    return self._result(2_000_000, ids)
-        return None
-
-    def _similar(self, ws: list[str]) -> tuple[int, str, str] | None:
-        if not self.whole or len(ws) == 1 and len(ws[0]) < 12:
-            return None
+        best: tuple[int, int] | None = None
+        ids: set[str] = set()
+        for i, (a, b) in enumerate(zip(ws, ws[1:])):
+            own = self.short.get(a) if len(a) == 1 else None
+            if not own:
+                continue
+            # a short word after an initial further on is an author
+            near = {b: 0} if b in own else {e: d for e in own if (i == 0 or len(b) >= 6) and (d := distance(e, b, self.most)) <= self.most}
+            for e, d in near.items():
+                if best is None or (d, i) < best:
+                    best, ids = (d, i), set()
+                if (d, i) == best:
+                    ids |= own[e]
+        return self._result(3, (self.most - best[0]) << 28 | PLACE - min(best[1], PLACE), ids) if best else None
+
+    def _alike(self, w: str) -> dict[str, int]:
+        """The words of names within ``most`` wrong letters of w, and how many they are."""
+        got = self.near.get(w)
+        if got is None:
+            if len(self.near) > 100_000:
+                self.near.clear()
+            met = {x for s in shortened(w, self.most) for x in self.brief.get(s, ())} if len(w) <= 40 else ()
+            got = self.near[w] = {x: d for x in met if (d := distance(x, w, self.most)) <= self.most}
+        return got
+
+    def _tokens(self, ws: list[str], must: str = "") -> tuple[int, str, str] | None:
+        """The names whose words all find different words of the value; ``must``: one word of the value that has to serve."""
+        places: dict[str, list[tuple[int, int]]] = {}  # word of a name -> (wrong letters, place in the value)
+        for i, w in enumerate(ws):
+            for x, d in self._alike(w).items():
+                places.setdefault(x, []).append((d, i))
+        best: tuple[int, int, int] = (0, 0, 0)
+        ids: set[str] = set()
+        for last in places:
+            for full in self.holding.get(last, ()):
+                if len(full) < best[0] or not all(x in places for x in full):
+                    continue
+                got = self._assign([places[x] for x in full], ws, ws.index(must) if must else None)
+                if got is None:
+                    continue
+                key = (len(full), self.most - got[0], got[1])
+                if key > best:
+                    best, ids = key, set()
+                if key == best:
+                    ids |= self.whole[full][1]
+        return self._result(2, best[0] << 40 | best[1] << 8 | best[2], ids) if ids else None
+
+    def _assign(self, places: list[list[tuple[int, int]]], ws: list[str], must: int | None) -> tuple[int, int] | None:
+        """(fewest wrong letters, 1 if the words stand together in order) of different places for each word of a name."""
+        best: tuple[int, int] | None = None
+
+        def go(k: int, wrong: int, taken: tuple[int, ...]) -> None:
+            nonlocal best
+            if wrong > self.most:
+                return
+            if k == len(places):
+                if must is not None and must not in taken:
+                    return
+                together = all(b == a + 1 for a, b in zip(taken, taken[1:]))
+                if together or all(4 * d <= len(ws[i]) for at, i in zip(places, taken) for d in (next(d for d, j in at if j == i),)):
+                    found = (wrong, -int(together))
+                    if best is None or found < best:
+                        best = found
+                return
+            for d, i in places[k]:
+                if i not in taken:
+                    go(k + 1, wrong + d, (*taken, i))
+
+        go(0, 0, ())
+        return (best[0], -best[1]) if best else None
+
+    def _run(self, ws: list[str]) -> tuple[int, str, str] | None:
+        """The names that a run of words spells, whatever its blanks."""
         flat, bounds = "".join(ws), [0]
+        if len(flat) < self.least - self.most:
+            return None
         for w in ws:
             bounds.append(bounds[-1] + len(w))
         candidates = set()
-        most = 2 * self.most  # a wrong letter takes one letter away and brings another at most
-        runs = {b: [(e - b, letters(flat[b:e])) for e in bounds[i + 1 : i + 6]] for i, b in enumerate(bounds[:-1])}
+        wrong = 2 * self.most  # a wrong letter takes one letter away and brings another at most
+        starts = {b: i for i, b in enumerate(bounds[:-1])}
+        ends = set(bounds)
         for end, (size, owners) in self.pieces.iter(flat):
             for at, names in owners.items():
                 # the name would start here: at a word, give or take the wrong letters before the piece, and end at one
                 near = end - size + 1 - at
-                spans = [run for b in range(near - self.most, near + self.most + 1) if b in runs for run in runs[b]]
-                if spans:
-                    candidates.update(full for n, own, full in names if any(abs(n - m) <= self.most and (own ^ has).bit_count() <= most for m, has in spans))
-        best, length, ids = self.most + 1, 0, set()
-        for full in candidates:
-            if len(full) < length:
+                here = [b for b in range(near - self.most, near + self.most + 1) if b in starts]
+                if here:
+                    candidates.update((full, b, n) for n, _, full in names for b in here if any(b + n + x in ends for x in range(-self.most, self.most + 1)))
+        best, ids = (0, 0), set()
+        for full, start, n in candidates:
+            if len(full) < best[0]:
                 continue
-            d = self._wrong(ws, full, self.most + 1 if len(full) > length else best)
-            if d <= self.most and (len(full) > length or d < best):  # a longer name is meant before a more similar one
-                best, length, ids = d, len(full), set()
-            if d == best <= self.most and len(full) == length:
-                ids |= self.whole[full][1]
-        return self._result(1_000_000 - best, ids) if ids else None
-
-    def _wrong(self, ws: list[str], full: tuple[str, ...], most: int) -> int:
-        """The least wrong letters between the name and any run of the value's words, blanks not counting."""
-        most, target = min(most, self.most), "".join(full)
-        best = most + 1
-        for n in (len(full), len(full) + 1, len(full) - 1):
-            for i in range(len(ws) - n + 1) if n else ():
-                if n == len(full):
-                    # each word must keep its own likeness: no genus may be traded for an epithet
-                    each = [distance(a, b, best - 1) for a, b in zip(ws[i : i + n], full)]
-                    d = sum(each)
-                else:
-                    d = distance("".join(ws[i : i + n]), target, best - 1)
-                best = min(best, d)
-        return best
-
-
-@lru_cache(maxsize=4)
+            target, own = "".join(full), letters("".join(full))
+            for x in range(-self.most, self.most + 1):
+                if start + n + x in ends and (letters(flat[start : start + n + x]) ^ own).bit_count() <= wrong:
+                    d = distance(flat[start : start + n + x], target, self.most)
+                    key = (len(full), self.most - d)
+                    if d <= self.most and key > best:
+                        best, ids = key, set()
+                    if d <= self.most and key == best:
+                        ids |= self.whole[full][1]
+        return self._result(1, best[0] << 40 | best[1] << 8, ids) if ids else None
+
+
+@lru_cache(maxsize=2)
 def _matcher(entries: tuple) -> Matcher:
     return Matcher(list(entries))
 
 
-def _block(answers: DataFrame, entries: list[tuple], key: str, columns: list[str]) -> DataFrame:
-    """(key, column, score, id, other) of one block of the list, best column first; no row where nothing matches."""
-    shared = answers.sparkSession.sparkContext.broadcast(tuple(entries))
+def _broadcast_matches(answers: DataFrame, listed: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """(k, c, score, id, other): each value that matches, where it is; listed has ``BLOCK`` entries at most."""
+    shared = answers.sparkSession.sparkContext.broadcast(tuple(sorted(map(tuple, listed.collect()), key=repr)))
     kind = answers.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,31 +337,46 @@ def _block(answers: DataFrame, entries: list[tuple], key: str, columns: list[str
                 names=["k", "c", "score", "id", "other"],
             )
 
-    ship(answers.sparkSession)
     return answers.select(key, *columns).mapInArrow(run, f"k {kind}, c int, score long, id string, other string")
 
 
-def match_names(answers: DataFrame, plants: DataFrame, key: str = "answer_id", columns: tuple[str, ...] = ("matched_as", "canonical_name"), block: int = BLOCK) -> DataFrame:
-    """(key, internal_id) of every row of answers; internal_id is '' where no entry of plants is meant."""
+def _joined_matches(values: DataFrame, listed: DataFrame, blocks: int, slices: int) -> DataFrame:
+    """(value, score, id, other): distinct values against a list of any length, a block and a slice a task."""
+    none = F.lit(None).cast("string")
+    synonyms = F.transform(F.split(F.coalesce("synonyms", F.lit("")), r"\|"), lambda s: F.struct(none.alias("scientific_name"), s.alias("synonyms")))
+    forms = F.concat(F.array(F.struct(F.col("scientific_name"), none.alias("synonyms"))), synonyms)
+    genus = F.regexp_extract(F.lower(F.coalesce("scientific_name", "synonyms")), r"\p{L}{2,}", 0)
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    names = listed.select("internal_id", F.inline(forms)).withColumn("b", F.pmod(F.xxhash64(genus), F.lit(blocks)).cast("int")).withColumn("s", every(slices))
+    asked = values.withColumn("s", F.pmod(F.xxhash64("value"), F.lit(slices)).cast("int")).withColumn("b", every(blocks))
+
+    def one(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        matcher = Matcher([tuple(None if x is None or x != x else x for x in r) for r in right[["internal_id", "scientific_name", "synonyms"]].itertuples(index=False)])
+        found = [(v, *m) for v in left["value"] if (m := matcher.match(v))]
+        return pd.DataFrame(found, columns=["value", "score", "id", "other"])
+
+    return asked.groupBy("b", "s").cogroup(names.groupBy("b", "s")).applyInPandas(one, "value string, score long, id string, other string")
+
+
+def match_names(answers: DataFrame, plants: DataFrame, key: str = "answer_id", columns: tuple[str, ...] = ("matched_as", "canonical_name"), block: int = BLOCK, piece: int = SLICE) -> DataFrame:
+    """(key, internal_id) of every row of answers; internal_id is '' where no entry of plants is meant.
+
+    ``block``: entries of the list, and ``piece``: distinct values, that one task takes; they don't change the result.
+    """
+    ship(answers.sparkSession)
     listed = plants.select("internal_id", "scientific_name", "synonyms").where("internal_id IS NOT NULL")
-    n = max(1, -(-listed.count() // block))
-    if n > 1:  # single names, those of one genus in one block, so that a variety meets its species
-        none = F.lit(None).cast("string")
-        synonyms = F.transform(F.split(F.coalesce("synonyms", F.lit("")), r"\|"), lambda s: F.struct(none.alias("scientific_name"), s.alias("synonyms")))
-        forms = F.concat(F.array(F.struct(F.col("scientific_name"), none.alias("synonyms"))), synonyms)
-        genus = F.regexp_extract(F.lower(F.coalesce("scientific_name", "synonyms")), r"\p{L}{2,}", 0)
-        listed = listed.select("internal_id", F.inline(forms)).withColumn("block", F.pmod(F.xxhash64(genus), F.lit(n)))
-    found = None
-    for b in range(n):
-        own = listed if n == 1 else listed.where(F.col("block") == b).drop("block")
-        part = _block(answers, [tuple(r) for r in own.collect()], key, list(columns))
-        found = part if found is None else found.unionByName(part)
+    blocks = max(1, -(-listed.count() // block))
+    if blocks == 1:
+        found = _broadcast_matches(answers, listed, key, list(columns))
+    else:
+        asked = answers.select(F.col(key).alias("k"), F.posexplode(F.array(*[F.col(c) for c in columns])).alias("c", "value")).where("value IS NOT NULL")
+        values = asked.select("value").distinct()
+        found = asked.join(_joined_matches(values, listed, blocks, max(1, -(-values.count() // piece))), "value").drop("value")
     # per column the best score, and whether it means one plant only; then the better column
     per = found.groupBy("k", "c").agg(F.max("score").alias("top"), F.collect_set(F.struct("score", "id", "other")).alias("all"))
     ids = F.array_distinct(F.flatten(F.transform(F.filter("all", lambda x: x["score"] == F.col("top")), lambda x: F.array(x["id"], x["other"]))))
     per = per.withColumn("ids", F.array_remove(ids, "")).where(F.size("ids") == 1)
-    # whole mentions, abbreviations and similar names are told apart by the millions of the score
-    best = per.groupBy("k").agg(F.max(F.struct(F.expr("top div 1000000").alias("kind"), (-F.col("c")).alias("first"), F.col("ids")[0].alias("id"))).alias("best"))
+    best = per.groupBy("k").agg(F.max(F.struct(F.shiftright("top", KIND).alias("kind"), (-F.col("c")).alias("first"), F.col("ids")[0].alias("id"))).alias("best"))
     return answers.select(key).join(best, answers[key] == best["k"], "left").select(key, F.coalesce("best.id", F.lit("")).alias("internal_id"))
 
 

@@ -1,6 +1,7 @@
 """Names, tokens, leaks and stuffing on small cases."""
 
 import itertools
+import os
 import random
 
 import pytest
@@ -37,6 +38,34 @@ def test_names(spark):
     assert lost["Rosa canina"] == 2 and "Ficus elastica" not in lost
 
 
+FREE = [
+    ("deliciosa Monstera", "monstera-deliciosa"), ("elastica (Ficus)", "ficus-elastica"), ("delicioza, Monstera", "monstera-deliciosa"), ("Monstera huge deliciosa", "monstera-deliciosa"), ("Ficus (elastica)", "ficus-elastica"),
+    ("Ficuselastica", "ficus-elastica"), ("Fi cus elas tica", "ficus-elastica"), ("Mon ste radelic iosa", "monstera-deliciosa"), ("M. delicosa", "monstera-deliciosa"), ("F. elastita", ""), ("Rosa canina (Ficus elastica)", ""), ("elastica", ""),
+]
+
+
+@pytest.mark.parametrize("block", [100_000, 3, 1])
+def test_names_in_any_order(spark, block):
+    df = spark.createDataFrame([(i, a, None) for i, (a, _) in enumerate(FREE)], "answer_id long, matched_as string, canonical_name string")
+    more = plants(spark, [*PLANTS, ("felicia-elastita", "Felicia elastita", None), ("ficus-elastata", "Ficus elastata", "Fagus elastita")])
+    want = [b for _, b in FREE]
+    got = dict(map(tuple, name_matching.match_names(df, more, block=block, piece=5).collect()))
+    assert [got[i] for i in range(len(FREE))] == want
+    own = spark.createDataFrame([(1, "F. elastica", None)], "answer_id long, matched_as string, canonical_name string")
+    assert name_matching.match_names(own, plants(spark, [("ficus-elastica", "Ficus elastica", None), ("felicia-elastita", "Felicia elastita", None)]), block=block).first()["internal_id"] == "ficus-elastica"
+
+
+def test_blocks_dont_change_answers(spark):
+    from phyllo.session import table
+
+    data = "/root/testdata/sf0.01"
+    if not os.path.isdir(data):
+        pytest.skip("no test tables")
+    answers, listed = table(spark, data, "name_answers"), table(spark, data, "plants")
+    one, few, many = ({(r["answer_id"], r["internal_id"]) for r in name_matching.match_names(answers, listed, block=n).collect()} for n in (100_000, 300, 50))
+    assert one == few == many
+
+
 def test_distance():
     def slow(a, b):
         d = {(i, 0): i for i in range(len(a) + 1)} | {(0, j): j for j in range(len(b) + 1)}
