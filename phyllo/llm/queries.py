@@ -45,6 +45,10 @@ def p5_sample(spark: SparkSession, d: str) -> DataFrame:
     return quota_sample.sample(table(spark, d, "records"), table(spark, d, "sample_targets"))
 
 
+def p5_quotas(spark: SparkSession, d: str) -> DataFrame:
+    return quota_sample.drawn(table(spark, d, "records"), table(spark, d, "sample_targets"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     found = survivors.survivors(table(spark, d, "records"), table(spark, d, "sources"))
     return found.where("best_seq IS NOT NULL").select("first_seq", "best_seq")
@@ -89,7 +93,7 @@ QUERIES = {
     "p2_found": p2_found, "p2_splits": p2_splits,
     "p3_found": p3_found, "p3_unmatched": p3_unmatched,
     "p4_found": p4_found, "p4_report": p4_report,
-    "p5_found": p5_found, "p5_report": p5_report, "p5_sample": p5_sample,
+    "p5_found": p5_found, "p5_report": p5_report, "p5_sample": p5_sample, "p5_quotas": p5_quotas,
     "p6_found": p6_found, "p6_survivors": p6_survivors,
     "p7_ids": p7_ids, "p7_decoded": p7_decoded,
     "p8_found": p8_found, "p8_report": p8_report,
@@ -126,6 +130,17 @@ SQL: dict[str, str] = {
     "p5_found": f"SELECT target_id FROM ({_AVAILABLE}) WHERE available < need",
     "p5_report": f"""SELECT target_id, draw_id, need, available, least(need, available) AS taken, greatest(need - available, 0) AS short, available < need AS exhausted
   FROM ({_AVAILABLE})""",
+    "p5_quotas": f"""WITH asked AS (SELECT target_id, draw_id, greatest(coalesce(share_permille, 0), 0) AS s, greatest(coalesce(min_rows, 0), 0) AS m, coalesce(sample_rows, 0) AS z FROM sample_targets),
+  ranked AS (SELECT *, row_number() OVER w AS n, z - (sum(m) OVER w - m) AS rows, sum(s) OVER (PARTITION BY draw_id) - (sum(s) OVER w - s) AS parts, sum(m) OVER (PARTITION BY draw_id) >= z AS only_least
+    FROM asked WINDOW w AS (PARTITION BY draw_id ORDER BY CASE WHEN s = 0 THEN 'infinity'::DOUBLE ELSE m / s END DESC, target_id ROWS UNBOUNDED PRECEDING)),
+  scaled AS (SELECT *, CASE WHEN rows * 1000 > parts * z THEN z ELSE rows END AS a, CASE WHEN rows * 1000 > parts * z THEN 1000 ELSE parts END AS b FROM ranked),
+  cut AS (SELECT draw_id, min(n) AS n FROM scaled WHERE s > 0 AND a * s >= m * b AND NOT only_least GROUP BY draw_id),
+  common AS (SELECT x.draw_id, x.n AS first, x.a, x.b, x.parts FROM scaled x JOIN cut USING (draw_id, n)),
+  based AS (SELECT r.target_id, r.draw_id, r.m, r.n >= c.first AS free, CAST(c.a * r.s AS BIGINT) // CAST(c.b AS BIGINT) AS base, CAST(c.a * r.s AS BIGINT) % CAST(c.b AS BIGINT) AS left_over,
+      CAST(c.a * c.parts AS BIGINT) // CAST(c.b AS BIGINT) AS total FROM ranked r LEFT JOIN common c USING (draw_id)),
+  spared AS (SELECT *, total - sum(base) OVER (PARTITION BY draw_id, free) AS spare, row_number() OVER (PARTITION BY draw_id, free ORDER BY left_over DESC, target_id) AS place FROM based),
+  quota AS (SELECT target_id, draw_id, CAST(CASE WHEN coalesce(free, false) THEN base + CAST(place <= spare AS INTEGER) ELSE m END AS BIGINT) AS quota FROM spared)
+  SELECT target_id, q.draw_id, quota, least(quota, available) AS drawn, greatest(quota - available, 0) AS short FROM quota q JOIN ({_AVAILABLE}) x USING (target_id)""",
     "p7_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
     "p6_found": f"""WITH RECURSIVE rec AS (SELECT r.seq, lower(r.checksum) AS c, {_HASH} AS h, r.status = 'kept' AS kept, coalesce(s.trust_rank, 2147483647) AS trust,
       {_STATED.format("r.license")} AS licensed, greatest(coalesce(r.width, 0), 0) AS width, coalesce(TRY_CAST(nullif(trim(r.downloaded_at), '') AS TIMESTAMPTZ), TIMESTAMPTZ '0001-01-01 00:00:00+00') AS at

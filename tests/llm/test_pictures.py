@@ -163,6 +163,47 @@ def test_quota_sample(spark, n):
     assert set(map(tuple, again)) == set(map(tuple, drawn))
 
 
+def test_quotas():
+    assert quota_sample.quotas([500, 300, 200], [0, 0, 0], 10) == [5, 3, 2]
+    assert quota_sample.quotas([334, 333, 333], [0, 0, 0], 10) == [4, 3, 3]
+    assert quota_sample.quotas([900, 50, 50], [0, 10, 10], 100) == [80, 10, 10]
+    assert quota_sample.quotas([1000, 0], [0, 7], 10) == [3, 7]
+    assert quota_sample.quotas([500, 500], [8, 8], 10) == [8, 8]
+    assert quota_sample.quotas([100, 200], [0, 0], 10) == [1, 2]
+    assert quota_sample.quotas([], [], 10) == [] and quota_sample.quotas([0, 0], [0, 1], 0) == [0, 1]
+    rng = random.Random(2)
+    for _ in range(500):
+        n = rng.randrange(1, 12)
+        cuts = sorted(rng.randrange(1001) for _ in range(n - 1))
+        shares = [b - a for a, b in zip([0, *cuts], [*cuts, 1000])]
+        least, size = [rng.randrange(9) for _ in range(n)], rng.randrange(120)
+        got = quota_sample.quotas(shares, least, size)
+        assert all(q >= m for q, m in zip(got, least)) and sum(got) == max(size, sum(least))
+        # the shares of two targets above their minimums are kept, but for rounding
+        free = [i for i in range(n) if got[i] > least[i] + 1]
+        assert all(abs(got[i] * shares[j] - got[j] * shares[i]) <= shares[i] + shares[j] for i in free for j in free)
+
+
+def test_reservoirs_are_bounded(spark):
+    rows = [(1, 5, s, (s * 7919) % 100_003) for s in range(20_000)] + [(2, 0, 1, 5), (3, 100, 2, 6)]
+    df = spark.createDataFrame(rows, "target_id long, need long, seq long, priority long").repartition(3)
+    got = quota_sample.reservoirs(df).collect()
+    assert sum(r["target_id"] == 1 for r in got) <= 15 and sum(r["seen"] for r in got if r["target_id"] == 1) == 20_000
+    low = sorted((p, s) for t, _, s, p in rows if t == 1)[:5]
+    assert set(low) <= {(r["priority"], r["seq"]) for r in got if r["target_id"] == 1}
+    assert [(r["seen"], r["seq"]) for r in got if r["target_id"] == 2] == [(1, None)] and quota_sample.reservoirs(df.limit(0)).count() == 0
+
+
+def test_sample_keeps_to_quotas(spark):
+    rows = dirty(200, 3)
+    targets = [(1, 1, "A b", "gbif", 0, 600, 2, 10), (2, 1, "A b", "gbif", 1, 300, 0, 10), (3, 1, "C d", "inat", 0, 100, 4, 10), (4, None, "C d", "gbif", 0, 1000, 0, 5)]
+    df, ta = spark.createDataFrame(rows, FIELDS), spark.createDataFrame(targets, TARGET)
+    got = {r["target_id"]: r for r in quota_sample.drawn(df, ta).collect()}
+    assert {t: r["quota"] for t, r in got.items()} == {1: 4, 2: 2, 3: 4, 4: 5}
+    assert Counter(r["target_id"] for r in quota_sample.sample(df, ta).collect()) == {t: r["drawn"] for t, r in got.items() if r["drawn"]}
+    assert all(r["drawn"] + r["short"] == r["quota"] for r in got.values())
+
+
 SOURCES = [("gbif", "G", 2), ("inat", "I", 1)]
 
 
