@@ -3,12 +3,14 @@
 Groups: records of equal checksum or of hashes within 6 bits, directly or through others (exact Hamming self-join of the
 distinct hashes, Hash-to-Min components). Fields that depend on each other form bundles that are taken whole from one
 record: standing (status, reason, duplicate_of), origin (source, source_id, original_url, publisher, dataset_key,
-observation_id), rights (license, license_url, author), file (width, height, path, image_url), name (species,
-internal_plant_id) and time (downloaded_at). Two functional dependencies bind bundles: a delivered item has one licence,
+observation_id), rights (license, license_url, author), file (width, height, path, image_url), time (downloaded_at) and
+name (species, internal_plant_id). Two functional dependencies bind bundles: a delivered item has one licence,
 so rights may not contradict a licence that the origin's own record states; an observation has one species, so the name
-must be that of the origin's record if that belongs to an observation. Branch and bound picks the bundles of greatest
-total trust under these. Per group only the best candidate of each (licence, species) is kept, which loses nothing, since
-the dependencies see no other field; candidates are merged map-side, so no group is ever collected.
+must be that of the origin's record if that belongs to an observation. Branch and bound (``solve``) picks all six bundles:
+the greatest total trust under these, of equal totals one that a single record gives whole, then the best name. Where one
+record wins every bundle that has an order of its own (all but the name), it is the best row of the group.
+Per group only the best candidate of each (licence, species) and bundle and the best whole record of each are kept, which
+loses nothing, since the dependencies see no other field; candidates are merged map-side, so no group is ever collected.
 
 Order within a bundle: kept over any other status; smaller trust_rank (an unknown source comes last); a stated licence over
 a blank one; larger width (null, 0 and less: unknown); a stated species; then the later ``downloaded_at`` (as an instant;
@@ -42,6 +44,8 @@ BUNDLES = {
 }
 #: Weight of a bundle's trust in the total.
 WEIGHTS = {"standing": 8.0, "origin": 4.0, "rights": 3.0, "file": 2.0, "name": 1.0, "time": 0.5}
+#: Sums of the same gains in another order may differ by so much.
+SLACK = 1e-9
 
 
 def checksum_bytes(c: str = "checksum") -> Column:
@@ -97,91 +101,113 @@ def _quality(records: DataFrame, sources: DataFrame) -> DataFrame:
 def solve(candidates: dict[str, list[dict]]) -> dict[str, int]:
     """The seq of each bundle: branch and bound over candidates {seq, gain, lic, sp, observed}, most trust first.
 
-    Bundles are bound in the order origin, rights, name and the rest; the bound is the trust so far plus the best of each
-    bundle left. A branch is cut when its bound can't beat the best found; rights and name always have a candidate that
-    fits, that of the origin's own licence and species.
+    Bundles are bound in the order origin, rights, standing, file, time, name; the bound is the trust so far plus the best of
+    each bundle left. A branch is cut when its bound can't reach the best found; rights and name always have a candidate that
+    fits, that of the origin's own licence and species. Of equal totals (the name not counted) one record that gives every
+    bundle but the name goes first, then the better name, then the order of the lists (by gain; equal gains as given).
     """
-    order = [b for b in ("origin", "rights", "name", "standing", "file", "time") if b in candidates]
-    lists = [sorted(candidates[b], key=lambda c: (-c["gain"], c["seq"])) for b in order]
+    order = [b for b in ("origin", "rights", "standing", "file", "time", "name") if b in candidates]
+    lists = [sorted(candidates[b], key=lambda c: -c["gain"]) for b in order]
+    counted = [b != "name" for b in order]
     rest = [0.0] * (len(order) + 1)
     for k in reversed(range(len(order))):
-        rest[k] = rest[k + 1] + lists[k][0]["gain"]
-    best: tuple[float, list[int]] = (-1.0, [])
+        rest[k] = rest[k + 1] + (lists[k][0]["gain"] if counted[k] else 0.0)
+    best: tuple[float, bool, float] = (-1.0, False, -1.0)
+    chosen: list[int] = []
+    by_seq = [{c["seq"]: c for c in own} for own in lists]
 
-    def fits(b: str, c: dict, origin: dict | None) -> bool:
-        if origin is None:
-            return True
+    def fits(b: str, c: dict, origin: dict) -> bool:
         if b == "rights":
             return origin["lic"] is None or c["lic"] == origin["lic"]
         return b != "name" or not origin["observed"] or c["sp"] == origin["sp"]
 
-    def branch(k: int, total: float, chosen: list[int], origin: dict | None) -> None:
-        nonlocal best
+    def options(k: int, origin: dict) -> Iterator[dict]:
+        """What need be tried after the origin: its own record, which keeps the bundles together, and the best that fits."""
+        own = by_seq[k].get(origin["seq"])
+        first = next(c for c in lists[k] if fits(order[k], c, origin))
+        if own is not None and own["gain"] == first["gain"] and fits(order[k], own, origin):
+            yield own
+        yield first
+
+    def branch(k: int, total: float, picked: list[int], name: float, origin: dict) -> None:
+        nonlocal best, chosen
+        if total + rest[k] < best[0] - SLACK:
+            return
         if k == len(order):
-            if total > best[0] + 1e-12:
-                best = (total, chosen)
+            found = (total, all(s == picked[0] for s, c in zip(picked, counted) if c), name)
+            if found > best:
+                best, chosen = found, picked
             return
-        for c in lists[k]:
-            if total + c["gain"] + rest[k + 1] <= best[0] + 1e-12:
-                return
-            if fits(order[k], c, origin):
-                branch(k + 1, total + c["gain"], [*chosen, c["seq"]], c if order[k] == "origin" else origin)
+        for c in options(k, origin):
+            branch(k + 1, total + (c["gain"] if counted[k] else 0.0), [*picked, c["seq"]], name if counted[k] else c["gain"], origin)
 
-    branch(0, 0.0, [], None)
-    return dict(zip(order, best[1]))
+    for c in lists[0]:
+        if c["gain"] + rest[1] < best[0] - SLACK:
+            break
+        branch(1, c["gain"], [c["seq"]], 0.0, c)
+    return dict(zip(order, chosen))
 
 
-def _gains(items: list[tuple], weight: float) -> list[float]:
+def _gains(items: list[int], weight: float) -> list[float]:
     """Ranks of trust keys, scaled to the bundle's weight; equal keys gain the same."""
     rank = {x: n for n, x in enumerate(sorted(set(items)), 1)}
     return [weight * rank[x] / len(rank) for x in items]
 
 
+#: The key by which candidates of a bundle are ordered.
+KEYS = {"standing": "kept", "origin": "trust", "rights": "licensed", "file": "width", "name": "named", "time": "at"}
+
+
+def choose(options: list[dict]) -> dict[str, int]:
+    """The seq of each bundle of one group: ``options`` holds of each (lic, sp) the candidates {s, t, v, observed} of the
+    bundles and the best whole record {s, observed, kept, trust, licensed, width, at, named}; s is the seq, negated."""
+    candidates = {}
+    for b, key in KEYS.items():
+        own = {(o[b]["s"]): (o[b]["v"], o[b]["t"], o[b]["observed"], o) for o in options}
+        own |= {o["whole"]["s"]: (o["whole"][key], o["whole"]["at"], o["whole"]["observed"], o) for o in options}
+        items = sorted(own.items(), key=lambda x: (-x[1][1], -x[0]))  # later, then smaller seq first
+        gains = _gains([v for _, (v, *_) in items], WEIGHTS[b])
+        candidates[b] = [{"seq": -s, "gain": g, "lic": o["lic"], "sp": o["sp"], "observed": seen} for g, (s, (_, _, seen, o)) in zip(gains, items)]
+    return solve(candidates)
+
+
 def survivors(records: DataFrame, sources: DataFrame, t: int = 6) -> DataFrame:
     """One row a group: first_seq, n_rows, best_seq and the seq each bundle is taken from (standing_seq ...).
 
-    best_seq is the one row that is at least as good as every other in status, trust, licence, width and time and better
-    than each in one of them; null if there is none.
+    best_seq is the record that wins standing, origin, rights, file and time, checked exactly to be the one row that is at
+    least as good as every other in status, trust, licence, width and time and better than each in one; null if there is none.
     """
     groups = picture_groups(records, t)
-    rows = groups.join(_quality(records, sources), "seq")
+    rows = groups.join(_quality(records, sources), "seq").withColumn("named", F.col("sp").isNotNull().cast("int"))
     five = ["kept", "trust", "licensed", "width", "at"]
     seq = F.col("seq")
-    top = lambda *c: F.max(F.struct(*c, F.col("at").alias("t"), (-seq).alias("s")))
-    named = F.col("sp").isNotNull().cast("int").alias("named")
+    top = lambda c: F.max(F.struct(F.col(c).cast("long").alias("v"), F.col("at").alias("t"), (-seq).alias("s"), "observed"))
+    # of each (licence, species): the best of each bundle, the best whole record, and whether that has an equal
     part = rows.groupBy("part", "root", "lic", "sp").agg(
-        F.count("*").alias("n"), F.min("seq").alias("first"), *[F.max(c).alias(c) for c in five],
-        F.max(F.struct(*five, seq)).alias("last_of_best"), F.max(F.struct(*five, (-seq).alias("s"))).alias("first_of_best"),
-        top("trust", "observed").alias("origin"), top("licensed").alias("rights"), top(named).alias("name"),
-        top("kept").alias("standing"), top("width").alias("file"), top().alias("time"),
+        F.count("*").alias("n"), F.min("seq").alias("first"), *[F.max(c).alias(c) for c in five], *[top(c).alias(b) for b, c in KEYS.items()],
+        F.max(F.struct(*five, (-seq).alias("s"), "observed", "named")).alias("whole"), F.max(F.struct(*five, seq)).alias("last"),
     )
-    option = lambda b: F.struct(*[F.col(f"{b}.{c}").alias(c) for c in ("t", "s")], F.col(f"{b}.{ {'origin': 'trust', 'rights': 'licensed', 'name': 'named'}[b] }").cast("long").alias("v"))
-    options = F.collect_list(F.struct("lic", "sp", F.col("origin.observed").alias("observed"), *[option(b).alias(b) for b in ("origin", "rights", "name")]))
+    options = F.collect_list(F.struct("lic", "sp", "whole", *KEYS)).alias("options")
     whole = part.groupBy("part", "root").agg(
-        F.sum("n").alias("n_rows"), F.min("first").alias("first_seq"), *[F.max(c).alias(c) for c in five], F.max("last_of_best").alias("x"), F.max("first_of_best").alias("y"),
-        F.max("standing").alias("standing"), F.max("file").alias("file"), F.max("time").alias("time"), options.alias("options"),
+        F.sum("n").alias("n_rows"), F.min("first").alias("first_seq"), F.struct(*[F.max(c).alias(c) for c in five]).alias("most"), F.max("last").alias("last"), F.max("whole").alias("top"), options
     ).where("n_rows > 1")
-    attained = F.col("x.seq") == -F.col("y.s")
+    attained = F.col("last.seq") == -F.col("top.s")
     for c in five:
-        attained = attained & (F.col(f"x.{c}") == F.col(c))
-    known = whole.select("first_seq", "n_rows", F.when(attained, F.col("x.seq")).alias("best_seq"), (-F.col("standing.s")).alias("standing_seq"), (-F.col("file.s")).alias("file_seq"), (-F.col("time.s")).alias("time_seq"), "options")
+        attained = attained & (F.col(f"top.{c}") == F.col(f"most.{c}"))
+    known = whole.select("first_seq", "n_rows", F.when(attained, -F.col("top.s")).alias("exact"), "options")
+    names = [f"{b}_seq" for b in BUNDLES]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            chosen: dict[str, list[int]] = {"origin": [], "rights": [], "name": []}
-            for options in batch.column("options").to_pylist():
-                candidates = {}
-                for b in chosen:
-                    keys = [(o[b]["v"], o[b]["t"]) for o in options]
-                    gains = _gains(keys, WEIGHTS[b])
-                    candidates[b] = [{"seq": -o[b]["s"], "gain": g, "lic": o["lic"], "sp": o["sp"], "observed": o["observed"]} for o, g in zip(options, gains)]
-                for b, s in solve(candidates).items():
-                    chosen[b].append(s)
-            plain = [batch.column(c) for c in ("first_seq", "n_rows", "best_seq", "standing_seq", "file_seq", "time_seq")]
-            yield pa.RecordBatch.from_arrays([*plain, *(pa.array(chosen[b], pa.int64()) for b in ("origin", "rights", "name"))], names=["first_seq", "n_rows", "best_seq", "standing_seq", "file_seq", "time_seq", "origin_seq", "rights_seq", "name_seq"])
+            chosen = [choose(options) for options in batch.column("options").to_pylist()]
+            won = [c["origin"] if len({s for b, s in c.items() if b != "name"}) == 1 else None for c in chosen]
+            best = [w if w == x else None for w, x in zip(won, batch.column("exact").to_pylist())]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("first_seq"), batch.column("n_rows"), pa.array(best, pa.int64()), *(pa.array([c[b] for c in chosen], pa.int64()) for b in BUNDLES)], names=["first_seq", "n_rows", "best_seq", *names]
+            )
 
     ship(records.sparkSession)
-    return known.mapInArrow(run, "first_seq long, n_rows long, best_seq long, standing_seq long, file_seq long, time_seq long, origin_seq long, rights_seq long, name_seq long")
+    return known.mapInArrow(run, "first_seq long, n_rows long, best_seq long, " + ", ".join(f"{n} long" for n in names))
 
 
 def build_survivors(records: DataFrame, sources: DataFrame, t: int = 6) -> DataFrame:

@@ -240,6 +240,44 @@ def test_survivors(spark, n):
             assert (built[first]["width"] or 0) == max(by_seq[s]["width"] or 0 for s, _ in members)
 
 
+def test_choose_against_all_combinations():
+    rng = random.Random(4)
+    for _ in range(300):
+        rows = [
+            {"s": -n, "lic": rng.choice([None, "x", "y"]), "sp": rng.choice([None, "p", "q"]), "observed": rng.random() < 0.5, "kept": rng.randrange(2), "trust": -rng.randrange(1, 4), "width": rng.randrange(3), "at": rng.randrange(3)}
+            for n in range(1, rng.randrange(2, 6))
+        ]
+        options = []
+        for key in {(r["lic"], r["sp"]) for r in rows}:
+            own = [r | {"licensed": int(r["lic"] is not None), "named": int(r["sp"] is not None)} for r in rows if (r["lic"], r["sp"]) == key]
+            option = {"lic": key[0], "sp": key[1], "whole": max(own, key=lambda r: (r["kept"], r["trust"], r["licensed"], r["width"], r["at"], r["s"]))}
+            for b, c in survivors.KEYS.items():
+                top = max(own, key=lambda r: (r[c], r["at"], r["s"]))
+                option[b] = {"v": top[c], "t": top["at"], "s": top["s"], "observed": top["observed"]}
+            options.append(option)
+        got = survivors.choose(options)
+        full = {-r["s"]: r | {"licensed": int(r["lic"] is not None), "named": int(r["sp"] is not None)} for r in rows}
+        gain = {}
+        for b, c in survivors.KEYS.items():
+            ranks = {v: n for n, v in enumerate(sorted({r[c] for r in full.values()}), 1)}
+            gain[b] = {s: survivors.WEIGHTS[b] * ranks[r[c]] / len(ranks) for s, r in full.items()}
+        five = [b for b in survivors.KEYS if b != "name"]
+
+        def value(pick):
+            o = full[pick["origin"]]
+            if o["lic"] is not None and full[pick["rights"]]["lic"] != o["lic"] or o["observed"] and full[pick["name"]]["sp"] != o["sp"]:
+                return None
+            return round(sum(gain[b][pick[b]] for b in five), 6), len({pick[b] for b in five}) == 1, round(gain["name"][pick["name"]], 6)
+
+        # the bundles but origin, rights and name are free, so each takes its best or the origin's record
+        free = {b: [max(gain[b], key=gain[b].get)] for b in ("standing", "file", "time")}
+        best = max(
+            v for o in full for r in full for n in full for st in (*free["standing"], o) for fi in (*free["file"], o) for ti in (*free["time"], o)
+            if (v := value({"origin": o, "rights": r, "name": n, "standing": st, "file": fi, "time": ti}))
+        )
+        assert value(got) == best
+
+
 def test_branch_and_bound_keeps_dependencies():
     c = lambda seq, gain, lic, sp="s", observed=True: {"seq": seq, "gain": gain, "lic": lic, "sp": sp, "observed": observed}
     # the best origin states a licence that only a poorer rights bundle shares
