@@ -4,18 +4,22 @@
 become ids and ``aggregate`` folds the merges over the id array, the lowest rank first, leftmost first, until none is left.
 The ranks are a literal map, laid out as a perfect hash in plain arrays in one row that is broadcast to chunks of words (a
 Spark map of 50,000 entries would be searched from its start each time); its size is that of the vocabulary, whatever the
-corpus. After a merge only the two pairs beside it are looked up again. 3. The words of all texts are joined with their
+corpus. After a merge only the two pairs beside it are looked up again. The fold rewrites the array at each merge, which is
+quadratic in the length of a word; the few distinct words of more than ``LONG`` bytes (endless letters, base64) are merged by
+a linked list and a heap in Arrow batches instead. So are all words under a vocabulary too large for the arrays. 3. The words of all texts are joined with their
 ids: a bounded number of the commonest words by broadcast, where the texts are, the others by shuffle.
 
 Vocabularies are ``.tiktoken`` files, whose path is a parameter; nothing of them is kept here.
 
 Defined results: a null or empty text has an empty list of ids; strings of special tokens are ordinary text; every row
-gives one row, repeated rows too; a text of one endless word is encoded as any other; an empty table gives an empty table.
+gives one row, repeated rows too; a text of one endless word is encoded as any other; an empty table gives an empty table;
+ids that the vocabulary lacks decode to nothing, and bytes that are no UTF-8 to replacement characters.
 """
 
 from __future__ import annotations
 
 import base64
+import heapq
 import os
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -27,14 +31,18 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from phyllo.session import materialize, ship
+from phyllo.session import materialize, release, ship
 
 #: The white space of Unicode, and the word pattern of the public vocabulary with it. Fixed values.
 SPACE = r"\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 CHUNK = 2000
+#: Words of more bytes are merged by a heap; a vocabulary of more tokens does not fit the arrays.
+LONG, MOST = 256, 60_000
 #: So many of the commonest words are broadcast.
 FREQUENT = 50_000
+#: So many pieces are concatenated before they are joined to what there is.
+RUN = 256
 NO = 1 << 30
 GROUPS, SLOTS, M1, M2 = 1 << 15, 1 << 18, 1640531527, 1103515245
 
@@ -61,7 +69,7 @@ def rank_arrays(path: str) -> tuple[list[int], list[int], list[int], list[int]]:
     key = left * 65536 + right; group = (key * M1 >> 22) mod GROUPS; slot = (key * (M2 + 2 * displacement) >> 22) mod SLOTS.
     """
     ranks = read_ranks(path)
-    if len(ranks) > 60_000:
+    if len(ranks) > MOST:
         raise ValueError("the vocabulary is too large for these arrays")
     merges = {}
     for token, rank in ranks.items():
@@ -121,7 +129,46 @@ def encode_word(word: Column, first: Column, moved: Column, keys: Column, values
         return _let(F.coalesce(F.array_min(s["ranks"]), F.lit(NO)), merge)
 
     kind = "struct<ids:array<int>,ranks:array<int>>"
-    return F.aggregate(F.sequence(F.lit(1), F.length(digits)), start.cast(kind), lambda s, i: step(s, i).cast(kind), lambda s: s["ids"])
+    return F.aggregate(F.sequence(F.lit(1), F.octet_length(word)), start.cast(kind), lambda s, i: step(s, i).cast(kind), lambda s: s["ids"])
+
+
+def merge_bytes(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The ids of one word: the pair of lowest rank merges first, the leftmost of equals; n log n for n bytes."""
+    n = len(word)
+    parts: list[bytes | None] = [word[i : i + 1] for i in range(n)]
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = [(r, i, 2) for i in range(n - 1) if (r := ranks.get(word[i : i + 2])) is not None]
+    heapq.heapify(heap)
+    while heap:
+        _, i, size = heapq.heappop(heap)
+        left = parts[i]
+        j = after[i]
+        if left is None or j >= n or len(left) + len(parts[j]) != size:  # merged meanwhile
+            continue
+        parts[i] = whole = left + parts[j]
+        parts[j] = None
+        after[i] = k = after[j]
+        if k < n:
+            before[k] = i
+            if (r := ranks.get(whole + parts[k])) is not None:
+                heapq.heappush(heap, (r, i, size + len(parts[k])))
+        h = before[i]
+        if h >= 0 and (r := ranks.get(parts[h] + whole)) is not None:
+            heapq.heappush(heap, (r, h, len(parts[h]) + size))
+    return [ranks[p] for p in parts if p is not None]
+
+
+def _merge_long(words: DataFrame, path: str) -> DataFrame:
+    """(word, ids) by ``merge_bytes``; the vocabulary is broadcast."""
+    shared = words.sparkSession.sparkContext.broadcast(read_ranks(path))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = [merge_bytes(w.encode("utf-8"), shared.value) for w in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["word", "ids"])
+
+    ship(words.sparkSession)
+    return words.select("word").mapInArrow(run, "word string, ids array<int>")
 
 
 def words_of(text: Column | str) -> Column:
@@ -135,13 +182,16 @@ def _rank_row(spark: SparkSession, path: str) -> DataFrame:
 
 def encode_vocabulary(words: DataFrame, path: str, chunk: int = CHUNK) -> DataFrame:
     """(word, ids) of a table of distinct words (column word)."""
+    if len(read_ranks(path)) > MOST:
+        return _merge_long(words, path)
+    long, words = words.where(F.octet_length("word") > LONG), words.where(F.octet_length("word") <= LONG)
     n = max(1, -(-words.count() // chunk))
     parts = min(n, 4 * int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # few bytes, but much work: not to be coalesced
     chunked = words.select("word", F.pmod(F.xxhash64("word"), F.lit(n)).alias("chunk")).repartition(parts, "chunk")
     chunks = chunked.groupBy("chunk").agg(F.collect_list("word").alias("words")).withColumn("one", F.least("chunk", F.lit(0)).cast("int"))
     both = chunks.join(F.broadcast(_rank_row(words.sparkSession, path)), "one")
     ids = F.transform("words", lambda w: F.struct(w.alias("word"), encode_word(w, F.col("first"), F.col("moved"), F.col("keys"), F.col("vals")).alias("ids")))
-    return both.select(F.inline(ids))
+    return both.select(F.inline(ids)).unionByName(_merge_long(long, path))
 
 
 def _look_up(words: pa.ListArray, known: pa.Array, starts: np.ndarray, flat: np.ndarray) -> tuple[pa.ListArray, pa.ListArray]:
@@ -174,6 +224,7 @@ def encode(documents: DataFrame, path: str | None = None, key: str = "doc_id", t
     words = materialize(words, "words")
     encoded = materialize(encode_vocabulary(words.select("word"), path), "encoded")
     short = encoded.join(words, "word").where(F.length("word") <= 32).orderBy(F.desc("n"), "word").limit(frequent).select("word", "ids").collect()
+    release(words)
     shared = documents.sparkSession.sparkContext.broadcast((pa.array([r["word"] for r in short], pa.string()), np.cumsum([0, *(len(r["ids"]) for r in short)]), np.array([i for r in short for i in r["ids"]], np.int32)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,15 +252,22 @@ def encode(documents: DataFrame, path: str | None = None, key: str = "doc_id", t
 
 
 def decode(encoded: DataFrame, path: str | None = None, ids: str = "ids", alias: str = "text") -> DataFrame:
-    """encoded with the text of its ids: the pieces' bytes are concatenated, then read as UTF-8; unknown ids give ''."""
+    """encoded with the text of its ids: the pieces' bytes are concatenated, ``RUN`` at a time, then read as UTF-8."""
     ranks = read_ranks(path or vocabulary())
-    pieces = [""] * (max(ranks.values()) + 1)
+    pieces: list[bytes | None] = [None] * (max(ranks.values()) + 1)
     for token, rank in ranks.items():
-        pieces[rank] = token.hex()
-    spark = encoded.sparkSession
-    row = spark.createDataFrame([(0, pieces)], "one int, pieces array<string>")
+        pieces[rank] = token
+    row = encoded.sparkSession.createDataFrame([(0, pieces)], "one int, pieces array<binary>")
     # rows are chunked so that the pieces are not copied beside each of them
     kept = encoded.columns
     chunks = encoded.withColumn("_c", F.pmod(F.xxhash64(ids), F.lit(max(1, -(-encoded.count() // 500))))).groupBy("_c").agg(F.collect_list(F.struct(*kept)).alias("_rows")).withColumn("one", F.least("_c", F.lit(0)).cast("int"))
-    text = lambda x: F.decode(F.unhex(F.array_join(F.transform(x[ids], lambda i: F.coalesce(F.get(F.col("pieces"), i), F.lit(""))), "")), "utf-8")
+    nothing = F.lit(b"")
+    join = lambda of, use: F.aggregate(of, nothing, lambda whole, x: F.concat(whole, use(x)))
+
+    def text(x: Column) -> Column:
+        own = F.coalesce(x[ids], F.array().cast("array<int>"))
+        runs = F.filter(F.sequence(F.lit(0), F.size(own) - 1 + RUN, F.lit(RUN)), lambda i: i < F.size(own))
+        piece = lambda i: F.coalesce(F.get(F.col("pieces"), i), nothing)
+        return F.decode(join(runs, lambda at: join(F.slice(own, at + 1, RUN), piece)), "utf-8")
+
     return chunks.join(F.broadcast(row), "one").select(F.inline(F.transform("_rows", lambda x: F.struct(*[x[c].alias(c) for c in kept], text(x).alias(alias)))))

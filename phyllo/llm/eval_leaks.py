@@ -8,9 +8,11 @@ diagonals, words are aligned (match, change, left out, added), and the best pass
 
 A document leaks an item if one passage of it covers at least ``SPAN`` words of the item in order, ``SHARED`` of them equal, and
 at least ``DENSITY`` of the passage is shared. Shared are equal words, and slots whose placeholders agree in type and, as the
-slot check, whose values are exchanged consistently: one value may not stand for two others.
+slot check, whose values are exchanged consistently both ways: one value may not stand for two others, nor two for one.
 
-The hash table is broadcast in blocks of ``BLOCK`` items, so any number of items can be asked; documents are unbounded.
+Up to ``BLOCK`` items the hash table is broadcast. Of more items the windows are hashed and joined by shuffle instead (one row
+for each different window of a text), and only the pairs of a document and an item with three windows in common are
+aligned; the result is the same, documents are read twice whatever the number of items, and nothing is collected.
 
 Defined results: null, empty and blank texts leak nothing and are never leaked; an item of fewer than ``SPAN`` words can't
 leak; repeated document rows give repeated results only if their doc_id differs; empty tables give an empty result.
@@ -24,6 +26,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +34,7 @@ from phyllo.functions.text import fold
 from phyllo.session import ship
 
 WINDOW, SPAN, SHARED, DENSITY = 3, 13, 11, 0.78
+NAMES = 1_000_000
 BLOCK, SLACK, CLOSE, EDGE = 20_000, 12, 14, 10
 TAG = re.compile(r"<[^<>]{1,300}>")
 LINK = re.compile(r"\]\([^()\s]{0,300}\)")
@@ -168,11 +172,12 @@ class Items:
         *_, pairs = align(words, t)
         if len(pairs) < SHARED:
             return None
-        values: dict[tuple[str, str], str] = {}
+        there: dict[tuple[str, str], str] = {}  # what stands for a value of the item, and what a value of the text stands for
+        back: dict[tuple[str, str], str] = {}
         same, alike = [0], [0]  # running counts of equal words, and of those or slots exchanged consistently
         for i, j in pairs:
             own = self.slots[item][first + i]
-            fits = words[i] not in "#%@" or values.setdefault((words[i], own), raw[j]) == raw[j]
+            fits = words[i] not in "#%@" or there.setdefault((words[i], own), raw[j]) == raw[j] and back.setdefault((words[i], raw[j]), own) == own
             same.append(same[-1] + (own == raw[j]))
             alike.append(alike[-1] + fits)
         # the longest run of pairs that is dense enough: an alignment may trail off into words that agree by chance
@@ -185,39 +190,70 @@ class Items:
         return None
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=4096)
 def _items(items: tuple, names: frozenset[str]) -> Items:
     return Items(list(items), names)
 
 
+def _templates(rows: DataFrame, key: str, names: Broadcast) -> DataFrame:
+    """(key, h, n): the different windows of each text, hashed, and how often each is in it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [template(tokens(t), names.value) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.list_(pa.string()))], names=[key, "words"])
+
+    made = rows.select(key, "text").mapInArrow(run, f"{key} long, words array<string>").where(F.size("words") >= WINDOW)
+    window = lambda i: F.xxhash64(*[F.element_at("words", i + k) for k in range(WINDOW)])
+    windows = F.transform(F.sequence(F.lit(1), F.size("words") - (WINDOW - 1)), window)
+    return made.select(key, F.explode(windows).alias("h")).groupBy(key, "h").agg(F.count("*").alias("n"))
+
+
+def _candidates(docs: DataFrame, asked: DataFrame, names: Broadcast) -> DataFrame:
+    """(doc_id, item_id, text, item) of the pairs that have three windows in common."""
+    own = _templates(asked, "item_id", names).withColumnRenamed("n", "places")
+    met = _templates(docs, "doc_id", names).join(own, "h").groupBy("doc_id", "item_id").agg(F.sum("places").alias("places")).where("places >= 3")
+    pairs = met.join(asked.select("item_id", F.col("text").alias("item")), "item_id").withColumnRenamed("doc_id", "d")
+    return docs.join(pairs, docs["doc_id"].eqNullSafe(pairs["d"])).select("doc_id", "item_id", "text", "item")
+
+
 def leaks(documents: DataFrame, items: DataFrame, names: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
     """(doc_id, item_id, shared, covered, position) of every document that holds a passage of an item.
 
-    names: an optional table with a column ``name`` of single words that stand for names; it must be small (10,000 at most).
+    names: an optional table with a column ``name`` of words that stand for names; it is a dictionary and is broadcast, so
+    it may have ``NAMES`` rows at most. block: so many items are broadcast; it does not change the result.
     """
+    spark = documents.sparkSession
     known: frozenset[str] = frozenset()
     if names is not None:
-        rows = names.select("name").where("name IS NOT NULL").distinct().limit(10_001).collect()
-        if len(rows) > 10_000:
-            raise ValueError("more than 10,000 names")
+        rows = names.select("name").where("name IS NOT NULL").distinct().limit(NAMES + 1).collect()
+        if len(rows) > NAMES:
+            raise ValueError(f"more than {NAMES} names")
         known = frozenset(w for r in rows for w in WORD.findall(fold(r["name"])))
-    asked = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id IS NOT NULL AND text IS NOT NULL")
-    n = max(1, -(-asked.count() // block))
-    ship(documents.sparkSession)
-    out = None
-    for b in range(n):
-        own = asked if n == 1 else asked.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == b)
-        shared = documents.sparkSession.sparkContext.broadcast((tuple(sorted(map(tuple, own.collect()))), known))
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+    asked = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id IS NOT NULL AND text IS NOT NULL").distinct()
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text IS NOT NULL")
+    ship(spark)
+    columns = ["doc_id", "item_id", "shared", "covered", "position"]
+    kind = ", ".join(f"{c} long" for c in columns)
+    batch_of = lambda rows: pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(5)], names=columns)
+    few = asked.limit(block + 1).collect()
+    if len(few) <= block:
+        shared = spark.sparkContext.broadcast((tuple(sorted(map(tuple, few))), known))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             table = _items(*shared.value)
             for batch in batches:
-                rows = [(doc, *hit) for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if text for hit in table.leaks(text)]
-                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(5)], names=["doc_id", "item_id", "shared", "covered", "position"])
+                yield batch_of([(doc, *hit) for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for hit in table.leaks(text)])
 
-        part = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text IS NOT NULL").mapInArrow(run, "doc_id long, item_id long, shared long, covered long, position long")
-        out = part if out is None else out.unionByName(part)
-    return out
+        return docs.mapInArrow(run, kind)
+    spread = spark.sparkContext.broadcast(known)
+
+    def align_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(batch.column(c).to_pylist() for c in ("doc_id", "item_id", "text", "item")))
+            yield batch_of([(doc, *hit) for doc, item, text, own in rows for hit in _items(((item, own),), spread.value).leaks(text)])
+
+    return _candidates(docs, asked, spread).mapInArrow(align_pairs, kind)
 
 
 def leak_report(documents: DataFrame, items: DataFrame, names: DataFrame | None = None) -> DataFrame:

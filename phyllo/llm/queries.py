@@ -69,7 +69,7 @@ def p7_decoded(spark: SparkSession, d: str) -> DataFrame:
 
 def _names(spark: SparkSession, d: str) -> DataFrame:
     """Genera and epithets of the catalogue, which stand for names in templates."""
-    return table(spark, d, "plants").select(F.explode(F.split("scientific_name", "[^\\p{L}-]+")).alias("name")).where("length(name) > 3").distinct()
+    return table(spark, d, "plants").select(F.explode(F.split("scientific_name", "[^\\p{L}-]+")).alias("name")).where("name NOT IN ('', 'x', 'var')").distinct()
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:

@@ -3,6 +3,7 @@
 import itertools
 import os
 import random
+import time
 
 import pytest
 
@@ -105,6 +106,21 @@ def test_bpe(spark):
     assert bpe.encode(df.limit(0)).count() == 0
 
 
+def test_long_words():
+    ranks = bpe.read_ranks(bpe.vocabulary())
+    tiktoken = pytest.importorskip("tiktoken")
+    encoding = tiktoken.Encoding("own", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(0)
+    for n in (0, 1, 2, 3, 50, 700, 3000):
+        for alphabet in ("a", "ab", "the quick", "é日a"):
+            word = "".join(rng.choice(alphabet) for _ in range(n))
+            assert bpe.merge_bytes(word.encode(), ranks) == encoding.encode_ordinary(word), (n, alphabet)
+    began, tokens = time.time(), {r: t for t, r in ranks.items()}
+    word = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(200_000)).encode()
+    assert b"".join(tokens[i] for i in bpe.merge_bytes(word, ranks)) == word
+    assert time.time() - began < 20
+
+
 ITEM = "While a curled petiole keeps the dense margin, the silvery label slowly holds 179 times the deep tuber. Near the window the ribbed sheath protects a vein because the radiator seldom tightens the filtered canopy."
 
 
@@ -133,6 +149,24 @@ def test_slots():
     assert eval_leaks.tokens("un pÃ©tiole <b>l’eau</b>") == ["un", "petiole", "l", "eau"]
 
 
+def test_slots_both_ways():
+    items = eval_leaks.Items([(1, "Mix 3 parts of bark with 5 parts of peat and 3 parts of sand then wait 9 days before the first light watering")], frozenset())
+    one = items.leaks("Mix 7 parts of bark with 7 parts of peat and 7 parts of sand then wait 7 days before the first light watering")
+    assert one[0][1] == 22  # the 5 and the 9 may not become 7 as well
+    many = eval_leaks.Items([(1, "Add 1 of bark 2 of peat 3 of sand 4 of moss 5 of grit 6 of loam 7 of ash 8 of leaf")], frozenset())
+    assert many.leaks("Add 9 of bark 9 of peat 9 of sand 9 of moss 9 of grit 9 of loam 9 of ash 9 of leaf") == []
+    assert many.leaks("Add 11 of bark 12 of peat 13 of sand 14 of moss 15 of grit 16 of loam 17 of ash 18 of leaf")[0][1] == 25
+
+
+def test_any_number_of_items(spark):
+    rng = random.Random(3)
+    vocabulary = [f"w{a}{b}" for a in "abcdefgh" for b in "abcdefgh"]
+    items = [(i, " ".join(rng.choice(vocabulary) for _ in range(25)), "t") for i in range(40)]
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(60)) + " " + " ".join(rng.choice(items)[1].split()[rng.randrange(5) :][:20]) for _ in range(60)]
+    direct = leaked(spark, texts, items=items)
+    assert len(direct) >= 50 and leaked(spark, texts, items=items, block=3) == direct
+
+
 def test_leak_report(spark):
     docs = spark.createDataFrame([(1, ITEM, "a"), (2, ITEM, "b"), (3, None, None)], "doc_id long, text string, source string")
     items = spark.createDataFrame([(1, ITEM, "test"), (2, None, "val")], "item_id long, text string, split string")
