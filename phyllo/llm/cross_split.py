@@ -130,7 +130,30 @@ def overlap_pairs(records: DataFrame, splits: DataFrame, t: int = 6) -> DataFram
 
 
 def overlap_report(records: DataFrame, splits: DataFrame, t: int = 6) -> DataFrame:
-    """Counts of overlapping pairs and of held-out records touched, by split and source of the held-out record."""
-    found = overlaps(records, splits, t).select("held_seq", "exact", "source", F.explode("held").alias("split"))
-    per_record = found.groupBy("split", "source", "held_seq").agg(F.count("*").alias("n"), F.count_if("exact").alias("x"))
-    return per_record.groupBy("split", "source").agg(F.sum("n").alias("n_pairs"), F.sum("x").alias("n_exact"), F.count("*").alias("n_records"))
+    """Counts of overlapping pairs and of held-out records touched, by split and source of the held-out record.
+
+    Records of equal checksum and hash are one class with a count, so that a picture held k times and trained on m times is
+    counted as k x m pairs without making them.
+    """
+    own = sides(records, splits)
+    key = ["checksum", "h"]
+    rows = materialize(own.groupBy(*key, "source", "in_held", "held", "in_train").agg(F.count("*").alias("n")), "classes")  # read several times
+    train = rows.where("in_train").groupBy(*key).agg(F.sum("n").alias("m"))
+    held = rows.where("in_held").select(*key, "source", "held", F.col("in_train").cast("int").alias("both"), F.col("n").alias("k"))
+    per_file = train.where("checksum IS NOT NULL").groupBy("checksum").agg(F.sum("m").alias("same_file"))
+    close = near_pairs(rows.where("in_held").select("h"), train.select("h"), t)
+    per_hash = train.where("h IS NOT NULL").groupBy("h").agg(F.sum("m").alias("m")).withColumnRenamed("h", "r")
+    alike = close.join(per_hash, "r").groupBy(F.col("e").alias("h")).agg(F.sum("m").alias("alike"))
+    # counted by both: training classes of the same checksum whose hash is near as well
+    x = F.bit_count(F.col("a.h").bitwiseXOR(F.col("b.h")))
+    twice = held.select(*key).where("checksum IS NOT NULL AND h IS NOT NULL").distinct().alias("a").join(train.alias("b"), (F.col("a.checksum") == F.col("b.checksum")) & (x <= t))
+    twice = twice.groupBy(F.col("a.checksum").alias("checksum"), F.col("a.h").alias("h")).agg(F.sum("b.m").alias("twice"))
+    n = lambda c: F.coalesce(F.col(c), F.lit(0).cast("long"))
+    met = held.join(per_file, "checksum", "left").join(alike, "h", "left").join(twice, key, "left")
+    # a record on both sides is not its own partner
+    self_exact = F.when(F.col("checksum").isNotNull(), F.col("both")).otherwise(0)
+    self_near = F.when(F.col("h").isNotNull(), F.col("both")).otherwise(0)
+    exact = n("same_file") - self_exact
+    pairs = n("same_file") + n("alike") - n("twice") - F.greatest(self_exact, self_near)
+    found = met.select("source", "k", F.explode("held").alias("split"), exact.alias("x"), pairs.alias("p")).where("p > 0")
+    return found.groupBy("split", "source").agg(F.sum(F.col("k") * F.col("p")).alias("n_pairs"), F.sum(F.col("k") * F.col("x")).alias("n_exact"), F.sum("k").alias("n_records"))

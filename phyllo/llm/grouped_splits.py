@@ -1,8 +1,8 @@
 """Splits that keep related records together: Hash-to-Min components, then weighted rendezvous hashing of components.
 
 Records are related by keys (an observation at a source; an author's pictures of a species). Each key becomes one node
-named by the smallest ``seq`` that holds it; a record with two shared keys is one edge between them, so a key that a third
-of all rows share is one node, not a clique. Keys that only one record holds cannot relate anything and are dropped
+named by the smallest ``seq`` that holds it; a record with several shared keys is an edge from one of them to each other, so a
+key that a third of all rows share is one node, not a clique. Keys that only one record holds cannot relate anything and are dropped
 before the graph is built.
 
 Defined results: null and blank keys relate nothing; repeated rows are related through their keys like any others; a
@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from phyllo.functions.text import blank, fold, map_distinct
 from phyllo.operators.components import components
-from phyllo.session import materialize
+from phyllo.session import materialize, release
 
 #: Stand-ins for "no name", as sorted words. Fixed values.
 NO_NAME = {
@@ -48,11 +48,11 @@ def with_author_key(df: DataFrame, author: str = "author", alias: str = "author_
 def related(rows: DataFrame, seq: str, keys: list[Column]) -> DataFrame:
     """(seq, first_seq) of the records that have a relative: those of a group of at least two.
 
-    Two records are related if one of ``keys`` (null: none) is equal, or through others. At most two keys a record.
+    Two records are related if one of ``keys`` (null: none) is equal, or through others.
     """
-    if not 1 <= len(keys) <= 2:
-        raise ValueError("one or two keys")
-    # read three times below, so the keys are made once
+    if not keys:
+        raise ValueError("at least one key")
+    # read once a key and once more below, so the keys are made once
     own = materialize(rows.select(F.col(seq).alias("seq"), *[k.alias(f"k{i}") for i, k in enumerate(keys)]).where(F.coalesce(*[k for k in keys]).isNotNull()), "keys")
     label = own
     for i in range(len(keys)):
@@ -60,11 +60,12 @@ def related(rows: DataFrame, seq: str, keys: list[Column]) -> DataFrame:
         label = label.join(shared, f"k{i}", "left").drop(f"k{i}")
     hubs = [F.col(f"hub{i}") for i in range(len(keys))]
     label = materialize(label.where(F.coalesce(*hubs).isNotNull()).select("seq", *[f"hub{i}" for i in range(len(keys))]), "labels")
+    release(own)
     if len(keys) == 1:
         return label.withColumnRenamed("hub0", "first_seq")
-    roots = components(label.where("hub0 <> hub1").select("hub0", "hub1").distinct(), "hub0", "hub1")
-    hub = label.select("seq", F.coalesce("hub0", "hub1").alias("node"))
-    return hub.join(roots, "node", "left").select("seq", F.coalesce("root", "node").alias("first_seq"))
+    first = F.coalesce(*hubs)
+    edges = label.select(first.alias("a"), F.explode(F.array(*hubs)).alias("b")).where("a <> b").distinct()
+    return label.select("seq", first.alias("node")).join(components(edges), "node", "left").select("seq", F.coalesce("root", "node").alias("first_seq"))
 
 
 def record_groups(records: DataFrame) -> DataFrame:
@@ -89,11 +90,13 @@ def rendezvous(group: Column, weights: list[tuple[str, float]], salt: str) -> Co
     return F.array_max(F.array(*scores))["split"]
 
 
-def assign_splits(records: DataFrame, ratios: tuple[tuple[str, float], ...] = (("train", 0.8), ("val", 0.1), ("test", 0.1)), salt: str = "phyllo-1", heavy_share: float = 0.002) -> DataFrame:
+def assign_splits(records: DataFrame, ratios: tuple[tuple[str, float], ...] = (("train", 0.8), ("val", 0.1), ("test", 0.1)), salt: str = "phyllo-1", heavy_share: float = 0.002, step: float = 0.02, weights: dict[str, float] | None = None) -> DataFrame:
     """(seq, first_seq, split) of every record: every group is whole, and the shares are near ``ratios``.
 
     Groups of more than ``heavy_share`` of all records, of which there are 1 / heavy_share at most, are placed one after
-    the other, largest first, where most room is left; the rest goes by rendezvous hashing with the room left as weights.
+    the other, largest first, where most room is left; the rest goes by rendezvous hashing with the room left as weights,
+    rounded to ``step`` of all, so that small changes of the data change no weight and move no other group. ``weights``:
+    those of an earlier run in place of the room left, to keep its assignments whatever has come since.
     """
     groups = record_groups(records)
     label = records.select("seq").join(groups, "seq", "left").select("seq", F.coalesce("first_seq", "seq").alias("first_seq"))
@@ -105,10 +108,9 @@ def assign_splits(records: DataFrame, ratios: tuple[tuple[str, float], ...] = ((
         name = max(room, key=lambda k: (room[k], k))
         room[name] -= r["n"]
         placed.append((r["first_seq"], name))
-    weights = [(name, max(left, 0.0)) for name, left in room.items()]
-    if not any(w for _, w in weights):
-        weights = list(ratios)
-    split = rendezvous(F.col("first_seq"), weights, salt)
+    open_ = [(name, step * max(0, round(left / total / step)) if total else 0.0) for name, left in room.items()]
+    given = list(weights.items()) if weights else open_ if any(w for _, w in open_) else list(ratios)
+    split = rendezvous(F.col("first_seq"), given, salt)
     if placed:
         fixed = F.create_map(*[x for k, name in placed for x in (F.lit(k).cast("long"), F.lit(name))])
         split = F.coalesce(F.try_element_at(fixed, F.col("first_seq")), split)

@@ -102,6 +102,19 @@ def test_record_groups(spark, n):
     assert all(len(x) == 1 for x in sides.values())
 
 
+def test_related_by_three_keys(spark):
+    rows = [(1, "a", None, None), (2, "a", "x", None), (3, None, "x", "p"), (4, None, None, "p"), (5, "b", None, "q"), (6, None, "y", "q"), (7, "c", "z", "r"), (8, None, None, None)]
+    df = spark.createDataFrame(rows, "seq long, a string, b string, c string")
+    got = grouped_splits.related(df, "seq", [df.a, df.b, df.c]).collect()
+    assert sorted(map(tuple, got)) == [(1, 1), (2, 1), (3, 1), (4, 1), (5, 5), (6, 5)]
+
+
+def test_more_records_move_no_group(spark):
+    rows = [record(s, author=f"name {s // 3}", observation_id=str(s)) for s in range(1, 1500)]
+    few, many = ({r["first_seq"]: r["split"] for r in grouped_splits.assign_splits(spark.createDataFrame(rows[:n], FIELDS), heavy_share=0.01).collect()} for n in (1200, 1499))
+    assert all(many[k] == v for k, v in few.items())
+
+
 def test_split_shares_with_a_giant(spark):
     rows = [record(s, author="Ada Le" if s <= 1000 else None, observation_id=str(s)) for s in range(1, 3001)]
     n = Counter(r["split"] for r in grouped_splits.assign_splits(spark.createDataFrame(rows, FIELDS)).collect())
@@ -126,7 +139,17 @@ def test_overlaps(spark, n):
     df, sp = spark.createDataFrame(rows, FIELDS), spark.createDataFrame(splits, "path string, split string")
     got = cross_split.overlap_pairs(df, sp).collect()
     assert len(got) == len(set(map(tuple, got))) and set(map(tuple, got)) == want
-    assert all(r["n_pairs"] >= r["n_records"] > 0 for r in cross_split.overlap_report(df, sp).collect())
+    n_pairs, n_exact, touched = Counter(), Counter(), defaultdict(set)
+    for a in ds:
+        for b in ds:
+            exact = (a["checksum"] or "").lower() == (b["checksum"] or "").lower() != ""
+            if a["seq"] != b["seq"] and "train" in side[b["path"]] and (exact or far(bits(a["phash"]), bits(b["phash"])) <= 6):
+                for s in side[a["path"]] & {"val", "test"}:
+                    n_pairs[s, a["source"]] += 1
+                    n_exact[s, a["source"]] += exact
+                    touched[s, a["source"]].add(a["seq"])
+    told = {(r["split"], r["source"]): (r["n_pairs"], r["n_exact"], r["n_records"]) for r in cross_split.overlap_report(df, sp).collect()}
+    assert told == {k: (n, n_exact[k], len(touched[k])) for k, n in n_pairs.items()}
 
 
 @pytest.mark.parametrize(("t", "hot", "pieces"), [(6, 1.0, 4), (6, 0.0, 4), (3, 0.0, 4), (11, 0.0, 4), (6, 1.0, 3), (6, 0.0, 3)])
