@@ -7,22 +7,22 @@ from phyllo.operators import catalog, ingest, logs, splits
 
 
 def test_match_to_catalog(spark):
-    plants = spark.createDataFrame([("monstera-deliciosa", "Monstera deliciosa", None), ("dracaena-trifasciata", "Dracaena trifasciata", "Sansevieria trifasciata Prain"), ("empty", None, "")], "internal_id string, scientific_name string, synonyms string")
-    asked = spark.createDataFrame([(1, "Monstera deliciosa Liebm."), (2, "Sansevieria trifasciata"), (3, "Plantus imaginarius"), (4, ""), (5, None)], "id long, name string")
-    assert dict(map(tuple, catalog.match_to_catalog(asked, plants, "id", "name").collect())) == {1: "monstera-deliciosa", 2: "dracaena-trifasciata", 3: None, 4: None, 5: None}
+    plants = spark.createDataFrame([("tazela-ruvora", "Tazela ruvora", None), ("dracola-trifora", "Dracola trifora", "Sanola trifora Prain"), ("empty", None, "")], "internal_id string, scientific_name string, synonyms string")
+    asked = spark.createDataFrame([(1, "Tazela ruvora Bo"), (2, "Sanola trifora"), (3, "Nemora nulla"), (4, ""), (5, None)], "id long, name string")
+    assert dict(map(tuple, catalog.match_to_catalog(asked, plants, "id", "name").collect())) == {1: "tazela-ruvora", 2: "dracola-trifora", 3: None, 4: None, 5: None}
 
 
 def test_keep_new(spark):
-    known = spark.createDataFrame([("monstera-deliciosa",)], "id string")
-    rows = [(1, "citrus-x-limon"), (2, "citrus-limon"), (3, "nerium-oleander"), (4, "nerium-oleander"), (5, "monstera-deliciosa"), (6, "monstera-x-deliciosa")]
+    known = spark.createDataFrame([("tazela-ruvora",)], "id string")
+    rows = [(1, "citola-x-limora"), (2, "citola-limora"), (3, "nerium-oleander"), (4, "nerium-oleander"), (5, "tazela-ruvora"), (6, "tazela-x-ruvora")]
     got = catalog.keep_new(spark.createDataFrame(rows, "o int, internal_id string"), known, "internal_id", "o").collect()
     assert sorted(r["o"] for r in got) == [1, 3]
 
 
 def test_register(spark):
-    have = spark.createDataFrame([("monstera-deliciosa",)], "internal_id string")
-    got = catalog.register(have, spark.createDataFrame([(1, "Monstera deliciosa"), (2, "Ixora coccinea"), (3, "ixora coccinea L.")], "o int, name string"), "o").collect()
-    assert [(r["o"], r["internal_id"]) for r in got] == [(2, "ixora-coccinea")]
+    have = spark.createDataFrame([("tazela-ruvora",)], "internal_id string")
+    got = catalog.register(have, spark.createDataFrame([(1, "Tazela ruvora"), (2, "Ixola coccora"), (3, "ixola coccora L.")], "o int, name string"), "o").collect()
+    assert [(r["o"], r["internal_id"]) for r in got] == [(2, "ixola-coccora")]
 
 
 @pytest.mark.parametrize(
@@ -54,25 +54,25 @@ def test_groups_and_sets(spark):
 
 
 def test_resolve_labels(spark):
-    plants = spark.createDataFrame([("saintpaulia-ionantha", "Saintpaulia ionantha", "Streptocarpus ionanthus"), ("a-b", "A b", "C d; E f, G h")], "internal_id string, scientific_name string, synonyms string")
+    plants = spark.createDataFrame([("saintola-ionara", "Saintola ionara", "Strepola ionora"), ("a-b", "A b", "C d; E f, G h")], "internal_id string, scientific_name string, synonyms string")
     aliases = catalog.alias_map(plants)
-    assert {r["alias"]: r["internal_id"] for r in aliases.collect()} == {"saintpaulia-ionantha": "saintpaulia-ionantha", "streptocarpus-ionanthus": "saintpaulia-ionantha", "a-b": "a-b", "c-d": "a-b", "e-f": "a-b", "g-h": "a-b"}
-    labels = spark.createDataFrame([("monstera-deliciosa",), ("saintpaulia-ionantha",), ("citrus-x-limon",)], "class_id string")
-    names = spark.createDataFrame([("Monstera deliciosa",), ("Streptocarpus ionanthus",), ("Citrus limon",), ("Rosa canina",)], "name string")
+    assert {r["alias"]: r["internal_id"] for r in aliases.collect()} == {"saintola-ionara": "saintola-ionara", "strepola-ionora": "saintola-ionara", "a-b": "a-b", "c-d": "a-b", "e-f": "a-b", "g-h": "a-b"}
+    labels = spark.createDataFrame([("tazela-ruvora",), ("saintola-ionara",), ("citola-x-limora",)], "class_id string")
+    names = spark.createDataFrame([("Tazela ruvora",), ("Strepola ionora",), ("Citola limora",), ("Rosa canina",)], "name string")
     got = {r["name"]: (r["label"], r["how"]) for r in catalog.resolve_labels(names, labels, aliases).collect()}
-    assert got == {"Monstera deliciosa": ("monstera-deliciosa", "direct"), "Streptocarpus ionanthus": ("saintpaulia-ionantha", "synonym"), "Citrus limon": ("citrus-x-limon", "hybrid"), "Rosa canina": (None, None)}
+    assert got == {"Tazela ruvora": ("tazela-ruvora", "direct"), "Strepola ionora": ("saintola-ionara", "synonym"), "Citola limora": ("citola-x-limora", "hybrid"), "Rosa canina": (None, None)}
 
 
 LINES = [
-    "[1/390] Monstera deliciosa: 42 kept (gbif 30, inat 12)", "[2/390] Ficus elastica: FAILED (HTTPError: 429 Client Error: Too Many Requests for url: https://x), species skipped",
-    "[3/390] Citrus × limon: FAILED (ConnectionError: ('Connection aborted.')), species skipped", "[4/390] Pilea peperomioides: ÉCHEC (Timeout), x", "[2/390] Ficus elastica: FAILED (Timeout), species skipped", "", "noise",
+    "[1/390] Tazela ruvora: 42 kept (gbif 30, inat 12)", "[2/390] Ficola elastora: FAILED (HTTPError: 429 Client Error: Too Many Requests for url: https://x), species skipped",
+    "[3/390] Citola × limora: FAILED (ConnectionError: ('Connection aborted.')), species skipped", "[4/390] Pilola pepora: ÉCHEC (Timeout), x", "[2/390] Ficola elastora: FAILED (Timeout), species skipped", "", "noise",
 ]
 
 
 def test_logs(spark):
     df = spark.createDataFrame([("l", i, x) for i, x in enumerate(LINES)] + [("l", 99, None)], "log_id string, pos int, line string")
-    assert {(r["name"], r["reason"]) for r in logs.failures(df).collect()} == {("Ficus elastica", "HTTPError"), ("Citrus × limon", "ConnectionError"), ("Pilea peperomioides", "Timeout")}
-    expected = spark.createDataFrame([("Monstera deliciosa",), ("Hoya",)], "name string")
+    assert {(r["name"], r["reason"]) for r in logs.failures(df).collect()} == {("Ficola elastora", "HTTPError"), ("Citola × limora", "ConnectionError"), ("Pilola pepora", "Timeout")}
+    expected = spark.createDataFrame([("Tazela ruvora",), ("Hoya",)], "name string")
     assert [r["name"] for r in logs.never_reached(df, expected).collect()] == ["Hoya"]
 
 
