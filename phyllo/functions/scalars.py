@@ -5,11 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Words of a title that is no photograph of a living plant. Fixed values, as patterns.
-NOT_A_PHOTO = [
-    "illustration", "drawing", "dessin", "zeichnung", "engraving", "gravure", "lithograph", r"botanical\s+plate", "planche", "k[öo]hler", r"flora\s+von", r"flora\s+of",
-    "herbarium", "herbier", "specimen", "holotype", "isotype", "lectotype", r"type\s+sheet", r"distribution\s+map", "carte", "diagram", "schema", "logo", "icon", "stamp", "timbre", r"coat\s+of\s+arms", "chromolith",
-]
+#: Words of a title that is no photograph of a living plant. Fixed value, as a pattern.
+NOT_A_PHOTO = r"\b(?:illustration|drawing|dessin|zeichnung|engraving|gravure|lithograph|botanical\s+plate|planche|k[öo]hler|flora\s+von|flora\s+of|herbarium|herbier|specimen|holotype|isotype|lectotype|type\s+sheet|distribution\s+map|carte|diagram|schema|logo|icon|stamp|timbre|coat\s+of\s+arms|chromolith)\b"
 #: Entities in the order in which they are replaced. Fixed values.
 ENTITIES = [("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#039;", "'"), ("&nbsp;", " ")]
 #: The format of collection logs: a counter, a name, and a failure with its reason. Fixed values.
@@ -42,7 +39,7 @@ def plain_text(html: Column | str, most: int = 200) -> Column:
 
 
 def is_photo_title(title: Column | str) -> Column:
-    return ~_c(title).rlike(rf"(?iu)\b(?:{'|'.join(NOT_A_PHOTO)})\b")
+    return ~_c(title).rlike("(?iu)" + NOT_A_PHOTO)
 
 
 def failed_name(line: Column | str) -> Column:
@@ -111,6 +108,21 @@ def image_verdict(fmt: Column, frames: Column, width: Column, height: Column, le
     )
 
 
+def needs_rewrite(orientation: Column | str) -> Column:
+    """Whether a picture is stored turned: its EXIF orientation is stated and not 1."""
+    return F.coalesce(_c(orientation) != 1, F.lit(False))
+
+
+def iso_instant(at: Column | str) -> Column:
+    """An instant to the second as ISO 8601 in UTC; at ingest it is given F.current_timestamp() once."""
+    return F.date_format(_c(at), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def quoted(text: Column | str) -> Column:
+    """A text as a literal of a query: between quotes, without any of its own."""
+    return F.concat(F.lit('"'), F.replace(_c(text), F.lit('"'), F.lit("")), F.lit('"'))
+
+
 def fitted_size(width: Column, height: Column, most: int = 384) -> Column:
     """struct(width, height) after shrinking the longer side to ``most``; a side is 1 at least."""
     scale = F.lit(float(most)) / F.greatest(width, height)

@@ -66,6 +66,48 @@ def keep_new(candidates: DataFrame, known: DataFrame, id_: str, order: str) -> D
     return fresh.withColumn("_n", F.row_number().over(Window.partitionBy("_w").orderBy(order, id_))).where("_n = 1").drop("_n", "_w")
 
 
+#: Ranks that make a class. Fixed values.
+CLASS_RANKS = ["species", "hybrid"]
+
+
+def of_class_rank(rows: DataFrame, rank: str = "rank") -> DataFrame:
+    """The rows whose rank makes a class: species and hybrids, as the service writes them."""
+    return rows.where(F.col(rank).isin(*CLASS_RANKS))
+
+
+def selected(plants: DataFrame, order: str, only: list[str] | None = None, listed: DataFrame | None = None, limit: int | None = None) -> DataFrame:
+    """The plants that are named by ``only`` or in ``listed`` (value), whatever the case, all if neither is given; then the
+    first ``limit`` of them by ``order``."""
+    asked = None
+    if only:
+        asked = plants.sparkSession.createDataFrame([(x,) for x in only], "value string")
+    if listed is not None:
+        asked = listed.select("value") if asked is None else asked.unionByName(listed.select("value"))
+    if asked is not None:
+        key = F.lower(F.trim("scientific_name"))
+        plants = plants.withColumn("_k", key).join(asked.select(F.lower(F.trim("value")).alias("_k")).distinct(), "_k", "left_semi").drop("_k")
+    return plants.orderBy(order).limit(limit) if limit else plants
+
+
+def surplus(groups: DataFrame) -> DataFrame:
+    """One row: the groups (members) and how many classes are too many if each group is one class."""
+    return groups.agg(F.count("*").alias("groups"), F.coalesce(F.sum(F.size("members") - 1), F.lit(0).cast("long")).alias("too_many"))
+
+
+def shortened(rows: DataFrame, value: str, most: int) -> DataFrame:
+    """One row: the first ``most`` values in their order, joined by commas, and how many more there are."""
+    first = rows.select(value).orderBy(value).limit(most).agg(F.array_join(F.array_sort(F.collect_list(value)), ", ").alias("shown"))
+    n = rows.agg(F.count(value).alias("n"))
+    return first.withColumn("_k", F.lit(0)).join(n.withColumn("_k", F.lit(0)), "_k").select("shown", F.greatest(F.col("n") - most, F.lit(0).cast("long")).alias("more"))
+
+
+def first_existing(asked: DataFrame, names: Column, existing: DataFrame) -> DataFrame:
+    """asked (id, ...) with the first of its names (an array) that exists (existing.name); null where none does."""
+    spread = asked.select("id", F.posexplode(names).alias("pos", "name")).join(existing.select("name").distinct(), "name", "left_semi")
+    found = spread.groupBy("id").agg(F.min_by("name", "pos").alias("name"))
+    return asked.select("id").join(found, "id", "left")
+
+
 def register(existing: DataFrame, candidates: DataFrame, order: str) -> DataFrame:
     """Candidates (name) that are new plants by id, the first of each."""
     own = candidates.withColumn("internal_id", internal_id("name")).join(existing.select("internal_id"), "internal_id", "left_anti")

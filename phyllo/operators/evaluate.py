@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: So many photos of one group are held at a time.
+PHOTOS = 1024
+
 
 def ranked(p: Column | str, k: int | None = None) -> Column:
     """array of struct(neg, i): classes by falling probability, the k best of them."""
@@ -115,14 +118,48 @@ def between(readings: DataFrame, a: Column, b: Column) -> DataFrame:
     return readings.where(~F.col("right")).select(a.alias("a"), b.alias("b")).where("a <> b").groupBy("a", "b").agg(F.count("*").alias("images"))
 
 
+def taxa(classes: DataFrame, plants: DataFrame) -> DataFrame:
+    """classes (class_id) with genus and family, in lower case, as the catalogue (internal_id, scientific_name, family) has them.
+
+    A class that is not listed has the genus that its id begins with, and a family of its own ('?' and the id), which is
+    never equal to another. Of repeated ids in the catalogue the smallest values are taken.
+    """
+    name, own = F.trim("scientific_name"), F.lower(F.trim("family"))
+    known = plants.where("internal_id IS NOT NULL").groupBy(F.col("internal_id").alias("class_id")).agg(F.min(F.when(name != "", F.lower(F.split(name, r"\s+")[0]))).alias("_g"), F.min(own).alias("_f"))
+    rows = classes.join(known, "class_id", "left")
+    return rows.withColumns({"genus": F.coalesce("_g", F.split("class_id", "-")[0]), "family": F.coalesce("_f", F.concat(F.lit("?"), "class_id"))}).drop("_g", "_f")
+
+
 def by_chance(classes: DataFrame) -> DataFrame:
-    """One row: how often an error would stay within genus and family by chance; classes (class, genus, family)."""
+    """One row: how often an error would stay within genus and family by chance; classes (class, genus, family).
+
+    beyond: how often it would leave the family; alone: classes without another of their genus. With fewer than two
+    classes there is no error, and all shares and ``alone`` are 0.
+    """
     g = F.count("*").over(Window.partitionBy("genus"))
     f = F.count("*").over(Window.partitionBy("family"))
     n = F.count("*")
     rows = classes.withColumn("_g", g).withColumn("_f", f)
     pairs = F.nullif(n * (n - 1), F.lit(0))
-    return rows.agg(n.alias("classes"), F.coalesce(F.sum(F.col("_g") - 1) / pairs, F.lit(0.0)).alias("genus"), F.coalesce(F.sum(F.col("_f") - F.col("_g")) / pairs, F.lit(0.0)).alias("family"))
+    share = lambda x: F.coalesce(F.sum(x) / pairs, F.lit(0.0))
+    out = rows.agg(n.alias("classes"), share(F.col("_g") - 1).alias("genus"), share(F.col("_f") - F.col("_g")).alias("family"), F.count_if(F.col("_g") == 1).alias("alone"))
+    rest = 1.0 - F.col("genus") - F.col("family")
+    some = F.col("classes") >= 2
+    return out.select("classes", "genus", "family", F.when(some & (rest > 1e-12), rest).otherwise(0.0).alias("beyond"), F.when(some, F.col("alone")).otherwise(0).alias("alone"))
+
+
+def genus_sizes(classes: DataFrame) -> DataFrame:
+    """One row: classes, genera, genera of a single class, and the size of the richest; classes (class, genus)."""
+    sizes = classes.groupBy("genus").agg(F.count("*").alias("n"))
+    zero = F.lit(0).cast("long")
+    return sizes.agg(F.coalesce(F.sum("n"), zero).alias("classes"), F.count("*").alias("genera"), F.count_if(F.col("n") == 1).alias("lone"), F.coalesce(F.max("n"), zero).alias("richest"))
+
+
+def shared_genus_share(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """One row: images, and those of a class whose genus holds several; rows (class), classes (class, genus)."""
+    sizes = classes.groupBy("genus").agg(F.count("*").alias("n"))
+    known = rows.join(classes.join(sizes, "genus").select("class", "n"), "class")
+    return known.agg(F.count("*").alias("images"), F.count_if(F.col("n") > 1).alias("of_several"))
 
 
 def rates(readings: DataFrame, minimum: int = 5) -> DataFrame:
@@ -154,15 +191,108 @@ def answer(p: str, mass: Column | str, threshold: float, group_threshold: float
     return F.when(sure, made("species", top["i"])).when(group_sure, made("genus", best_group["i"])).otherwise(made("nothing", F.lit(-1)))
 
 
+def genus_measure(df: DataFrame, groups: list[int], threshold: float, top: int = 0) -> DataFrame:
+    """One row: how often the species, else the genus, else nothing is answered, and how often that is right.
+
+    Rates are shares of all images; autonomy is that of answers of either kind; precisions are null where nothing was
+    answered. top: the mass of genera counts the best classes only.
+    """
+    mass = group_mass(truncated("p", top), groups)
+    own = F.element_at(F.array(*[F.lit(g) for g in groups]), F.col("truth") + 1)
+    a = df.select("truth", own.alias("g"), answer("p", mass, threshold).alias("a"))
+    kind, i = F.col("a.kind"), F.col("a.i")
+    counts = a.agg(
+        F.count("*").alias("images"), F.count_if(kind == "species").alias("s"), F.count_if((kind == "species") & (i == F.col("truth"))).alias("sr"),
+        F.count_if(kind == "genus").alias("g"), F.count_if((kind == "genus") & (i == F.col("g"))).alias("gr"),
+    )
+    share = lambda x, y: F.when(y > 0, x / y)
+    c = F.col
+    return counts.select(
+        "images", share(c("s"), c("images")).alias("species_rate"), share(c("sr"), c("s")).alias("species_precision"), share(c("g"), c("images")).alias("genus_rate"), share(c("gr"), c("g")).alias("genus_precision"),
+        share(c("s") + c("g"), c("images")).alias("autonomy"), share(c("sr") + c("gr"), c("s") + c("g")).alias("precision"),
+    )
+
+
+def tallies(df: DataFrame, by: list[str], threshold: Column | float) -> DataFrame:
+    """(by ..., images, top1, top3, accepted, right) of rows that carry their reading's ``p``; threshold may be a column."""
+    limit = threshold if isinstance(threshold, Column) else F.lit(threshold)
+    t = df.select(*by, "truth", limit.alias("_limit"), ranked("p", 3).alias("_t"))
+    best, right = -F.col("_t")[0]["neg"], F.col("_t")[0]["i"] == F.col("truth")
+    ok = best >= F.col("_limit")
+    return t.groupBy(*by).agg(F.count("*").alias("images"), F.count_if(right).alias("top1"), F.count_if(F.exists("_t", lambda x: x["i"] == F.col("truth"))).alias("top3"), F.count_if(ok).alias("accepted"), F.count_if(ok & right).alias("right"))
+
+
+def compare(outputs: DataFrame, labels: dict[str, list[int]], thresholds: list[float], threshold: float = 0.70) -> DataFrame:
+    """(ground, model, reading, threshold, images, top1, top3, accepted, right) of two models over the classes both know.
+
+    outputs (model, image_id, truth, captive, p): one row an image and model; labels: the classes of each model. Grounds: the
+    images of common classes, and of those the captive ones. Readings: masked to the common classes, full, and masked and
+    renormalised at each of ``thresholds``. Besides, under the ground 'gained', the second model alone (full) over the
+    classes that it adds. Both models are read in one pass, readings and grounds are exploded beside each row.
+    """
+    a, b = labels
+    shared, gained = sorted(set(labels[a]) & set(labels[b])), sorted(set(labels[b]) - set(labels[a]))
+    truth = F.col("truth")
+    grounds = F.array_compact(F.array(
+        F.when(truth.isin(*shared), F.lit("common")), F.when(truth.isin(*shared) & F.col("captive"), F.lit("captive")), F.when(truth.isin(*gained) & (F.col("model") == b), F.lit("gained")),
+    ))
+    readings = F.array(F.lit("masked"), F.lit("full"), F.lit("renormalised"))
+    rows = outputs.select("model", "truth", "p", F.explode(grounds).alias("ground")).select("*", F.explode(readings).alias("reading")).where("ground <> 'gained' OR reading = 'full'")
+    p = F.when(F.col("reading") == "full", F.col("p")).when(F.col("reading") == "masked", masked("p", shared)).otherwise(masked("p", shared, True))
+    limits = F.explode(F.when(F.col("reading") == "renormalised", F.array(*[F.lit(t) for t in thresholds])).otherwise(F.array(F.lit(threshold)))).alias("threshold")
+    return tallies(rows.select("ground", "model", "reading", "truth", p.alias("p"), limits), ["ground", "model", "reading", "threshold"], F.col("threshold"))
+
+
+def cost_table(df: DataFrame, sets: dict[int, list[int]], core: list[int], threshold: float) -> DataFrame:
+    """(photos, exposed, part, images, top1, top3, accepted, right): what more exposed classes cost the core, and add.
+
+    sets: the exposed classes by size; part 'core' are the images of core classes, 'added' those of the others exposed;
+    photos are 'all' and of them 'captive'. Outputs are masked to the exposed classes and renormalised.
+    """
+    parts = []
+    for n, kept in sorted(sets.items()):
+        part = F.when(F.col("truth").isin(*core), "core").when(F.col("truth").isin(*kept), "added")
+        parts.append(F.struct(F.lit(n).alias("exposed"), part.alias("part"), masked("p", kept, True).alias("p")))
+    photos = F.explode(F.array_compact(F.array(F.lit("all"), F.when(F.col("captive"), F.lit("captive"))))).alias("photos")
+    rows = df.select("truth", photos, F.explode(F.array(*parts)).alias("x")).select("truth", "photos", "x.*").where("part IS NOT NULL")
+    return tallies(rows, ["photos", "exposed", "part"], threshold)
+
+
+def restricted_reading(df: DataFrame, kept: list[int], threshold: float) -> DataFrame:
+    """(reading, images, top1, top3, accepted, right) of a catalogue restricted to ``kept``.
+
+    whole and restricted (masked and renormalised) over its images, captive: whole over its captive ones, and rest: whole
+    over all other images.
+    """
+    inside = F.col("truth").isin(*kept)
+    own = F.array(F.struct(F.lit("whole").alias("reading"), F.col("p").alias("p")), F.struct(F.lit("restricted").alias("reading"), masked("p", kept, True).alias("p")))
+    potted = F.when(F.col("captive"), F.array(F.struct(F.lit("captive").alias("reading"), F.col("p").alias("p"))))
+    rest = F.array(F.struct(F.lit("rest").alias("reading"), F.col("p").alias("p")))
+    rows = df.select("truth", F.inline(F.when(inside, F.concat(own, F.coalesce(potted, F.slice(own, 1, 0)))).otherwise(rest)))
+    return tallies(rows, ["reading"], threshold)
+
+
+def most_asserted(readings: DataFrame, id_: str, limit: int) -> DataFrame:
+    """The images that are named most surely, with the name and the runner-up's probability."""
+    return readings.select(id_, "guess", "best", "second").orderBy(F.desc("best"), id_).limit(limit)
+
+
 def combine(df: DataFrame, group: str, geometric: bool = False, photos: int | None = None, order: str = "image_id") -> DataFrame:
     """One row a group: the mean (or the geometric mean) of its photos' probabilities; optionally of its first ones."""
+    at = F.row_number().over(Window.partitionBy(group).orderBy(order))
+    df = df.select(group, order, "truth", "captive", "p").withColumn("_n", at)
     if photos is not None:
-        w = Window.partitionBy(group).orderBy(order)
-        df = df.withColumn("_n", F.row_number().over(w)).withColumn("_c", F.count("*").over(Window.partitionBy(group))).where((F.col("_n") <= photos) & (F.col("_c") >= photos))
-    own = df.select(group, "truth", "captive", F.posexplode(F.transform("p", lambda x: F.log(F.greatest(x, F.lit(1e-9)))) if geometric else F.col("p")).alias("i", "x"))
-    mean = F.exp(F.avg("x")) if geometric else F.avg("x")
-    one = own.groupBy(group, "i").agg(mean.alias("x"), F.min("truth").alias("truth"), F.max("captive").alias("captive"))
-    return one.groupBy(group).agg(F.min("truth").alias("truth"), F.max("captive").alias("captive"), F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("p"))
+        df = df.withColumn("_c", F.count("*").over(Window.partitionBy(group))).where((F.col("_n") <= photos) & (F.col("_c") >= photos))
+    x = F.transform("p", lambda v: F.log(F.greatest(v, F.lit(1e-9)))) if geometric else F.col("p")
+    add = lambda of: F.aggregate(F.slice(of, 2, PHOTOS), F.col(of)[0], lambda s, p: F.zip_with(s, p, lambda u, v: u + v))
+    # arrays are added place by place, PHOTOS at a time; the window has brought each group together, so nothing is shuffled again
+    own = df.select(group, "truth", "captive", x.alias("_x"), F.expr(f"(_n - 1) div {PHOTOS}").alias("_part"))
+    some = own.groupBy(group, "_part").agg(F.min("truth").alias("truth"), F.max("captive").alias("captive"), F.count("*").alias("_k"), F.collect_list("_x").alias("_all"))
+    some = some.select(group, "truth", "captive", "_k", add("_all").alias("_sum"))
+    g = some.groupBy(group).agg(F.min("truth").alias("truth"), F.max("captive").alias("captive"), F.sum("_k").alias("_k"), F.collect_list("_sum").alias("_all"))
+    total = F.aggregate("_all", F.transform(F.col("_all")[0], lambda _: F.lit(0.0)), lambda s, p: F.zip_with(s, p, lambda u, v: u + v))
+    mean = F.transform(total, lambda v: F.exp(v / F.col("_k")) if geometric else v / F.col("_k"))
+    return g.select(group, "truth", "captive", mean.alias("p"))
 
 
 def like_app(df: DataFrame, group: str, top_k: int, cut: float) -> DataFrame:

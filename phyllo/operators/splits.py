@@ -109,22 +109,26 @@ def choose_classes(splits: DataFrame, how_many: int, train: int, val: int, test:
     return enough.orderBy(F.desc("n_train"), "internal_plant_id").limit(how_many).select("internal_plant_id", "n_train")
 
 
-def quota_sample(splits: DataFrame, how_many: int, quotas: dict[str, int], order: str = "path") -> DataFrame:
-    """The first rows of each chosen class and split, up to the quota of the split."""
-    chosen = choose_classes(splits, how_many, *[quotas[s] for s in ("train", "val", "test")])
+def quota_sample(splits: DataFrame, quotas: dict[str, int], chosen: DataFrame, order: str = "path") -> DataFrame:
+    """The first rows of each chosen class (internal_plant_id) and split, up to the quota of the split."""
     n = F.row_number().over(Window.partitionBy("internal_plant_id", "split").orderBy(order))
     quota = F.create_map(*[F.lit(x) for s, q in quotas.items() for x in (s, q)])
     most = max(quotas.values())
     return splits.join(chosen.select("internal_plant_id"), "internal_plant_id", "left_semi").withColumn("_n", n).where((F.col("_n") <= most) & (F.col("_n") <= F.try_element_at(quota, F.col("split")))).drop("_n")
 
 
+def hash_range(key: Column) -> Column:
+    """The range, 0 to 255, that the hash (32 hex digits) of a key lies in."""
+    return F.conv(F.substring(key, 1, 2), 16, 10).cast("int")
+
+
 def soft_cap(groups: DataFrame, cap: int, salt: str) -> DataFrame:
     """Groups (group_id, n) in hash order until their rows reach ``cap``; the last group may go over it.
 
     The running sum is computed in two levels over ranges of the hash, so the order of all groups is no single task.
     """
-    rank = F.xxhash64(F.lit(salt), "group_id")
-    ranked = groups.select("group_id", "n", rank.alias("rank"), F.shiftrightunsigned(rank.bitwiseXOR(F.lit(-(1 << 63)).cast("long")), 56).alias("part"))
+    rank = F.md5(F.concat(F.lit(salt + ":"), "group_id").cast("binary"))
+    ranked = groups.select("group_id", "n", rank.alias("rank")).withColumn("part", hash_range(F.col("rank")))
     parts = ranked.groupBy("part").agg(F.sum("n").alias("rows"))
     before = F.coalesce(F.sum("rows").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
     offsets = parts.select("part", before.alias("before"))  # 256 rows
@@ -132,16 +136,26 @@ def soft_cap(groups: DataFrame, cap: int, salt: str) -> DataFrame:
     return ranked.withColumn("own", own).join(F.broadcast(offsets), "part").where(F.col("own") + F.col("before") < cap).select("group_id", "n")
 
 
-def slices(splits: DataFrame, cap: int, salt: str = "slice-1") -> DataFrame:
-    """(slice, path): test groups of at least two pictures (multi), and capped draws of the rest, captive and not."""
-    test = splits.where("split = 'test'").select("path", "group_id", "captive").distinct()
-    sizes = test.groupBy("group_id").agg(F.count("*").alias("n"))
-    multi = sizes.where("n >= 2 AND group_id <> ''")
-    out = test.join(multi, "group_id", "left_semi").select(F.lit("multi").alias("slice"), "path")
-    rest = test.join(multi, "group_id", "left_anti")
-    for name, part in (("captive", rest.where("captive = '1'")), ("wild", rest.where("captive <> '1'"))):
-        drawn = soft_cap(part.groupBy("group_id").agg(F.count("*").alias("n")), cap, f"{salt}-{name}")
-        out = out.unionByName(part.join(drawn, "group_id", "left_semi").select(F.lit(name).alias("slice"), "path"))
+def slices(splits: DataFrame, indoor: DataFrame, outdoor: DataFrame, cap: int, salt: str = "slice-1") -> DataFrame:
+    """(slice, path, internal_plant_id, group_id, captive) of the test rows, for a frozen benchmark.
+
+    multi: groups (not blank) of two pictures or more, whole. Of all other rows: indoor, captive pictures of the classes
+    of ``indoor`` (class_id); outdoor, those of ``outdoor`` that are no indoor class; ood_plant, those of neither. A slice of more than
+    ``cap`` rows keeps whole groups, drawn in hash order until the cap is reached; a blank group is its own path.
+    """
+    rows = splits.where("split = 'test'").select("path", "internal_plant_id", "captive", F.coalesce("group_id", F.lit("")).alias("group_id")).distinct()
+    sizes = rows.groupBy("group_id").agg(F.count("*").alias("n"))
+    multi = sizes.where("n >= 2 AND group_id <> ''").select("group_id", F.lit(True).alias("_m"))
+    side = lambda of, name: of.select(F.col("class_id").alias("internal_plant_id"), F.lit(True).alias(name)).distinct()
+    rows = rows.join(multi, "group_id", "left").join(side(indoor, "_i"), "internal_plant_id", "left").join(side(outdoor, "_o"), "internal_plant_id", "left")
+    kind = F.when(F.col("_m"), "multi").when(F.col("_i") & (F.col("captive") == "1"), "indoor").when(F.col("_o") & F.col("_i").isNull(), "outdoor").when(F.col("_i").isNull() & F.col("_o").isNull(), "ood_plant")
+    rows = rows.withColumn("slice", kind).where("slice IS NOT NULL").withColumn("_g", F.when(F.col("group_id") != "", F.col("group_id")).otherwise(F.col("path")))
+    out = None
+    for name in ("multi", "indoor", "outdoor", "ood_plant"):
+        part = rows.where(F.col("slice") == name)
+        drawn = soft_cap(part.groupBy(F.col("_g").alias("group_id")).agg(F.count("*").alias("n")), cap, f"{salt}-{name}").select(F.col("group_id").alias("_g"))
+        one = part.join(drawn, "_g", "left_semi").select("slice", "path", "internal_plant_id", "group_id", "captive")
+        out = one if out is None else out.unionByName(one)
     return out
 
 

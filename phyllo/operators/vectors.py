@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from phyllo.operators.splits import hash_range
+
 
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
@@ -69,23 +71,44 @@ def leave_one_out(rows: DataFrame, most_labels: int = 20_000) -> DataFrame:
     return with_table.where(~alone & (F.size("t") > 1)).select("id", "label", (-best["l"]).alias("guess"))
 
 
+def _ranked(rows: DataFrame, key: Column) -> DataFrame:
+    """rows (draw, ...) with r, the place by ``key`` (hex digits) within the draw, counted over ranges of the key."""
+    own = rows.withColumn("_h", key).withColumn("_part", hash_range(F.col("_h")))
+    sizes = own.groupBy("draw", "_part").agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy("draw").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
+    at = F.row_number().over(Window.partitionBy("draw", "_part").orderBy("_h", "id"))
+    return own.withColumn("_at", at).join(sizes.select("draw", "_part", before.alias("_before")), ["draw", "_part"]).withColumn("r", F.col("_at") + F.col("_before")).drop("_h", "_part", "_at", "_before")
+
+
 def permutation_control(rows: DataFrame, draws: int, salt: str = "draw") -> DataFrame:
-    """(draw, intra): the mean cosine within labels, observed (draw 0) and with labels shuffled by seeded hash ranks.
+    """(draw, intra, inter, gap): mean cosines within and across labels, observed (draw 0) and with labels shuffled.
 
-    Each draw assigns the labels in order of one hash to the rows in order of another, both spread over the cluster by
-    ranges; the statistic comes from sums, not from pairs.
+    Each draw gives the labels in order of one hash to the ids in order of another. Both orders are counted over ranges of
+    the hash, and without the vectors, so no draw is one task; the means come from sums, not from pairs. Null gaps: a draw
+    of one label, or of one row a label.
     """
-    base = rows.withColumn("draw", F.lit(0))
+    hashed = lambda what: F.md5(F.concat_ws(":", F.lit(salt), F.lit(what), F.col("draw").cast("string"), F.col("id").cast("string")).cast("binary"))
+    given = rows.select("id", "label", F.lit(0).alias("draw"))
     if draws:
-        spread = rows.select("*", F.explode(F.sequence(F.lit(1), F.lit(draws))).alias("draw"))
-        from pyspark.sql import Window
-
-        a = spread.withColumn("r", F.row_number().over(Window.partitionBy("draw").orderBy(F.xxhash64(F.lit(salt), "draw", "id"), "id"))).select("draw", "r", "id", "v")
-        b = spread.withColumn("r", F.row_number().over(Window.partitionBy("draw").orderBy("id"))).select("draw", "r", "label")
-        base = base.unionByName(a.join(b, ["draw", "r"]).select("id", "label", "v", "draw"))
+        spread = rows.select("id", "label", F.explode(F.sequence(F.lit(1), F.lit(draws))).alias("draw"))
+        a = _ranked(spread.select("draw", "id"), hashed("id"))
+        b = _ranked(spread, hashed("label")).select("draw", "r", "label")
+        given = given.unionByName(a.join(b, ["draw", "r"]).select("id", "label", "draw"))
+    base = rows.select("id", "v").join(given, "id")
     long = base.select("draw", "label", F.posexplode("v").alias("i", "x")).groupBy("draw", "label", "i").agg(F.sum("x").alias("x"), F.count("*").alias("n"), F.sum(F.col("x") * F.col("x")).alias("xx"))
     per = long.groupBy("draw", "label").agg(F.sum(F.col("x") * F.col("x")).alias("q"), F.sum("xx").alias("diag"), F.max("n").alias("n"))
-    return per.groupBy("draw").agg((F.sum(F.col("q") - F.col("diag")) / F.sum(F.col("n") * (F.col("n") - 1))).alias("intra"))
+    whole = long.groupBy("draw", "i").agg(F.sum("x").alias("x")).groupBy("draw").agg(F.sum(F.col("x") * F.col("x")).alias("all"))
+    one = per.groupBy("draw").agg(F.sum("q").alias("q"), F.sum("diag").alias("diag"), F.sum(F.col("n") * (F.col("n") - 1)).alias("within"), F.sum("n").alias("n")).join(whole, "draw")
+    across = F.nullif(F.col("n") * (F.col("n") - 1) - F.col("within"), F.lit(0))
+    means = one.select("draw", ((F.col("q") - F.col("diag")) / F.nullif("within", F.lit(0))).alias("intra"), ((F.col("all") - F.col("q")) / across).alias("inter"))
+    return means.withColumn("gap", F.col("intra") - F.col("inter"))
+
+
+def p_value(control: DataFrame) -> DataFrame:
+    """One row: the observed gap, the mean of the draws, and p: the share of draws that do as well, the observed one included."""
+    seen = control.agg(F.max(F.when(F.col("draw") == 0, F.col("gap"))).alias("gap"), F.avg(F.when(F.col("draw") > 0, F.col("gap"))).alias("mean_gap"), F.count(F.when(F.col("draw") > 0, F.col("gap"))).alias("draws"), F.collect_list(F.when(F.col("draw") > 0, F.col("gap"))).alias("_all"))
+    as_well = F.size(F.filter("_all", lambda x: x >= F.col("gap")))
+    return seen.select("gap", "mean_gap", F.when(F.col("gap").isNotNull() & (F.col("draws") > 0), F.round((1 + as_well) / (1 + F.col("draws")), 4)).alias("p"), "draws")
 
 
 def cut(row: Column | str, kept: list[int]) -> Column:

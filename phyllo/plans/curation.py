@@ -159,17 +159,25 @@ def top02_largest_classes(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""SELECT path, internal_plant_id, split FROM (SELECT DISTINCT path, internal_plant_id, split, dense_rank() OVER (PARTITION BY internal_plant_id, split ORDER BY path) AS n FROM splits
   WHERE internal_plant_id IN (SELECT internal_plant_id FROM ({_ENOUGH}))) WHERE n <= CASE split WHEN 'train' THEN 20 ELSE 3 END""")
 def spl07_quota_sample(spark: SparkSession, d: str) -> DataFrame:
-    own = table(spark, d, "splits")
-    distinct = own.select("path", "internal_plant_id", "split").distinct()
+    own = table(spark, d, "splits").select("path", "internal_plant_id", "split")
     chosen = splits.choose_classes(own, 40, 20, 3, 3)
-    n = F.row_number().over(Window.partitionBy("internal_plant_id", "split").orderBy("path"))
-    kept = distinct.join(chosen, "internal_plant_id", "left_semi").withColumn("n", n).where("n <= 20")
-    return kept.where(F.col("n") <= F.when(F.col("split") == "train", 20).otherwise(3)).select("path", "internal_plant_id", "split")
+    return splits.quota_sample(own.distinct(), {"train": 20, "val": 3, "test": 3}, chosen).select("path", "internal_plant_id", "split")
 
 
-@query()
+_INDOOR, _OUTDOOR = "family IN ('Paroraceae', 'Ganallaceae')", "family IN ('Ganallaceae', 'Valillaceae', 'Lenollaceae')"
+
+
+@query(f"""WITH t AS (SELECT DISTINCT path, internal_plant_id, captive, coalesce(group_id, '') AS group_id FROM splits WHERE split = 'test'),
+  m AS (SELECT group_id FROM t GROUP BY 1 HAVING count(*) >= 2 AND group_id <> ''), i AS (SELECT internal_id FROM plants WHERE {_INDOOR}), o AS (SELECT internal_id FROM plants WHERE {_OUTDOOR}),
+  k AS (SELECT *, CASE WHEN group_id IN (SELECT group_id FROM m) THEN 'multi' WHEN internal_plant_id IN (FROM i) THEN CASE WHEN captive = '1' THEN 'indoor' END WHEN internal_plant_id IN (FROM o) THEN 'outdoor' ELSE 'ood_plant' END AS slice,
+    CASE WHEN group_id <> '' THEN group_id ELSE path END AS g FROM t),
+  n AS (SELECT slice, g, count(*) AS n FROM k WHERE slice IS NOT NULL GROUP BY ALL),
+  c AS (SELECT slice, g, sum(n) OVER (PARTITION BY slice ORDER BY md5('slice-1-' || slice || ':' || g), g) - n AS before FROM n)
+  SELECT slice, path, internal_plant_id, group_id, captive FROM k JOIN (SELECT slice, g FROM c WHERE before < 120) USING (slice, g)""")
 def spl08_slices(spark: SparkSession, d: str) -> DataFrame:
-    return splits.slices(table(spark, d, "splits"), 500)
+    p = table(spark, d, "plants")
+    side = lambda where: p.where(where).select(F.col("internal_id").alias("class_id"))
+    return splits.slices(table(spark, d, "splits"), side(_INDOOR), side(_OUTDOOR), 120)
 
 
 @query("SELECT internal_plant_id FROM splits GROUP BY 1 HAVING count(*) FILTER (split = 'train') >= 25 AND count(*) FILTER (split = 'val') >= 3")
@@ -264,9 +272,9 @@ def scl05_genus_epithet(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "plants").select("internal_id", names.genus_of(s).alias("genus"), names.epithet_of(s).alias("epithet"))
 
 
-@query("""SELECT license, count(*) AS n, CASE WHEN allowed IS NULL THEN NULL ELSE code END AS code FROM (SELECT license, CASE
+@query("""SELECT license, count(*) AS n, code FROM (SELECT license, CASE
     WHEN license IN ('CC BY 4.0', 'CC_BY_4_0', 'cc-by') THEN 'CC BY 4.0' WHEN license IN ('CC0 1.0', 'cc0') THEN 'CC0 1.0' WHEN license = 'CC BY-NC 4.0' THEN 'CC BY-NC 4.0'
-    WHEN license = 'CC BY-SA 4.0' THEN 'CC BY-SA 4.0' WHEN license = 'CC BY 3.0' THEN 'CC BY 3.0' END AS code, true AS allowed FROM records WHERE license <> 'Public Domain Mark 1.0') GROUP BY ALL""")
+    WHEN license = 'CC BY-SA 4.0' THEN 'CC BY-SA 4.0' WHEN license = 'CC BY 3.0' THEN 'CC BY 3.0' END AS code FROM records) GROUP BY ALL""")
 def scl10_parse_license(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "records").groupBy("license").agg(F.count("*").alias("n"))
     return rows.select("license", "n", licenses.parse_license("license")["code"].alias("code"))
@@ -282,18 +290,13 @@ def scl09_plain_text(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", scalars.plain_text("text").alias("plain"))
 
 
-@query("SELECT seq, count(*) AS n FROM (SELECT seq, unnest(range(7)) AS i FROM records WHERE phash <> '') GROUP BY seq HAVING count(*) <> 7")
+@query(f"SELECT CAST(i AS INTEGER) AS band, CAST((h >> CAST(64 * i // 7 AS UBIGINT)) & CAST((1 << (64 * (i + 1) // 7 - 64 * i // 7)) - 1 AS UBIGINT) AS BIGINT) AS value, count(*) AS n FROM (SELECT {_HASH} AS h FROM records) r, (SELECT unnest(range(7)) AS i) WHERE h IS NOT NULL GROUP BY ALL")
 def scl16_band_values(spark: SparkSession, d: str) -> DataFrame:
-    """Bands that do not put a hash together again: none."""
+    """How many hashes have each value in each of the seven bands."""
     from phyllo.operators.hamming import band, bands
 
-    h = F.col("h")
-    whole = None
-    for c in bands(7):
-        part = F.shiftleft(band(h, c), c[0])
-        whole = part if whole is None else whole.bitwiseOR(part)
-    rows = table(spark, d, "records").select("seq", hash_bits("phash").alias("h")).where("h IS NOT NULL")
-    return rows.where(whole != h).select("seq", F.lit(0).cast("long").alias("n"))
+    rows = table(spark, d, "records").select(hash_bits("phash").alias("h")).where("h IS NOT NULL")
+    return rows.select(F.posexplode(F.array(*[band(F.col("h"), c) for c in bands(7)])).alias("band", "value")).groupBy("band", "value").agg(F.count("*").alias("n"))
 
 
 # --- catalogue ---------------------------------------------------------------------------------------------------------
@@ -317,8 +320,8 @@ def agg08_distinct_members(spark: SparkSession, d: str) -> DataFrame:
     return catalog.distinct_members(table(spark, d, "plants"), "genus", "epithet").select("genus", F.array_join("members", "|").alias("epithets"))
 
 
-@query("""SELECT internal_id FROM (SELECT internal_id, row_number() OVER (PARTITION BY replace(internal_id, '-x-', '-') ORDER BY internal_id) AS n FROM plants
-  WHERE replace(internal_id, '-x-', '-') NOT IN (SELECT DISTINCT replace(internal_plant_id, '-x-', '-') FROM splits WHERE internal_plant_id IS NOT NULL) AND internal_id NOT LIKE 'x-%') WHERE n = 1""")
+@query("""SELECT internal_id FROM (SELECT internal_id, row_number() OVER (PARTITION BY regexp_replace(internal_id, '(^|-)x-', '\\1') ORDER BY internal_id) AS n FROM plants
+  WHERE regexp_replace(internal_id, '(^|-)x-', '\\1') NOT IN (SELECT regexp_replace(internal_plant_id, '(^|-)x-', '\\1') FROM splits WHERE internal_plant_id IS NOT NULL)) WHERE n = 1""")
 def sel01_keep_candidates(spark: SparkSession, d: str) -> DataFrame:
     plants = table(spark, d, "plants").select("internal_id", F.col("internal_id").alias("ord"))
     known = table(spark, d, "splits").select(F.col("internal_plant_id").alias("id")).where("id IS NOT NULL").distinct()
@@ -341,7 +344,7 @@ def agg06_gain(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""SELECT source, count(*) AS n_all, count(*) FILTER (license IN ('CC BY 4.0', 'CC0 1.0', 'CC_BY_4_0', 'cc-by', 'cc0', 'CC BY 3.0')) AS n_free,
-  count(DISTINCT species) FILTER (status = 'kept') AS kept_species, count(*) FILTER (extra['quality_grade'] = 'research') AS research FROM records WHERE license <> 'Public Domain Mark 1.0' AND license NOT LIKE 'http%' GROUP BY source""")
+  count(DISTINCT species) FILTER (status = 'kept') AS kept_species, count(*) FILTER (extra['quality_grade'] = 'research') AS research FROM records GROUP BY source""")
 def agg07_filtered_counts(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "records")
     free = licenses.is_allowed(licenses.parse_license("license"))
@@ -358,7 +361,7 @@ def jn15_class_algebra(spark: SparkSession, d: str) -> DataFrame:
 
 
 _RUNS = "SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents WHERE text LIKE '%kept (gbif%'"
-_FAILED = r"^\[\d+/\d+\]\s+(.+?):\s+(?:FAILED|ÉCHEC)\s+\(([A-Za-z_][\w.]*)[:)]"
+_FAILED = scalars.LOG_FAILED
 
 
 @query(rf"SELECT reason, count(*) AS n FROM (SELECT doc_id, regexp_extract(line, '{_FAILED}', 1) AS name, arg_min(regexp_extract(line, '{_FAILED}', 2), pos) AS reason FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents WHERE text LIKE '%kept (gbif%') WHERE regexp_matches(line, '{_FAILED}') GROUP BY doc_id, name) GROUP BY reason")

@@ -261,9 +261,24 @@ def vec04_leave_one_out(spark: SparkSession, d: str) -> DataFrame:
     return vec.leave_one_out(vec.units(table(spark, d, "embeddings")))
 
 
-@query()
+_DRAWS = f"""{_UNIT.strip()}, pm AS (SELECT id, label, 0 AS draw FROM u UNION ALL SELECT a.id, b.label, a.draw FROM
+    (SELECT id, draw, row_number() OVER (PARTITION BY draw ORDER BY md5('draw:id:' || draw || ':' || id), id) AS r FROM u, (SELECT CAST(unnest(range(1, 20)) AS INTEGER) AS draw)) a JOIN
+    (SELECT id, label, draw, row_number() OVER (PARTITION BY draw ORDER BY md5('draw:label:' || draw || ':' || id), id) AS r FROM u, (SELECT CAST(unnest(range(1, 20)) AS INTEGER) AS draw)) b USING (draw, r)),
+  st AS (SELECT draw, pm.label, i, sum(x) AS x, count(*) AS n, sum(x * x) AS xx FROM pm JOIN ul USING (id) GROUP BY ALL),
+  lb AS (SELECT draw, label, sum(x * x) AS q, sum(xx) AS diag, max(n) AS n FROM st GROUP BY ALL), al AS (SELECT draw, sum(x * x) AS w FROM (SELECT draw, i, sum(x) AS x FROM st GROUP BY ALL) GROUP BY draw),
+  mn AS (SELECT draw, sum(q - diag) / sum(n * (n - 1)) AS intra, (any_value(w) - sum(q)) / (sum(n) * (sum(n) - 1) - sum(n * (n - 1))) AS inter FROM lb JOIN al USING (draw) GROUP BY draw)"""
+
+
+@query(f"WITH {_DRAWS} SELECT draw, round(intra, 6) AS intra, round(inter, 6) AS inter FROM mn")
 def vec05_permutation(spark: SparkSession, d: str) -> DataFrame:
-    return vec.permutation_control(vec.units(table(spark, d, "embeddings")), 19)
+    out = vec.permutation_control(vec.units(table(spark, d, "embeddings")), 19)
+    return out.select("draw", F.round("intra", 6).alias("intra"), F.round("inter", 6).alias("inter"))
+
+
+@query(f"WITH {_DRAWS}, g AS (SELECT draw, intra - inter AS gap FROM mn) SELECT round((1 + count(*) FILTER (draw > 0 AND gap >= (SELECT gap FROM g WHERE draw = 0))) / 20.0, 4) AS p, count(*) - 1 AS draws, round(max(gap) FILTER (draw = 0), 6) AS gap, round(avg(gap) FILTER (draw > 0), 6) AS mean_gap FROM g")
+def vec05_p_value(spark: SparkSession, d: str) -> DataFrame:
+    out = vec.p_value(vec.permutation_control(vec.units(table(spark, d, "embeddings")), 19))
+    return out.select("p", "draws", F.round("gap", 6).alias("gap"), F.round("mean_gap", 6).alias("mean_gap"))
 
 
 @query("SELECT vec_id, round(CAST(embedding[3] AS DOUBLE), 6) AS a, round(CAST(embedding[1] AS DOUBLE), 6) AS b FROM embeddings")

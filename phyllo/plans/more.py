@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from phyllo.functions import names
-from phyllo.operators import catalog, evaluate, features, services, splits
+from phyllo.operators import catalog, evaluate, features, ingest, services, splits
 from phyllo.plans import evaluation
 from phyllo.session import table
 
@@ -41,15 +41,19 @@ def set03_difference(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "plants").select("internal_id").subtract(table(spark, d, "records").select("internal_plant_id"))
 
 
-@query("SELECT path, species FROM records WHERE seq % 2 = 0 UNION ALL SELECT path, species FROM records WHERE seq % 2 = 1")
+@query("SELECT seq, path, species, CASE WHEN seq % 2 = 0 THEN status END AS status FROM records")
 def set05_shards_merged(spark: SparkSession, d: str) -> DataFrame:
     r = table(spark, d, "records")
-    return r.where("seq % 2 = 0").select("path", "species").unionByName(r.where("seq % 2 = 1").select("species", "path"))
+    return ingest.merge_manifests([r.where("seq % 2 = 0").select("seq", "path", "species", "status"), r.where("seq % 2 = 1").select("species", "seq", "path")])
 
 
-@query("SELECT service, arg_max(answer_id, answer_id) AS last_id, count(*) AS n FROM name_answers GROUP BY service")
+@query("""WITH a AS (SELECT matched_as AS name, answer_id % 3 AS shard, max(answer_id) AS answer_id FROM name_answers WHERE matched_as IS NOT NULL GROUP BY ALL)
+  SELECT name, arg_max(answer_id, shard) AS answer_id FROM a GROUP BY name""")
 def set06_last_wins(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "name_answers").groupBy("service").agg(F.max_by("answer_id", "answer_id").alias("last_id"), F.count("*").alias("n"))
+    """Each third of the answers is the cache of one shard: name to its last answer."""
+    own = table(spark, d, "name_answers").where("matched_as IS NOT NULL")
+    shards = [own.where(f"answer_id % 3 = {i}").groupBy(F.col("matched_as").alias("name")).agg(F.max("answer_id").alias("answer_id")) for i in range(3)]
+    return ingest.merge_caches(shards)
 
 
 _FIRST = "SELECT asked_by, arg_min(match_type, answer_id) AS match_type FROM (SELECT * FROM name_answers WHERE match_type IS NOT NULL) GROUP BY asked_by"
@@ -76,11 +80,13 @@ def prd02_usable(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "name_answers").select("answer_id", taxon_usable(c("taxon_rank"), c("match_type"), c("confidence")).alias("usable"))
 
 
-@query("SELECT seq, CASE WHEN least(width, height) < 320 THEN 'too small' WHEN greatest(width, height) > 12.0 * least(width, height) THEN 'too narrow' END AS verdict FROM records")
+@query("SELECT seq, CASE WHEN extra['format'] IS NULL THEN 'unreadable' WHEN extra['format'] <> 'image/jpeg' THEN 'format' WHEN seq % 50 = 0 THEN 'animated' WHEN least(width, height) < 320 THEN 'too small' WHEN greatest(width, height) > 12.0 * least(width, height) THEN 'too narrow' END AS verdict FROM records")
 def prd08_image_verdict(spark: SparkSession, d: str) -> DataFrame:
     from phyllo.functions.scalars import image_verdict
 
-    return table(spark, d, "records").select("seq", image_verdict(F.lit("JPEG"), F.lit(1), F.col("width"), F.col("height")).alias("verdict"))
+    form = F.upper(F.element_at(F.split(F.try_element_at("extra", F.lit("format")), "/"), -1))
+    frames = F.when(F.col("seq") % 50 == 0, 2).otherwise(1)  # the table does not know them
+    return table(spark, d, "records").select("seq", image_verdict(form, frames, F.col("width"), F.col("height")).alias("verdict"))
 
 
 @query(f"WITH {evaluation._P}, {evaluation._read()} SELECT key AS image_id, CASE WHEN best < 0.10 THEN 'no candidate' WHEN best >= 0.14 AND best - second >= 0.01 THEN 'accepted' ELSE 'uncertain' END AS verdict FROM rd")
@@ -89,7 +95,7 @@ def prd12_verdict(spark: SparkSession, d: str) -> DataFrame:
     return r.select("image_id", services.verdict(F.col("best"), F.col("second"), 0.10, 0.14, 0.01).alias("verdict"))
 
 
-@query("SELECT internal_id AS asked, internal_id AS label, 'direct' AS how FROM plants WHERE internal_id IN (SELECT internal_plant_id FROM splits) AND NOT internal_id LIKE 'x-%'")
+@query()
 def jn10_resolve_labels(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "plants")
     labels = table(spark, d, "splits").select(F.col("internal_plant_id").alias("class_id")).where("class_id <> ''").distinct()
@@ -104,25 +110,29 @@ def jn12_register(spark: SparkSession, d: str) -> DataFrame:
     return catalog.register(have, found, "o").select("internal_id", "o")
 
 
-@query("SELECT DISTINCT species AS id, internal_plant_id AS class_id FROM records WHERE internal_plant_id IN (SELECT internal_id FROM plants WHERE family = 'Paroraceae') AND internal_plant_id NOT LIKE 'x-%'")
+_ID = "trim(regexp_replace(lower(replace({0}, '×', 'x')), '[^a-z0-9]+', '-', 'g'), '-')"
+
+
+@query(f"SELECT DISTINCT species AS id, {_ID.format('species')} AS class_id FROM records WHERE {_ID.format('species')} IN (SELECT internal_id FROM plants WHERE family = 'Paroraceae')")
 def jn13_mapped_classes(spark: SparkSession, d: str) -> DataFrame:
     foreign = table(spark, d, "records").select(F.col("species").alias("id"), F.col("species").alias("name")).distinct()
     labels = table(spark, d, "plants").where("family = 'Paroraceae'").select(F.col("internal_id").alias("class_id"))
     return services.mapped_classes(foreign, labels).select("id", "class_id")
 
 
-@query("SELECT coalesce(license, '?') AS key, 'license' AS kind, count(*) AS n FROM records WHERE source = 'plantnet300k' GROUP BY 1 UNION ALL SELECT '', 'whole', count(*) FROM records r WHERE source = 'plantnet300k' AND license IN ('CC0 1.0', 'CC BY 4.0') AND species IN (SELECT scientific_name FROM plants) UNION ALL SELECT status, 'organ', count(*) FROM records WHERE source = 'plantnet300k' AND license IN ('CC0 1.0', 'CC BY 4.0') AND species IN (SELECT scientific_name FROM plants) GROUP BY status")
+@query("SELECT coalesce(license, '?') AS key, 'license' AS kind, count(*) AS n FROM records WHERE source = 'plantnet300k' GROUP BY 1 UNION ALL SELECT '', 'whole', count(*) FROM records r WHERE source = 'plantnet300k' AND license IN ('CC0 1.0', 'CC BY 4.0') AND species IN (SELECT scientific_name FROM plants) UNION ALL SELECT status, 'organ', count(*) FROM records WHERE source = 'plantnet300k' AND license IN ('CC0 1.0', 'CC BY 4.0') AND species IN (SELECT scientific_name FROM plants) GROUP BY status UNION ALL SELECT p.internal_id, 'species', count(*) FROM records r JOIN plants p ON p.scientific_name = r.species WHERE source = 'plantnet300k' AND license IN ('CC0 1.0', 'CC BY 4.0') GROUP BY 1")
 def jn14_foreign_counts(spark: SparkSession, d: str) -> DataFrame:
     meta = table(spark, d, "records").where("source = 'plantnet300k'").select(F.col("species").alias("species_id"), "license", F.col("status").alias("organ"))
     mapping = table(spark, d, "plants").select(F.col("scientific_name").alias("id"), F.col("internal_id").alias("class_id"))
     return services.foreign_counts(meta, mapping, ["CC0 1.0", "CC BY 4.0"])
 
 
-@query("SELECT count(DISTINCT species) AS names, count(DISTINCT species) FILTER (species IN (SELECT scientific_name FROM plants)) AS resolved FROM records")
+@query("""SELECT count(*) AS names, count(p.internal_id) AS resolved, count(DISTINCT p.internal_id) AS classes, count(*) FILTER (n > 1) AS repeated
+  FROM (SELECT species, count(*) AS n FROM records WHERE species IS NOT NULL GROUP BY 1) r LEFT JOIN plants p ON p.scientific_name = r.species""")
 def agg23_coverage(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "plants")
-    r = table(spark, d, "records").select(F.col("species").alias("id")).join(p.select(F.col("scientific_name").alias("id"), F.col("internal_id").alias("label")), "id", "left")
-    return services.coverage(r).select("names", "resolved")
+    asked = table(spark, d, "records").where("species IS NOT NULL").select(F.col("species").alias("name"))
+    return services.coverage(catalog.resolve_labels(asked, p.select(F.col("internal_id").alias("class_id")), catalog.alias_map(p)))
 
 
 @query(f"WITH c AS ({evaluation._THEFT}) SELECT count(*) FILTER (cost <= 0) AS none, count(*) FILTER (cost <= 2) AS two, count(*) FILTER (cost <= 5) AS five, count(*) FILTER (cost <= 20) AS twenty, count(*) FILTER (cost > 20) AS more FROM c")
@@ -189,6 +199,6 @@ def spl09_seeded_sample(spark: SparkSession, d: str) -> DataFrame:
     return p.select("internal_id", at.alias("at")).join(F.broadcast(spark.createDataFrame([(i,) for i in drawn], "at int")), "at").select("internal_id", "at")
 
 
-@query("SELECT internal_id, regexp_replace(replace(lower(scientific_name), '×', ' '), '\\s+', ' ', 'g') AS comparable FROM plants WHERE scientific_name NOT LIKE '× %'")
+@query("SELECT internal_id, trim(regexp_replace(replace(lower(scientific_name), '×', ' '), '\\s+', ' ', 'g')) AS comparable FROM plants")
 def scl06_comparable(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "plants").select("internal_id", names.comparable("scientific_name").alias("comparable"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("pages", "relational", "curation", "evaluation", "more", "streams")
+MODULES = ("pages", "relational", "curation", "evaluation", "more", "readings", "exchange", "streams")
 
 
 def _gather(what: str) -> dict:

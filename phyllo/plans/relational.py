@@ -28,9 +28,9 @@ def rel_grouping_sets(spark: SparkSession, d: str) -> DataFrame:
     return c.groupingSets([["c_nationkey", "c_mktsegment"], ["c_nationkey"], []], "c_nationkey", "c_mktsegment").agg(F.count("*").alias("n"), F.count_if(F.col("c_acctbal") > 0).alias("positive"))
 
 
-@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
 def rel_anti_join(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "customer").join(table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti").select("c_custkey")
+    return table(spark, d, "customer").join(table(spark, d, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti").select("c_custkey")
 
 
 @query("SELECT o_orderkey FROM orders WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R' AND l_quantity > 45)")

@@ -117,7 +117,17 @@ def test_splits_do_not_depend_on_layout(spark):
         by_group.setdefault(r[5], set()).add(r[4])
     assert all(len(x) <= 2 for x in by_group.values())
     assert splits.make_splits(df.limit(0)).count() == 0
-    assert splits.slices(splits.make_splits(df), 10).count() > 0
+
+
+def test_slices(spark):
+    rows = [("m1", "a", "test", "g1", "0"), ("m2", "z", "test", "g1", "1"), ("i1", "a", "test", "g2", "1"), ("i2", "a", "test", "", "1"), ("i3", "a", "test", None, "0"), ("o1", "b", "test", "", "1"), ("x1", "z", "test", "g3", "0"), ("t1", "a", "train", "g2", "1"), ("i1", "a", "test", "g2", "1")]
+    df = spark.createDataFrame(rows, "path string, internal_plant_id string, split string, group_id string, captive string")
+    side = lambda *ids: spark.createDataFrame([(x,) for x in ids], "class_id string")
+    got = {(r["slice"], r["path"]) for r in splits.slices(df, side("a"), side("a", "b"), 10).collect()}
+    assert got == {("multi", "m1"), ("multi", "m2"), ("indoor", "i1"), ("indoor", "i2"), ("outdoor", "o1"), ("ood_plant", "x1")}
+    capped = splits.slices(df, side("a"), side("a", "b"), 1).groupBy("slice").count().collect()
+    assert {r["slice"]: r["count"] for r in capped} == {"multi": 2, "indoor": 1, "outdoor": 1, "ood_plant": 1}
+    assert splits.slices(df.limit(0), side(), side(), 10).count() == 0
 
 
 def test_running_quota_and_shards(spark):

@@ -62,7 +62,34 @@ def test_confusion_and_chance(spark):
     classes = spark.createDataFrame([("a-one", "a", "X"), ("a-two", "a", "X"), ("b-one", "b", "X")], "class string, genus string, family string")
     r = ev.by_chance(classes).first()
     assert abs(r["genus"] - 1 / 3) < 1e-12 and abs(r["family"] - 2 / 3) < 1e-12
-    assert ev.by_chance(classes.limit(1)).first()["genus"] == 0
+    assert r["beyond"] == 0 and r["alone"] == 1
+    assert tuple(ev.by_chance(classes.limit(1)).first()) == (1, 0.0, 0.0, 0.0, 0)
+    apart = spark.createDataFrame([("a-one", "a", "X"), ("b-one", "b", "Y"), ("c-x-one", "c", "Z")], "class string, genus string, family string")
+    assert ev.by_chance(apart).first()["beyond"] == 1
+
+
+def test_taxa_of_classes(spark):
+    plants = spark.createDataFrame([("ab-one", "Zed one", " Fam "), ("cd-x-two", "", None)], "internal_id string, scientific_name string, family string")
+    classes = spark.createDataFrame([("ab-one",), ("cd-x-two",), ("ef-three",)], "class_id string")
+    got = {r["class_id"]: (r["genus"], r["family"]) for r in ev.taxa(classes, plants).collect()}
+    assert got == {"ab-one": ("zed", "fam"), "cd-x-two": ("cd", "?cd-x-two"), "ef-three": ("ef", "?ef-three")}
+
+
+def test_genus_measure_without_answers(spark):
+    df = images(spark, [(0, [0.3, 0.3, 0.2, 0.2]), (2, [0.1, 0.1, 0.7, 0.1]), (3, [0.1, 0.1, 0.4, 0.4])])
+    r = ev.genus_measure(df, [0, 0, 1, 1], 0.6).first()
+    assert (r["images"], round(r["species_rate"], 3), r["species_precision"], round(r["genus_rate"], 3), r["genus_precision"], r["autonomy"]) == (3, 0.333, 1.0, 0.667, 1.0, 1.0)
+    none = ev.genus_measure(df, [0, 1, 2, 3], 0.9).first()
+    assert none["autonomy"] == 0 and none["precision"] is None and none["genus_precision"] is None
+
+
+def test_compare_two_models(spark):
+    rows = [(m, i, t, c, p) for m, p in (("A", [0.6, 0.3, 0.1]), ("B", [0.2, 0.5, 0.3])) for i, (t, c) in enumerate([(0, True), (1, False), (2, False)])]
+    df = spark.createDataFrame(rows, "model string, image_id long, truth int, captive boolean, p array<double>")
+    got = {(r["ground"], r["model"], r["reading"], r["threshold"]): (r["images"], r["top1"], r["accepted"]) for r in ev.compare(df, {"A": [0, 1], "B": [0, 1, 2]}, [0.5, 0.7]).collect()}
+    assert got["common", "A", "masked", 0.7] == (2, 1, 0) and got["common", "A", "renormalised", 0.5] == (2, 1, 2) and got["common", "B", "renormalised", 0.7] == (2, 1, 2)
+    assert got["captive", "A", "full", 0.7] == (1, 1, 0) and got["gained", "B", "full", 0.7] == (1, 0, 0) and ("gained", "A", "full", 0.7) not in got
+    assert len(got) == 2 * 2 * 4 + 1
 
 
 def test_theft(spark):
@@ -123,6 +150,7 @@ def test_vectors_against_numpy(spark, vectors):
         s = sums.copy()
         s[lab[r["id"]]] -= v[r["id"]]
         assert r["guess"] == int(np.argmax(s @ v[r["id"]] / np.linalg.norm(s, axis=1)))
+    assert vec.p_value(vec.permutation_control(u, 0)).first()["p"] is None
     draws = {r["draw"]: r["intra"] for r in vec.permutation_control(u, 5).collect()}
     assert len(draws) == 6 and np.isclose(draws[0], got["intra"])
 
