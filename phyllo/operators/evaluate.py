@@ -252,7 +252,7 @@ def cost_table(df: DataFrame, sets: dict[int, list[int]], core: list[int], thres
     parts = []
     for n, kept in sorted(sets.items()):
         part = F.when(F.col("truth").isin(*core), "core").when(F.col("truth").isin(*kept), "added")
-        parts.append(F.struct(F.lit(n).alias("exposed"), part.alias("part"), masked("p", kept, True).alias("p")))
+        parts.append(F.named_struct(F.lit("exposed"), F.lit(n), F.lit("part"), part, F.lit("p"), masked("p", kept, True)))
     photos = F.explode(F.array_compact(F.array(F.lit("all"), F.when(F.col("captive"), F.lit("captive"))))).alias("photos")
     rows = df.select("truth", photos, F.explode(F.array(*parts)).alias("x")).select("truth", "photos", "x.*").where("part IS NOT NULL")
     return tallies(rows, ["photos", "exposed", "part"], threshold)

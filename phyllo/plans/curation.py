@@ -141,7 +141,21 @@ def spl05_split_counts(spark: SparkSession, d: str) -> DataFrame:
     return splits.make_splits(table(spark, d, "records"), repaired=False).groupBy("species", "split", "captive").agg(F.count("*").alias("n"))
 
 
-@query()
+def _moves(side: str, have: str, least: int, train: str) -> str:
+    """CTEs that give the groups of ``train`` to move to a side: the smallest that suffices, or the smallest together, whichever moves fewer rows."""
+    return f"""{side}_tr AS (SELECT t.species, group_id, n, {least} - {have} AS missing, row_number() OVER w AS k, sum(n) OVER w AS c, count(*) OVER (PARTITION BY t.species) AS g, sum(n) OVER (PARTITION BY t.species) AS total
+    FROM {train} t JOIN side USING (species) WHERE {have} < {least} WINDOW w AS (PARTITION BY t.species ORDER BY n, group_id ROWS UNBOUNDED PRECEDING)),
+  {side}_plan AS (SELECT species, min(k) AS low, min(k) AS high, min(n) AS weight, 1 AS len, any_value(g) AS g, any_value(total) AS total FROM {side}_tr WHERE n >= missing GROUP BY species
+    UNION ALL SELECT species, 1, min(k), min(c), min(k), any_value(g), any_value(total) FROM {side}_tr WHERE c >= missing GROUP BY species),
+  {side}_best AS (SELECT *, row_number() OVER (PARTITION BY species ORDER BY weight, len) AS place FROM {side}_plan WHERE len < g AND total - weight >= 25),
+  {side}_moved AS (SELECT t.species, t.group_id, '{side}' AS split FROM {side}_tr t JOIN {side}_best b ON b.species = t.species AND b.place = 1 AND t.k BETWEEN b.low AND b.high)"""
+
+
+@query(f"""WITH s AS (SELECT species, group_id, split, count(*) AS n FROM splits GROUP BY ALL),
+  side AS (SELECT species, coalesce(sum(n) FILTER (split = 'val'), 0) AS v, coalesce(sum(n) FILTER (split = 'test'), 0) AS t FROM s GROUP BY species),
+  train AS (SELECT species, group_id, n FROM s WHERE split = 'train'), {_moves('val', 'v', 3, 'train')},
+  rest AS (SELECT * FROM train ANTI JOIN val_moved USING (species, group_id)), {_moves('test', 't', 1, 'rest')}
+  SELECT * FROM val_moved UNION ALL SELECT * FROM test_moved""")
 def spl04_repair(spark: SparkSession, d: str) -> DataFrame:
     sizes = table(spark, d, "splits").groupBy("species", "group_id", "split").agg(F.count("*").alias("n"))
     return splits.repair(sizes)

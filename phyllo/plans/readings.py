@@ -200,7 +200,7 @@ def top10_and_more(spark: SparkSession, d: str) -> DataFrame:
     return catalog.shortened(table(spark, d, "splits").select("species").where("species IS NOT NULL").distinct(), "species", 12)
 
 
-@query("""SELECT internal_id FROM plants WHERE lower(trim(scientific_name)) IN (SELECT lower(trim(matched_as)) FROM name_answers WHERE matched_as IS NOT NULL UNION SELECT 'hicella sananus' UNION SELECT 'ZOSURAXIS plicum') ORDER BY internal_id LIMIT 60""")
+@query("""SELECT internal_id FROM plants WHERE lower(trim(scientific_name)) IN (SELECT lower(trim(matched_as)) FROM name_answers WHERE matched_as IS NOT NULL UNION SELECT 'hicella sananus') ORDER BY internal_id LIMIT 60""")
 def prd10_selected_plants(spark: SparkSession, d: str) -> DataFrame:
     listed = table(spark, d, "name_answers").select(F.col("matched_as").alias("value")).where("value IS NOT NULL")
     return catalog.selected(table(spark, d, "plants"), "internal_id", ["hicella sananus"], listed, 60).select("internal_id")

@@ -80,6 +80,12 @@ def write_retry_lists(failures: DataFrame, target: str) -> None:
     failures.select("log_id", "name").write.mode("overwrite").partitionBy("log_id").text(target)
 
 
+def write_counts(counts: DataFrame, target: str, name: str, n: str = "n") -> None:
+    """From the most to the fewest, equal ones by name; lists of a name's members are joined by |."""
+    lists = [f.name for f in counts.schema if f.dataType.typeName() == "array"]
+    replace(counts.withColumns({c: F.array_join(c, "|") for c in lists}).orderBy(F.desc(n), name), target, "csv", header=True)
+
+
 def write_stats(stats: DataFrame, target: str) -> None:
     replace(stats, target, "json")
 
@@ -92,7 +98,7 @@ def sample_records(sample: DataFrame, records: DataFrame) -> DataFrame:
 
 def with_headings(rows: DataFrame) -> DataFrame:
     """rows with ``heading`` at the first of each species in the order of the credit list; species are independent."""
-    n = F.row_number().over(Window.partitionBy("species").orderBy("author", "source_id"))
+    n = F.row_number().over(Window.partitionBy("species").orderBy("author", "source_id", *(["seq"] if "seq" in rows.columns else [])))
     return rows.withColumn("heading", n == 1)
 
 
