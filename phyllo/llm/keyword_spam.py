@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,8 +51,8 @@ DIGIT = re.compile(r"\d")
 SMALL = "a-zß-öø-ÿα-ωа-я"
 UNIT = re.compile(rf"\n+|(?<=[.!?…])\s+(?![{SMALL}])|\s[·•|»]+\s|\s>>\s|(?<=;)\s+")
 END = re.compile(r"[.!?…;。！？]\W*$")
-#: The parts of a sentence-like unit in the JVM: what may not count as words, where units end, words. Elided words are split.
-JVM_NOISE, JVM_UNIT, JVM_WORD = r"https?://\S+|www\.\S+|<[^<>]{1,300}>|#\w+", r"\n+|(?<=[.!?…])\s+(?!\p{Ll})|;\s", r"[\p{L}\p{M}]+"
+#: In the JVM: markup, where a sentence ends, its end marks, and what lies between words. Elided words are split.
+JVM_TAG, JVM_END, MARKS, JVM_REST = r"<[^<>]{1,300}>", r"(?<=[.!?…])|[\n;]", [".", "!", "?", "…"], r"[^\p{L}\p{M}]+"
 
 
 def _language(c: Column) -> Column:
@@ -68,17 +69,22 @@ def function_words(documents: DataFrame) -> DataFrame:
     """(lang, word, share): the words that stand in at least COMMON of the sentences of a language with LEAST documents.
 
     share is the mean over the documents of the share of their sentences that hold the word. A sentence is a unit of
-    SHAPED to LONG words with an end mark.
+    SHAPED to LONG words with an end mark. The texts are read once: the row of the word '' counts the documents.
     """
-    text = F.regexp_replace("text", JVM_NOISE, " ")
-    units = F.filter(F.split(text, JVM_UNIT), lambda u: u.rlike(r"[.!?…]\W*$"))
-    words = F.transform(units, lambda u: F.regexp_extract_all(F.lower(u), F.lit(JVM_WORD), F.lit(0)))
-    words = F.transform(F.filter(words, lambda w: F.size(w).between(SHAPED, LONG)), lambda w: F.array_distinct(w))
-    rows = documents.select(_declared(documents).alias("lang"), words.alias("units")).where("lang <> '' AND size(units) > 0")
-    each = rows.select("lang", (F.lit(1.0) / F.size("units")).alias("weight"), F.explode(F.flatten("units")).alias("word"))
-    total = rows.groupBy("lang").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST)
-    mean = each.groupBy("lang", "word").agg(F.sum("weight").alias("w"))
-    return mean.join(F.broadcast(total), "lang").where(F.col("w") >= COMMON * F.col("n")).select("lang", "word", (F.col("w") / F.col("n")).alias("share"))
+    low = F.lower("text")
+    text = F.when(F.contains(low, F.lit("<")), F.regexp_replace(low, JVM_TAG, " ")).otherwise(low)
+    ends = F.filter(F.split(text, JVM_END), lambda u: F.right(u, F.lit(1)).isin(*MARKS))
+    words = F.transform(ends, lambda u: F.split(u, JVM_REST))
+    units = F.transform(F.filter(words, lambda w: F.size(w).between(SHAPED + 1, LONG + 1)), lambda w: F.array_distinct(w))
+    item = lambda word, weight: F.struct(word.alias("word"), weight.alias("weight"))
+    weighed = lambda u: F.concat(F.array(item(F.lit(""), F.lit(1.0))), F.transform(F.filter(F.flatten(u), lambda w: w != ""), lambda w: item(w, 1.0 / F.size(u))))
+    # within one expression, or the optimizer would cut each text once for every use of its units
+    items = F.flatten(F.transform(F.filter(F.array(units), lambda u: F.size(u) > 0), weighed))
+    each = documents.select(_declared(documents).alias("lang"), "text").where("lang <> ''").select("lang", F.explode(items).alias("x"))
+    mean = each.groupBy("lang", F.col("x.word").alias("word")).agg(F.sum("x.weight").alias("w"))
+    total = mean.where("word = ''").select("lang", F.col("w").alias("n")).where(F.col("n") >= LEAST)
+    shares = mean.where("word <> ''").join(F.broadcast(total), "lang")  # a row a language
+    return shares.where(F.col("w") >= COMMON * F.col("n")).select("lang", "word", (F.col("w") / F.col("n")).alias("share"))
 
 
 class Learned:
@@ -86,46 +92,37 @@ class Learned:
 
     def __init__(self, languages: dict[str, dict[str, bool]]) -> None:
         self.languages = languages
-        self.spoken: dict[str, dict[str, int]] = {}  # word -> {language: 1, or 2 for a core word}
-        for lang, own in languages.items():
+        self.order = sorted(languages)
+
+    def marks(self, ids: dict[str, int]) -> np.ndarray:
+        """A row a word, a column a language: 0, 1 for a function word, 2 for a core one."""
+        out = np.zeros((len(ids), max(1, len(self.order))), np.int8)
+        elided = [(i, re.split("['’]", w)) for w, i in ids.items() if "'" in w or "’" in w]  # their parts were learned apart
+        for k, lang in enumerate(self.order):
+            own = self.languages[lang]
             for word, core in own.items():
-                self.spoken.setdefault(word, {})[lang] = 1 + core
-
-    def marks(self, words: list[str], lang: str) -> list[int]:
-        """Of each of some neighbouring words: 0, 1 for a function word, 2 for a core one of the language that knows most of them."""
-        found = [self.spoken.get(w) or (None if w.isalpha() else self._elided(w)) for w in words]
-        heard: dict[str, set[str]] = {}
-        for w, langs in zip(words, found):
-            for k in langs or ():
-                heard.setdefault(k, set()).add(w)
-        if not heard:
-            return [0] * len(words)
-        best = max(heard, key=lambda k: (len(heard[k]), k == lang, k))
-        return [langs.get(best, 0) if langs else 0 for langs in found]
-
-    def _elided(self, w: str) -> dict[str, int] | None:
-        """Of a word with an apostrophe, whose parts were learned apart."""
-        out: dict[str, int] = {}
-        for part in re.split("['’]", w):
-            for k, n in self.spoken.get(part, {}).items():
-                out[k] = max(n, out.get(k, 0))
-        return out or None
+                if (i := ids.get(word)) is not None:
+                    out[i, k] = 1 + core
+            for i, parts in elided:
+                out[i, k] = max((1 + own[p] for p in parts if p in own), default=0)
+        return out
 
 
 def _size(s: str) -> int:
     """Characters that are no white space."""
-    return sum(map(len, s.split()))
+    return len("".join(s.split()))
 
 
 class Batch:
     """The plain words of many texts one after another, with their units, measured whole columns at a time."""
 
     def __init__(self, learned: Learned) -> None:
-        self.learned, self.ids = learned, {}
-        self.word: list[int] = []  # of each word: its id,
-        self.mark: list[int] = []  # 0, 1 for a function word, 2 for a core one
+        self.learned = learned
+        self.ids: dict[str, int] = defaultdict()
+        self.ids.default_factory = self.ids.__len__
+        self.word: list[int] = []  # of each word its id
         self.per_unit: list[tuple[int, int, bool, int]] = []  # of each plain unit: words, size, may be a list, text
-        self.per_text: list[tuple[int, int, int]] = []  # of each text: its size, what is stuffing by itself, links and tags
+        self.per_text: list[tuple[int, int, int, str]] = []  # of each text: its size, what is stuffing by itself, links and tags, language
 
     def add(self, text: str, lang: str = "") -> None:
         s = html.unescape(text) if "&" in text else text
@@ -136,12 +133,14 @@ class Batch:
             linked += _size(m.group())
             return " "
 
-        s = TAG.sub("\n", LINK.sub(weigh, s))
+        s = LINK.sub(weigh, s)
+        if "<" in s:
+            s = TAG.sub("\n", s)
         if "#" in s:
             linked += sum(map(len, HASH.findall(s)))
             s = HASH.sub(" ", s)
         total = stuffed = linked
-        plain: list[tuple[str, list[str]]] = []
+        at, known = len(self.per_text), self.ids.__getitem__
         for u in UNIT.split(s):
             size = _size(u) if u else 0
             if not size:
@@ -153,15 +152,23 @@ class Batch:
                     continue
                 if RECORD.search(u):
                     continue
-            plain.append((u, [w.casefold() for w in WORD.findall(u)]))
-        at, ids = len(self.per_text), self.ids
-        for u, ws in plain:
+            ws = WORD.findall(u.casefold())
             shaped = SHAPED <= len(ws) <= LONG and 3 * u.count(",") <= len(ws) and END.search(u) is not None
-            self.per_unit.append((len(ws), _size(u), not shaped, at))
-            self.word += [ids.setdefault(w, len(ids)) for w in ws]
-            for start in range(0, len(ws), SPAN):
-                self.mark += self.learned.marks(ws[start : start + SPAN], lang)
-        self.per_text.append((total, stuffed, linked))
+            self.per_unit.append((len(ws), size, not shaped, at))
+            self.word += map(known, ws)
+        self.per_text.append((total, stuffed, linked, lang))
+
+    def _marks(self, word: np.ndarray, words: np.ndarray, unit: np.ndarray, of: np.ndarray) -> np.ndarray:
+        """Of each word: 0, 1 for a function word, 2 for a core one, by the language that knows most of the SPAN words it is in."""
+        every = self.learned.marks(self.ids)
+        inner = np.arange(len(word)) - np.r_[0, np.cumsum(words)[:-1]][unit]
+        starts = np.flatnonzero(inner % SPAN == 0)
+        known = np.add.reduceat(every[word] > 0, starts, axis=0, dtype=np.float64)
+        place = {lang: k for k, lang in enumerate(self.learned.order)}
+        declared = np.array([place.get(t[3], -1) for t in self.per_text])[of[starts]]
+        rows = np.flatnonzero(declared >= 0)
+        known[rows, declared[rows]] += 0.5  # of equal ones the declared language
+        return every[word, np.repeat(known.argmax(1), np.diff(np.r_[starts, len(word)]))]
 
     def measures(self) -> np.ndarray:
         """A row a text: (share of stuffing, share of links and tags, recurrence, autocorrelation)."""
@@ -173,7 +180,8 @@ class Batch:
             words, unit_size, may, text = (np.array([u[k] for u in self.per_unit]) for k in range(4))
             unit = np.repeat(np.arange(len(words)), words)
             of = text[unit]
-            word, mark = np.array(self.word), np.array(self.mark, np.int8)
+            word = np.array(self.word)
+            mark = self._marks(word, words, unit, of)
             edges = np.searchsorted(of, np.arange(texts + 1))
             first, last = edges[of], edges[of + 1]
             key = of * (len(self.ids) + 1) + word
@@ -181,8 +189,7 @@ class Batch:
             repeated, near, auto = self._repeated(key, before, mark, first, last)
             listed = self._bare(mark, before, first, last)
             hits = lambda x: np.bincount(unit, x, len(words))
-            known = words > 0
-            bad = known & ((2 * hits(repeated) > words) | (may.astype(bool) & (2 * hits(listed) > words)))
+            bad = (words > 0) & ((2 * hits(repeated) > words) | (may.astype(bool) & (2 * hits(listed) > words)))
             # a unit or two of a text that reads as prose otherwise is a heading or a caption, no list
             enough = np.bincount(text, np.where(bad, words, 0), texts) >= 8
             alone = alone + np.bincount(text, np.where(bad, unit_size, 0), texts) * enough

@@ -278,30 +278,36 @@ class Matcher:
             return None
         for w in ws:
             bounds.append(bounds[-1] + len(w))
-        candidates = set()
         wrong = 2 * self.most  # a wrong letter takes one letter away and brings another at most
-        starts = {b: i for i, b in enumerate(bounds[:-1])}
-        ends = set(bounds)
+        starts, ends = set(bounds[:-1]), set(bounds)
+        held: dict[tuple[int, int], int] = {}  # the letters of the runs looked at
+        runs: set[tuple[tuple[str, ...], int, int]] = set()
         for end, (size, owners) in self.pieces.iter(flat):
             for at, names in owners.items():
                 # the name would start here: at a word, give or take the wrong letters before the piece, and end at one
                 near = end - size + 1 - at
-                here = [b for b in range(near - self.most, near + self.most + 1) if b in starts]
-                if here:
-                    candidates.update((full, b, n) for n, _, full in names for b in here if any(b + n + x in ends for x in range(-self.most, self.most + 1)))
+                for b in range(max(0, near - self.most), near + self.most + 1):
+                    if b not in starts:
+                        continue
+                    for n, own, full in names:
+                        for e in range(b + n - self.most, b + n + self.most + 1):
+                            if e not in ends:
+                                continue
+                            has = held.get((b, e))
+                            if has is None:
+                                has = held[b, e] = letters(flat[b:e])
+                            if (own ^ has).bit_count() <= wrong:
+                                runs.add((full, b, e))
         best, ids = (0, 0), set()
-        for full, start, n in candidates:
+        for full, b, e in runs:
             if len(full) < best[0]:
                 continue
-            target, own = "".join(full), letters("".join(full))
-            for x in range(-self.most, self.most + 1):
-                if start + n + x in ends and (letters(flat[start : start + n + x]) ^ own).bit_count() <= wrong:
-                    d = distance(flat[start : start + n + x], target, self.most)
-                    key = (len(full), self.most - d)
-                    if d <= self.most and key > best:
-                        best, ids = key, set()
-                    if d <= self.most and key == best:
-                        ids |= self.whole[full][1]
+            d = distance(flat[b:e], "".join(full), self.most)
+            key = (len(full), self.most - d)
+            if d <= self.most and key > best:
+                best, ids = key, set()
+            if d <= self.most and key == best:
+                ids |= self.whole[full][1]
         return self._result(1, best[0] << 40 | best[1] << 8, ids) if ids else None
 
 
