@@ -30,25 +30,33 @@ def match_to_catalog(asked: DataFrame, plants: DataFrame, key: str, name: str) -
     return rows.join(maybe_broadcast(own), "name", "left").join(maybe_broadcast(syn), "name", "left").select(key, F.coalesce("by_name", "by_synonym").alias("internal_id"))
 
 
-def alias_map(plants: DataFrame) -> DataFrame:
-    """(alias, internal_id): the own id, then synonyms (separated by | ; or ,), then the scientific name; the first wins."""
+def alias_pairs(plants: DataFrame) -> DataFrame:
+    """(alias, internal_id, p): every id a plant goes by: its own, its synonyms' (separated by | ; or ,), its name's."""
     parts = F.concat(
         F.array(F.struct(F.lit(0).alias("p"), F.col("internal_id").alias("alias"))),
         F.transform(F.split(F.coalesce("synonyms", F.lit("")), "[|;,]"), lambda s: F.struct(F.lit(1).alias("p"), internal_id(s).alias("alias"))),
         F.array(F.struct(F.lit(2).alias("p"), internal_id("scientific_name").alias("alias"))),
     )
-    rows = plants.select("internal_id", F.inline(parts)).where("alias <> ''")
-    return rows.groupBy("alias").agg(F.min(F.struct("internal_id", "p")).alias("x")).select("alias", F.col("x.internal_id").alias("internal_id"))
+    return plants.select("internal_id", F.inline(parts)).where("alias <> ''").select("alias", "internal_id", "p")
+
+
+def alias_map(plants: DataFrame) -> DataFrame:
+    """(alias, internal_id): of the plants that go by an alias the first by id."""
+    return alias_pairs(plants).groupBy("alias").agg(F.min(F.struct("internal_id", "p")).alias("x")).select("alias", F.col("x.internal_id").alias("internal_id"))
 
 
 def resolve_labels(names: DataFrame, labels: DataFrame, aliases: DataFrame) -> DataFrame:
-    """(name, id, label, how): each name directly, through an alias, or as the hybrid of its genus; null label if none."""
+    """(name, id, label, how): each name directly, through an alias, or as the hybrid of its genus; null label if none.
+
+    aliases (alias, internal_id): an alias may belong to several plants, of which the first by id that is a label counts.
+    """
     asked = names.select("name", internal_id("name").alias("id"))
     parts = F.split("id", "-")
     crossed = F.when(F.size(parts) == 2, F.concat(parts[0], F.lit("-x-"), parts[1]))
     own = labels.select(F.col("class_id").alias("label"))
     direct = asked.join(own.withColumnRenamed("label", "l0"), F.col("id") == F.col("l0"), "left")
-    via = direct.join(aliases.select(F.col("alias"), F.col("internal_id").alias("a")), F.col("id") == F.col("alias"), "left").join(own.withColumnRenamed("label", "l1"), F.col("a") == F.col("l1"), "left")
+    named = aliases.join(own.withColumnRenamed("label", "internal_id"), "internal_id").groupBy("alias").agg(F.min("internal_id").alias("l1"))
+    via = direct.join(named, F.col("id") == F.col("alias"), "left")
     hybrid = via.withColumn("c", crossed).join(own.withColumnRenamed("label", "l2"), F.col("c") == F.col("l2"), "left")
     how = F.when(F.col("l0").isNotNull(), "direct").when(F.col("l1").isNotNull(), "synonym").when(F.col("l2").isNotNull(), "hybrid")
     return hybrid.select("name", "id", F.coalesce("l0", "l1", "l2").alias("label"), how.alias("how"))

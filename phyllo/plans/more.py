@@ -99,7 +99,7 @@ def prd12_verdict(spark: SparkSession, d: str) -> DataFrame:
 def jn10_resolve_labels(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "plants")
     labels = table(spark, d, "splits").select(F.col("internal_plant_id").alias("class_id")).where("class_id <> ''").distinct()
-    out = catalog.resolve_labels(p.select(F.col("scientific_name").alias("name")), labels, catalog.alias_map(p))
+    out = catalog.resolve_labels(p.select(F.col("scientific_name").alias("name")), labels, catalog.alias_pairs(p))
     return out.select(F.col("id").alias("asked"), "label", "how")
 
 
@@ -132,7 +132,7 @@ def jn14_foreign_counts(spark: SparkSession, d: str) -> DataFrame:
 def agg23_coverage(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "plants")
     asked = table(spark, d, "records").where("species IS NOT NULL").select(F.col("species").alias("name"))
-    return services.coverage(catalog.resolve_labels(asked, p.select(F.col("internal_id").alias("class_id")), catalog.alias_map(p)))
+    return services.coverage(catalog.resolve_labels(asked, p.select(F.col("internal_id").alias("class_id")), catalog.alias_pairs(p)))
 
 
 @query(f"WITH c AS ({evaluation._THEFT}) SELECT count(*) FILTER (cost <= 0) AS none, count(*) FILTER (cost <= 2) AS two, count(*) FILTER (cost <= 5) AS five, count(*) FILTER (cost <= 20) AS twenty, count(*) FILTER (cost > 20) AS more FROM c")
