@@ -64,17 +64,30 @@ def tokens(text: str) -> list[str]:
     return WORD.findall(fold(s))
 
 
+class Template(dict):
+    """word -> word or placeholder, filled as words come; ``names`` stand for names."""
+
+    def __init__(self, names: frozenset[str] = frozenset(), most: int = 1_000_000) -> None:
+        self.names, self.most = names, most
+
+    def __missing__(self, w: str) -> str:
+        if len(self) >= self.most:
+            self.clear()
+        self[w] = out = "#" if w[0].isdigit() else "@" if w in self.names else w
+        return out
+
+    def of(self, words: list[str]) -> list[str]:
+        """Typed placeholders for numbers, units after a number and known names."""
+        out = list(map(self.__getitem__, words))
+        if "#" in out:
+            for i in range(len(out) - 1):
+                if out[i] == "#" and words[i + 1] in UNITS:
+                    out[i + 1] = "%"
+        return out
+
+
 def template(words: list[str], names: frozenset[str] = frozenset()) -> list[str]:
-    """Typed placeholders for numbers, units after a number and known names."""
-    out, number = [], False
-    for w in words:
-        if w[0].isdigit():
-            out.append("#")
-            number = True
-        else:
-            out.append("%" if number and w in UNITS else "@" if w in names else w)
-            number = False
-    return out
+    return Template(names).of(words)
 
 
 def align(a: list[str], b: list[str]) -> tuple[float, int, int, int, int, list[tuple[int, int]]]:
@@ -116,12 +129,12 @@ class Items:
     """The window table of one block of items: (item_id, text)."""
 
     def __init__(self, items: list[tuple[int, str]], names: frozenset[str]) -> None:
-        self.names, self.words, self.slots, self.windows = names, {}, {}, {}
+        self.template, self.words, self.slots, self.windows = Template(names).of, {}, {}, {}
         for item, text in items:
             words = tokens(text or "")
             if len(words) < SPAN:
                 continue
-            self.slots[item], self.words[item] = words, template(words, names)
+            self.slots[item], self.words[item] = words, self.template(words)
             t = self.words[item]
             for i in range(len(t) - WINDOW + 1):
                 self.windows.setdefault(tuple(t[i : i + WINDOW]), []).append((item, i))
@@ -129,11 +142,14 @@ class Items:
     def leaks(self, text: str) -> list[tuple[int, int, int, int]]:
         """(item, shared words, words of the item covered, position in the text) of each item that leaks."""
         raw = tokens(text)
-        t = template(raw, self.names)
+        t = self.template(raw)
         hits: dict[int, list[tuple[int, int]]] = {}
-        for j, key in enumerate(zip(*(t[k:] for k in range(WINDOW)))):
-            for item, i in self.windows.get(key, ()):
-                hits.setdefault(item, []).append((j, i))
+        own = list(zip(*(t[k:] for k in range(WINDOW))))
+        met = self.windows.keys() & own
+        for j, key in enumerate(own) if met else ():
+            if key in met:
+                for item, i in self.windows[key]:
+                    hits.setdefault(item, []).append((j, i))
         out = []
         for item, at in hits.items():
             if len({i for _, i in at}) < 3:  # 13 words of which two are wrong keep three windows or more
@@ -199,8 +215,9 @@ def _templates(rows: DataFrame, key: str, names: Broadcast) -> DataFrame:
     """(key, h, n): the different windows of each text, hashed, and how often each is in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made_of = Template(names.value).of
         for batch in batches:
-            words = [template(tokens(t), names.value) for t in batch.column(1).to_pylist()]
+            words = [made_of(tokens(t)) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.list_(pa.string()))], names=[key, "words"])
 
     made = rows.select(key, "text").mapInArrow(run, f"{key} long, words array<string>").where(F.size("words") >= WINDOW)
