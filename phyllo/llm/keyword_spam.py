@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from phyllo.session import ship
+from phyllo.session import materialize, release, ship
 
 NEAR, LAGS, SPAN, HALF = 6, 12, 12, 0.5
 DENSE, REGULAR = 0.7, 0.5
@@ -81,10 +81,12 @@ def function_words(documents: DataFrame) -> DataFrame:
     # within one expression, or the optimizer would cut each text once for every use of its units
     items = F.flatten(F.transform(F.filter(F.array(units), lambda u: F.size(u) > 0), weighed))
     each = documents.select(_declared(documents).alias("lang"), "text").where("lang <> ''").select("lang", F.explode(items).alias("x"))
-    mean = each.groupBy("lang", F.col("x.word").alias("word")).agg(F.sum("x.weight").alias("w"))
+    mean = materialize(each.groupBy("lang", F.col("x.word").alias("word")).agg(F.sum("x.weight").alias("w")), "shares")  # read twice
     total = mean.where("word = ''").select("lang", F.col("w").alias("n")).where(F.col("n") >= LEAST)
     shares = mean.where("word <> ''").join(F.broadcast(total), "lang")  # a row a language
-    return shares.where(F.col("w") >= COMMON * F.col("n")).select("lang", "word", (F.col("w") / F.col("n")).alias("share"))
+    out = shares.where(F.col("w") >= COMMON * F.col("n")).select("lang", "word", (F.col("w") / F.col("n")).alias("share"))
+    out._phyllo_path = mean._phyllo_path  # released with it
+    return out
 
 
 class Learned:
@@ -256,8 +258,10 @@ def stuffing(text: str, lang: str = "", learned: Learned | None = None) -> tuple
 def learn(documents: DataFrame) -> Learned:
     """The function words of a corpus; each language has some hundred at most."""
     languages: dict[str, dict[str, bool]] = {}
-    for r in function_words(documents).collect():
+    found = function_words(documents)
+    for r in found.collect():
         languages.setdefault(r["lang"], {})[r["word"]] = r["share"] >= CORE
+    release(found)
     return Learned(languages)
 
 
