@@ -315,7 +315,14 @@ def scl16_band_values(spark: SparkSession, d: str) -> DataFrame:
 
 # --- catalogue ---------------------------------------------------------------------------------------------------------
 
-_ALIAS = "SELECT internal_id, lower(trim(regexp_replace(regexp_replace(trim(s), '[\\s\\x{A0}]+', ' ', 'g'), '^(\\S+ (?:× )?\\S+).*$', '\\1'))) AS name FROM (SELECT internal_id, unnest(string_split(synonyms, '|')) AS s FROM plants WHERE synonyms <> '')"
+#: Of a synonym genus, hybrid sign and epithet, as an id; what follows them is its authority.
+_SYNONYM = "regexp_extract(lower(trim(regexp_replace(replace(replace(strip_accents(s), '×', ' x '), '_', ' '), '[\\s\\x{A0}]+', ' ', 'g'))), '^([a-z-]+ (?:x )?[a-z-]+)', 1)"
+_ALIAS = f"SELECT alias, internal_id FROM (SELECT internal_id, replace({_SYNONYM}, ' ', '-') AS alias FROM (SELECT internal_id, unnest(string_split(synonyms, '|')) AS s FROM plants WHERE synonyms <> '')) WHERE alias <> ''"
+
+
+@query(f"SELECT alias, min(internal_id) AS internal_id FROM (SELECT internal_id AS alias, internal_id FROM plants UNION ALL {_ALIAS}) GROUP BY alias")
+def jn09_alias_map(spark: SparkSession, d: str) -> DataFrame:
+    return catalog.alias_map(table(spark, d, "plants"))
 
 
 @query()

@@ -5,6 +5,7 @@ What is written is deleted when the driver ends.
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ from phyllo.operators import vectors as vec
 from phyllo.plans import curation
 from phyllo.plans.evaluation import _P, _read, probs
 from phyllo.session import keep_until_exit, shared_dir, table
-from phyllo.sources import commons, files, sinks
+from phyllo.sources import commons, files, paged, sinks
 from phyllo.sources.schemas import RECORD_TEXTS
 from phyllo.streaming import streams
 
@@ -214,6 +215,38 @@ def str05_windowed_counts(spark: SparkSession, d: str) -> DataFrame:
     return last.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n")
 
 
+def recorded(asked: str, page: int) -> tuple[int, str | None, bool]:
+    """A service as a test sees it: three pages a name, but one that is busy at first, one that stays so, one that is unknown."""
+    if asked == "busy":
+        return 429, None, False
+    if asked == "unknown":
+        return 404, "no such name", True
+    if asked == "slow" and page not in _seen:
+        _seen.add(page)
+        return 503, None, False
+    return 200, f"{asked} {page}", page == 2
+
+
+_seen: set[int] = set()
+
+
+@query("""SELECT q AS query, CAST(p AS INTEGER) AS page, 200 AS http_status, q || ' ' || p AS body FROM (VALUES ('ficus'), ('slow')) t(q), (VALUES (0), (1), (2)) u(p)
+  UNION ALL SELECT 'busy', 0, 429, NULL UNION ALL SELECT 'unknown', 0, 404, NULL""")
+def str06_paged_service(spark: SparkSession, d: str) -> DataFrame:
+    """Pages of a service read in parallel, a name a partition: busy ones are asked again, and fail no other."""
+    paged.register(spark)
+    asked = json.dumps(["ficus", "busy", "slow", "unknown"])
+    return spark.read.format("paged").option("queries", asked).option("fetcher", f"{__name__}:recorded").option("attempts", "3").option("wait", "0").load()
+
+
+@query("""SELECT 'sha256' AS check, (SELECT sha256(text) = (SELECT max(sha256(text)) FROM documents WHERE doc_id = 5) FROM documents WHERE doc_id = 5 LIMIT 1) AS ok UNION ALL SELECT 'size', false UNION ALL SELECT 'classes', count(*) = 1200 FROM plants""")
+def snk14_release_checks(spark: SparkSession, d: str) -> DataFrame:
+    """A file, here a document's text, against a card that states its hash rightly and its size wrongly."""
+    own = table(spark, d, "documents").where("doc_id = 5 AND text IS NOT NULL").limit(1).select(F.lit("m").alias("name"), F.encode("text", "utf-8").alias("content"))
+    card = own.select("name", F.sha2("content", 256).alias("sha256"), (F.length("content") + 1).alias("size"), F.lit(1200).cast("long").alias("classes"))
+    return sinks.release_checks(own, table(spark, d, "plants").select(F.col("internal_id").alias("class_id")), card)
+
+
 @query("SELECT species, count(*) AS n FROM records WHERE status = 'kept' GROUP BY species")
 def snk05_stats(spark: SparkSession, d: str) -> DataFrame:
     path = _place(spark, "stats")

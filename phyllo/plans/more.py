@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from phyllo.functions import names
 from phyllo.operators import catalog, evaluate, features, ingest, services, splits
-from phyllo.plans import evaluation
+from phyllo.plans import curation, evaluation
 from phyllo.session import table
 
 QUERIES: dict = {}
@@ -95,7 +95,11 @@ def prd12_verdict(spark: SparkSession, d: str) -> DataFrame:
     return r.select("image_id", services.verdict(F.col("best"), F.col("second"), 0.10, 0.14, 0.01).alias("verdict"))
 
 
-@query()
+@query(f"""WITH l AS (SELECT DISTINCT internal_plant_id AS id FROM splits WHERE internal_plant_id <> ''),
+  a AS (SELECT alias, min(internal_id) AS via FROM (SELECT internal_id AS alias, internal_id FROM plants UNION ALL {curation._ALIAS}) WHERE internal_id IN (FROM l) GROUP BY alias),
+  x AS (SELECT internal_id, CASE WHEN internal_id IN (FROM l) THEN internal_id END AS direct, via, CASE WHEN len(string_split(internal_id, '-')) = 2 AND replace(internal_id, '-', '-x-') IN (FROM l) THEN replace(internal_id, '-', '-x-') END AS crossed
+    FROM plants LEFT JOIN a ON alias = internal_id)
+  SELECT internal_id AS asked, coalesce(direct, via, crossed) AS label, CASE WHEN direct IS NOT NULL THEN 'direct' WHEN via IS NOT NULL THEN 'synonym' WHEN crossed IS NOT NULL THEN 'hybrid' END AS how FROM x""")
 def jn10_resolve_labels(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "plants")
     labels = table(spark, d, "splits").select(F.col("internal_plant_id").alias("class_id")).where("class_id <> ''").distinct()

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from phyllo.session import keep_until_exit, shared_dir, table
+from phyllo.sources.files import is_folder
 from phyllo.streaming import streams
 
 
@@ -15,8 +16,9 @@ def _through(spark: SparkSession, d: str, make, mode: str = "append") -> DataFra
     base = f"{shared_dir(spark)}/phyllo/stream-{uuid.uuid4().hex}"
     keep_until_exit(spark, base)
     schema = table(spark, d, "events").schema
-    # a stream reads folders: the one file of the table is picked out of its folder
-    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    # a stream reads folders: a table that is one file is picked out of the folder it is in
+    reader = spark.readStream.schema(schema)
+    source = reader.parquet(f"{d}/events.parquet") if is_folder(spark, f"{d}/events.parquet") else reader.option("pathGlobFilter", "events.parquet").parquet(d)
     streams.run(make(source), f"{base}/out", f"{base}/checkpoint", mode)
     return spark.read.parquet(f"{base}/out")
 

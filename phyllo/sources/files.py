@@ -18,6 +18,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(p) and fs.getFileStatus(p).isDirectory()
+
+
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """JSON lines: unknown keys are dropped, missing ones get their default, an absent file is an empty table.
 
