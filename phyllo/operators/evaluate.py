@@ -63,9 +63,15 @@ def truncated(p: Column | str, k: int) -> Column:
 def group_mass(p: Column | str, groups: list[int]) -> Column:
     """Probability mass of each group, by group number; groups[i] is the group of class i."""
     p = F.col(p) if isinstance(p, str) else p
+    # classes in the order of their groups, and where each group lies in it: two literals, whatever the number of classes
+    order = sorted(range(len(groups)), key=lambda i: (groups[i], i))
     n = max(groups) + 1
-    members = [[i for i, g in enumerate(groups) if g == k] for k in range(n)]
-    return F.array(*[sum((p[i] for i in own[1:]), p[own[0]]) if own else F.lit(0.0) for own in members])
+    sizes = [groups.count(k) for k in range(n)]
+    starts = [sum(sizes[:k]) for k in range(n)]
+    ints = lambda xs: F.expr(f"array({', '.join(map(str, xs))})")
+    total = lambda own: F.aggregate(own, F.lit(0.0), lambda x, y: x + y)
+    sorted_p = F.transform(ints(order), lambda i: p[i])
+    return F.transform(F.array(sorted_p), lambda q: F.transform(F.arrays_zip(ints(starts).alias("at"), ints(sizes).alias("size")), lambda g: total(F.slice(q, g["at"] + 1, g["size"]))))[0]
 
 
 def accuracy(readings: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -319,7 +325,10 @@ def like_app(df: DataFrame, group: str, top_k: int, cut: float) -> DataFrame:
 
 
 def nested_sets(classes: DataFrame, sizes: list[int]) -> DataFrame:
-    """(size, class): growing sets of classes (class, tier, prio); the core (tier 0) is in all of them."""
+    """(size, class): growing sets of classes (class, tier, prio); the core (tier 0) is in all of them.
+
+    Classes are ranked in one task: they are the labels of a model.
+    """
     rank = F.row_number().over(Window.orderBy("tier", "prio", "class"))
     ranked_rows = classes.withColumn("rank", rank)
     core = ranked_rows.agg(F.count_if(F.col("tier") == 0).alias("n"), F.count("*").alias("m")).first()
@@ -335,9 +344,10 @@ def theft_costs(df: DataFrame, core: list[int], candidates: list[int]) -> DataFr
 
 
 def by_theft(costs: DataFrame, priority: dict[int, int]) -> DataFrame:
-    """Candidates with their rank: by cost, then by priority (unknown last), then by class."""
-    prio = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in priority.items() for x in kv]), F.col("candidate")), F.lit(len(priority)))
-    return costs.withColumn("rank", F.row_number().over(Window.orderBy("cost", prio, "candidate")))
+    """Candidates with their rank: by cost, then by priority (unknown last), then by class; candidates are classes, a list of one task."""
+    own = costs.sparkSession.createDataFrame(list(priority.items()), "candidate int, _prio int")
+    rows = costs.join(own, "candidate", "left").withColumn("_prio", F.coalesce("_prio", F.lit(len(priority))))
+    return rows.withColumn("rank", F.row_number().over(Window.orderBy("cost", "_prio", "candidate"))).drop("_prio")
 
 
 def off_topic(readings: DataFrame, folder: str) -> DataFrame:

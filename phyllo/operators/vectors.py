@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from phyllo.operators.splits import hash_range
+from phyllo.session import ship
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -47,28 +52,65 @@ def separability(rows: DataFrame) -> DataFrame:
     return one.select(((F.col("q") - F.col("diag")) / F.col("within")).alias("intra"), ((F.col("all") - F.col("q")) / across).alias("inter"))
 
 
-def leave_one_out(rows: DataFrame, most_labels: int = 20_000) -> DataFrame:
+def _nearest(ids: np.ndarray, own: np.ndarray, v: np.ndarray, labels: np.ndarray, n: np.ndarray, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each row the best cosine to a label's sum, without the row itself in its own, and that label; equal ones: the smallest.
+
+    Labels ascend; a label whose only row it is counts as minus infinity.
+    """
+    c = (v @ s.T) / np.maximum(np.sqrt((s * s).sum(1)), 1e-12)
+    at = np.searchsorted(labels, own)
+    here = np.flatnonzero((at < len(labels)) & (labels[np.minimum(at, len(labels) - 1)] == own))
+    rest = s[at[here]] - v[here]
+    c[here, at[here]] = np.where(n[at[here]] > 1, (rest * v[here]).sum(1) / np.maximum(np.sqrt((rest * rest).sum(1)), 1e-12), -np.inf)
+    best = c.argmax(1)
+    return c[np.arange(len(ids)), best], labels[best]
+
+
+def leave_one_out(rows: DataFrame, most_labels: int = 5_000, piece: int = 20_000) -> DataFrame:
     """(id, label, guess): the nearest prototype, the row itself left out of its own label's.
 
-    Rows whose label has no other row are not classifiable. Prototypes are collected into one broadcast row, so their number
-    is checked; more labels than ``most_labels`` raise ValueError.
+    Rows whose label has no other row are not classifiable. Up to ``most_labels`` sums are broadcast as a matrix and
+    multiplied with each Arrow batch; more labels are cut into blocks, rows into slices of about ``piece``, and each pair of a
+    block and a slice is a product of its own, of which the best are merged. Labels are integers.
     """
-    own = sums(rows)
-    if own.limit(most_labels + 1).count() > most_labels:
-        raise ValueError(f"more than {most_labels} labels")
-    table = own.agg(F.array_sort(F.collect_list(F.struct("label", "n", "s"))).alias("t"))
-    # one row beside every row: a hash join on a key that is always 0
-    with_table = rows.withColumn("_k", F.hash("id") * F.lit(0)).join(F.broadcast(table.withColumn("_k", F.lit(0))), "_k")
-
-    def score(p: Column) -> Column:
-        mine = p["label"] == F.col("label")
-        s = F.when(mine, F.zip_with(p["s"], F.col("v"), lambda x, y: x - y)).otherwise(p["s"])
-        return F.transform(F.array(s), lambda a: dot(a, F.col("v")) / F.greatest(F.sqrt(dot(a, a)), F.lit(1e-12)))[0]
-
-    usable = F.filter("t", lambda p: (p["label"] != F.col("label")) | (p["n"] > 1))
-    best = F.array_max(F.transform(usable, lambda p: F.struct(score(p).alias("c"), (-p["label"]).alias("l"))))
-    alone = F.exists("t", lambda p: (p["label"] == F.col("label")) & (p["n"] < 2))
-    return with_table.where(~alone & (F.size("t") > 1)).select("id", "label", (-best["l"]).alias("guess"))
+    own = sums(rows).select(F.col("label").cast("long").alias("label"), "n", "s")
+    kind = rows.schema["id"].dataType.simpleString()
+    found = sorted(own.limit(most_labels + 1).collect(), key=lambda r: r["label"])
+    if len(found) < 2:
+        return rows.limit(0).select("id", "label", F.col("label").alias("guess"))
+    base = rows.select("id", F.col("label").cast("long").alias("label"), "v").where("label IS NOT NULL")
+    ship(rows.sparkSession)
+    matrix = lambda column: np.stack([np.asarray(x, float) for x in column])
+    if len(found) <= most_labels:
+        shared = rows.sparkSession.sparkContext.broadcast((np.array([r["label"] for r in found]), np.array([r["n"] for r in found]), matrix([r["s"] for r in found])))
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            label, n, _ = shared.value
+            for b in batches:
+                b = b[b["label"].isin(label[n > 1])]
+                if len(b):
+                    _, guess = _nearest(b["id"].to_numpy(), b["label"].to_numpy(), matrix(b["v"]), *shared.value)
+                    yield pd.DataFrame({"id": b["id"], "label": b["label"], "guess": guess})
+
+        out = base.select("id", "label", "v").mapInPandas(run, f"id {kind}, label long, guess long")
+    else:
+        base = base.join(own.where("n > 1").select("label"), "label", "left_semi")
+        blocks, slices = -(-own.count() // most_labels), max(1, -(-base.count() // piece))
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+        left = base.withColumn("slice", F.pmod(F.xxhash64("id"), F.lit(slices)).cast("int")).withColumn("block", every(blocks))
+        right = own.withColumn("block", F.pmod(F.xxhash64("label"), F.lit(blocks)).cast("int")).withColumn("slice", every(slices))
+
+        def one(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+            if not len(a) or not len(b):
+                return pd.DataFrame({"id": a["id"][:0], "label": a["label"][:0], "c": np.empty(0), "guess": np.empty(0, np.int64)})
+            b = b.sort_values("label")
+            c, guess = _nearest(a["id"].to_numpy(), a["label"].to_numpy(), matrix(a["v"]), b["label"].to_numpy(), b["n"].to_numpy(), matrix(b["s"]))
+            return pd.DataFrame({"id": a["id"], "label": a["label"], "c": c, "guess": guess})
+
+        per = left.groupBy("block", "slice").cogroup(right.groupBy("block", "slice")).applyInPandas(one, f"id {kind}, label long, c double, guess long")
+        best = per.groupBy("id", "label").agg(F.max(F.struct("c", (-F.col("guess")).alias("g"))).alias("x"))
+        out = best.select("id", "label", (-F.col("x.g")).alias("guess"))
+    return out.select("id", *[F.col(c).cast(rows.schema["label"].dataType).alias(c) for c in ("label", "guess")])
 
 
 def _ranked(rows: DataFrame, key: Column) -> DataFrame:

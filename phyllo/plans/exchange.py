@@ -15,6 +15,7 @@ from phyllo.functions import scalars
 from phyllo.operators import evaluate as ev
 from phyllo.operators import features, ingest, logs
 from phyllo.operators import vectors as vec
+from phyllo.operators.hamming import hash_bits
 from phyllo.plans import curation
 from phyllo.plans.evaluation import _P, _read, probs
 from phyllo.session import keep_until_exit, shared_dir, table
@@ -215,6 +216,29 @@ def str05_windowed_counts(spark: SparkSession, d: str) -> DataFrame:
     return last.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n")
 
 
+@query("SELECT internal_id AS image_id, CAST(gbif_key AS VARCHAR) AS species_id, family AS license, genus AS organ FROM plants")
+def src19_metadata(spark: SparkSession, d: str) -> DataFrame:
+    """A description of images as one object of objects, here of the catalogue, which is fixed."""
+    path, p = _place(spark, "metadata"), table(spark, d, "plants")
+    item = F.struct(F.col("gbif_key").cast("string").alias("species_id"), F.col("family").alias("license"), F.col("genus").alias("organ"))
+    whole = p.groupBy().agg(F.map_from_entries(F.collect_list(F.struct(F.col("internal_id"), item))).alias("m"))
+    whole.select(F.to_json("m").alias("value")).write.text(path)
+    return files.read_metadata(spark, path)
+
+
+@query("""WITH g AS (SELECT vec_id AS id, i // 32 AS y, i % 32 AS x, CAST(embedding[(i * 7 + i // 32) % 64 + 1] AS DOUBLE) * (1 + i % 5) AS v FROM embeddings, (SELECT unnest(range(1024)) AS i)),
+  h AS (SELECT id, y, u, sum(v * cos(pi() * (2 * x + 1) * u / 64)) AS v FROM g, (SELECT unnest(range(8)) AS u) GROUP BY ALL),
+  f AS (SELECT id, w, u, sum(v * cos(pi() * (2 * y + 1) * w / 64)) AS v FROM h, (SELECT unnest(range(8)) AS w) GROUP BY ALL),
+  m AS (SELECT id, quantile_disc(v, 0.5) AS m FROM f WHERE w > 0 OR u > 0 GROUP BY id)
+  SELECT id, CAST(sum(CASE WHEN v > m THEN 1 ELSE 0 END) AS BIGINT) AS ones, string_agg(CASE WHEN v > m THEN '1' ELSE '0' END, '' ORDER BY w, u) AS bits FROM f JOIN m USING (id) GROUP BY id""")
+def scl17_picture_hash(spark: SparkSession, d: str) -> DataFrame:
+    """Perceptual hashes of 32 x 32 grey pictures that are made from the embeddings."""
+    grey = F.transform(F.sequence(F.lit(0), F.lit(1023)), lambda i: F.element_at("embedding", (i * 7 + F.floor(i / 32).cast("int")) % 64 + 1).cast("double") * (1 + i % 5))
+    h = hash_bits(features.picture_hash(grey))
+    rows = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), h.alias("h"))
+    return rows.select("id", F.bit_count("h").cast("long").alias("ones"), F.lpad(F.bin("h"), 64, "0").alias("bits"))
+
+
 def recorded(asked: str, page: int) -> tuple[int, str | None, bool]:
     """A service as a test sees it: three pages a name, but one that is busy at first, one that stays so, one that is unknown."""
     if asked == "busy":

@@ -160,3 +160,11 @@ def test_prototypes(spark):
     p = vec.prototypes(vec.units(df)).first()["v"]
     assert np.isclose(np.linalg.norm(p), 1) and np.isclose(p[0], p[1])
     assert vec.leave_one_out(vec.units(df)).count() == 0
+
+
+def test_leave_one_out_in_blocks(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, int(rng.integers(9)), [float(x) for x in rng.normal(size=5)]) for i in range(120)] + [(500, 77, [1.0, 0.0, 0.0, 0.0, 0.0])]
+    u = vec.units(spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>"))
+    whole = {tuple(r) for r in vec.leave_one_out(u).collect()}
+    assert len(whole) == 120 and whole == {tuple(r) for r in vec.leave_one_out(u, most_labels=2, piece=25).collect()}
