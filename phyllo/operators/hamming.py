@@ -10,7 +10,8 @@ With groups, only hashes of one group are paired: the group is part of the bucke
 rows share is cut like any other full bucket.
 
 A bucket of more than ``bucket`` hashes is not shuffled as one: it gets a scheme of its own, bands of the bits that vary in
-it, up to ``LEVELS`` times. So band values that a third of all hashes share make no giant bucket, and buckets stay small when
+it, up to ``LEVELS`` - 1 times. What is still full then (hashes that differ in very few bits) is cut into chunks, and each pair of
+chunks is a bucket. So band values that a third of all hashes share make no giant bucket, and buckets stay small when
 the input grows. Equal hashes are collapsed before. No step drops a pair.
 """
 
@@ -113,13 +114,20 @@ def self_pairs(hashes: DataFrame, c: str = "h", t: int = 6, bucket: int = 50_000
     rows = own.select("g", F.lit(0).alias("s"), h, F.posexplode(F.array(*[h.bitwiseAND(F.lit(_signed(m)).cast("long")) for m in masks])).alias("i", "v"))
     key, parts, last = ["g", "s", "i", "v"], [], 0
     for depth in range(1, LEVELS + 1):
-        full = [] if depth == LEVELS else rows.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") > bucket).collect()
+        full = rows.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") > bucket).collect()
         if not full:
             parts.append(rows)
             break
         big = F.broadcast(spark.createDataFrame([tuple(r)[:4] for r in full], "g long, s int, i int, v long"))  # one row for ``bucket`` hashes
         parts.append(rows.join(big, key, "left_anti"))
         crowded = rows.join(big, key, "left_semi")
+        if depth == LEVELS:
+            plans = [(*tuple(r)[:4], last + n, -(-r["n"] // bucket)) for n, r in enumerate(full, 1)]
+            plan = F.broadcast(spark.createDataFrame(plans, "g long, s int, i int, v long, own int, k int"))
+            k, chunk = F.col("k"), F.pmod(F.xxhash64("h"), F.col("k")).cast("int")
+            met = F.transform(F.sequence(F.lit(0), k - 1), lambda j: F.least(chunk, j) * k + F.greatest(chunk, j))
+            parts.append(crowded.join(plan, key).select("g", F.col("own").alias("s"), "h", F.explode(met).alias("i"), F.lit(0).cast("long").alias("v")))
+            break
         bits = crowded.groupBy(*key).agg(F.count("*").alias("n"), F.array(*[F.sum(F.shiftrightunsigned(h, k).bitwiseAND(F.lit(1).cast("long"))) for k in range(64)]).alias("bits"))
         plans = []
         for r in bits.collect():

@@ -62,6 +62,14 @@ def test_self_pairs(spark, t, bucket):
     assert {(r["a"], r["b"]) for r in got} == brute(values, t)
 
 
+def test_buckets_that_stay_full(spark):
+    rng = random.Random(9)
+    values = sorted({sum(1 << b for b in rng.sample(range(12), rng.randrange(4))) for _ in range(400)})
+    df = spark.createDataFrame([(v,) for v in values], "h long")
+    got = self_pairs(df, "h", 3, bucket=20).collect()
+    assert len(got) == len({(r["a"], r["b"]) for r in got}) and {(r["a"], r["b"]) for r in got} == brute(values, 3)
+
+
 def test_near_pairs_within(spark):
     rng = np.random.default_rng(0)
     rows = []
