@@ -3,10 +3,11 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from phyllo import session
 from phyllo.operators import dedup
-from phyllo.operators.components import components
+from phyllo.operators.components import components, mixed, unmixed
 from phyllo.operators.hamming import self_pairs
 
 
@@ -127,3 +128,16 @@ def test_scratch_is_deleted(spark):
         path = session.materialize(spark.range(3), "test")._phyllo_path.removeprefix("file://")
         assert Path(path).is_dir()
     assert not Path(path).exists()
+
+
+def test_mix_is_reversible(spark):
+    values = [0, 1, -1, 2**63 - 1, -(2**63), 1 << 32, -(1 << 32), *(random.Random(1).getrandbits(64) - 2**63 for _ in range(200))]
+    df = spark.createDataFrame([(v,) for v in values], "v long").select("v", mixed(F.col("v")).alias("m"))
+    rows = df.select("v", "m", unmixed(F.col("m")).alias("w")).collect()
+    assert all(r["v"] == r["w"] for r in rows) and len({r["m"] for r in rows}) == len(set(values))
+
+
+def test_chain_in_order(spark):
+    df = spark.range(4000).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    got = components(df).groupBy("root").count().collect()
+    assert [tuple(r) for r in got] == [(0, 4001)]
