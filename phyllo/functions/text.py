@@ -15,23 +15,7 @@ from pyspark.sql import types as T
 from phyllo.session import ship
 
 #: Letters that decomposition leaves whole. Fixed values.
-WHOLE = str.maketrans({"ß": "ss", "æ": "ae", "œ": "oe", "ø": "o", "đ": "d", "ð": "d", "ł": "l", "þ": "th", "ı": "i"})
-
-
-def _marks() -> str:
-    """A character class of all combining marks, by ranges."""
-    out, start = [], None
-    for code in range(0x300, 0x20001):
-        marked = code < 0x20000 and unicodedata.combining(chr(code)) > 0
-        if marked and start is None:
-            start = code
-        elif not marked and start is not None:
-            out.append(f"{chr(start)}-{chr(code - 1)}")
-            start = None
-    return f"[{''.join(out)}]+"
-
-
-MARKS, UNSPLIT = re.compile(_marks()), re.compile(f"[{''.join(map(chr, WHOLE))}]")
+WHOLE = {"ß": "ss", "æ": "ae", "œ": "oe", "ø": "o", "đ": "d", "ð": "d", "ł": "l", "þ": "th", "ı": "i"}
 SPACES = re.compile(r"\s+")
 
 
@@ -39,8 +23,11 @@ def fold(s: str) -> str:
     """Lower case without accents; compatible forms are unified, white space is left as it is."""
     if s.isascii():
         return s.lower()
-    bare = MARKS.sub("", unicodedata.normalize("NFKD", s.casefold()))
-    return bare.translate(WHOLE) if UNSPLIT.search(bare) else bare
+    bare = unicodedata.normalize("NFKD", s.casefold())
+    for c in set(bare):  # a text has few different letters, and replacing one is a quick scan
+        if c >= "\x80" and (unicodedata.combining(c) or c in WHOLE):
+            bare = bare.replace(c, WHOLE.get(c, ""))
+    return bare
 
 
 def map_distinct(df: DataFrame, column: str, alias: str, f, kind: T.DataType, keep: list[str] | None = None) -> DataFrame:
