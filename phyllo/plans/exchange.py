@@ -239,6 +239,28 @@ def scl17_picture_hash(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("id", F.bit_count("h").cast("long").alias("ones"), F.lpad(F.bin("h"), 64, "0").alias("bits"))
 
 
+def _pictures(spark: SparkSession, d: str) -> str:
+    """A folder of one small file a plant of the catalogue, by family, every fourth of them no picture by its name."""
+    path, at = _place(spark, "pictures"), F.pmod(F.length("internal_id"), F.lit(4))
+    suffix = F.when(at == 0, ".txt").when(at == 1, ".JPG").when(at == 2, ".webp").otherwise(".png")
+    own = table(spark, d, "plants").select(F.concat("family", F.lit("/"), "internal_id", suffix).alias("name"), F.encode("scientific_name", "utf-8").alias("content"))
+    sinks.write_contents(own, path)
+    return path
+
+
+@query("SELECT internal_id, family AS folder, CAST(octet_length(encode(scientific_name)) AS BIGINT) AS size FROM plants WHERE length(internal_id) % 4 <> 0")
+def src21_listed_pictures(spark: SparkSession, d: str) -> DataFrame:
+    rows = files.list_images(spark, _pictures(spark, d))
+    return rows.select(F.regexp_extract("path", r"([^/]+)\.\w+$", 1).alias("internal_id"), "folder", "size")
+
+
+@query("SELECT internal_id, sha256(scientific_name) AS checksum FROM plants WHERE octet_length(encode(scientific_name)) <= 24")
+def src20_read_pictures(spark: SparkSession, d: str) -> DataFrame:
+    """Contents and checksums of the files that are no larger than a cap of 24 bytes."""
+    rows = files.read_images(spark, _pictures(spark, d), 24)
+    return rows.select(F.regexp_extract("path", r"([^/]+)\.\w+$", 1).alias("internal_id"), "checksum")
+
+
 def recorded(asked: str, page: int) -> tuple[int, str | None, bool]:
     """A service as a test sees it: three pages a name, but one that is busy at first, one that stays so, one that is unknown."""
     if asked == "busy":

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from phyllo.operators.ingest import attributions
+from phyllo.session import ship
 from phyllo.sources.schemas import PLANT_COLUMNS, RECORD_TEXTS
 
 
@@ -86,6 +90,28 @@ def write_counts(counts: DataFrame, target: str, name: str, n: str = "n") -> Non
     replace(counts.withColumns({c: F.array_join(c, "|") for c in lists}).orderBy(F.desc(n), name), target, "csv", header=True)
 
 
+def write_contents(rows: DataFrame, target: str) -> int:
+    """Write each row (name, content) as a file of that name under ``target``, a URI; how many there are.
+
+    A task that runs again writes the same files, so what a lost executor has left does no harm.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, root = FileSystem.from_uri(target)
+        n = 0
+        for batch in batches:
+            for name, content in zip(batch.column("name").to_pylist(), batch.column("content").to_pylist()):
+                path = f"{root}/{name}"
+                system.create_dir(path.rpartition("/")[0], recursive=True)
+                with system.open_output_stream(path) as out:
+                    out.write(content)
+                n += 1
+        yield pa.RecordBatch.from_arrays([pa.array([n])], names=["n"])
+
+    ship(rows.sparkSession)
+    return rows.select("name", "content").where("name IS NOT NULL AND content IS NOT NULL").mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def write_stats(stats: DataFrame, target: str) -> None:
     replace(stats, target, "json")
 
