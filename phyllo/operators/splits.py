@@ -136,11 +136,12 @@ def soft_cap(groups: DataFrame, cap: int, salt: str) -> DataFrame:
     return ranked.withColumn("own", own).join(F.broadcast(offsets), "part").where(F.col("own") + F.col("before") < cap).select("group_id", "n")
 
 
-def slices(splits: DataFrame, indoor: DataFrame, outdoor: DataFrame, cap: int, salt: str = "slice-1") -> DataFrame:
+def slices(splits: DataFrame, indoor: DataFrame, outdoor: DataFrame, cap: int, salt: str = "slice-1", other: DataFrame | None = None) -> DataFrame:
     """(slice, path, internal_plant_id, group_id, captive) of the test rows, for a frozen benchmark.
 
     multi: groups (not blank) of two pictures or more, whole. Of all other rows: indoor, captive pictures of the classes
-    of ``indoor`` (class_id); outdoor, those of ``outdoor`` that are no indoor class; ood_plant, those of neither. A slice of more than
+    of ``indoor`` (class_id); outdoor, those of ``outdoor`` that are no indoor class; ood_plant, those of neither. ood_other are the
+    files of ``other`` (path, folder), pictures of no plant, whose group is their folder. A slice of more than
     ``cap`` rows keeps whole groups, drawn in hash order until the cap is reached; a blank group is its own path.
     """
     rows = splits.where("split = 'test'").select("path", "internal_plant_id", "captive", F.coalesce("group_id", F.lit("")).alias("group_id")).distinct()
@@ -150,8 +151,11 @@ def slices(splits: DataFrame, indoor: DataFrame, outdoor: DataFrame, cap: int, s
     rows = rows.join(multi, "group_id", "left").join(side(indoor, "_i"), "internal_plant_id", "left").join(side(outdoor, "_o"), "internal_plant_id", "left")
     kind = F.when(F.col("_m"), "multi").when(F.col("_i") & (F.col("captive") == "1"), "indoor").when(F.col("_o") & F.col("_i").isNull(), "outdoor").when(F.col("_i").isNull() & F.col("_o").isNull(), "ood_plant")
     rows = rows.withColumn("slice", kind).where("slice IS NOT NULL").withColumn("_g", F.when(F.col("group_id") != "", F.col("group_id")).otherwise(F.col("path")))
-    out = None
-    for name in ("multi", "indoor", "outdoor", "ood_plant"):
+    columns = ["slice", "path", "internal_plant_id", "group_id", "captive", "_g"]
+    rows, out = rows.select(columns), None
+    if other is not None:
+        rows = rows.unionByName(other.select(F.lit("ood_other").alias("slice"), "path", F.lit("").alias("internal_plant_id"), F.col("folder").alias("group_id"), F.lit("0").alias("captive"), F.col("folder").alias("_g")))
+    for name in ("multi", "indoor", "outdoor", "ood_plant", *(["ood_other"] if other is not None else [])):
         part = rows.where(F.col("slice") == name)
         drawn = soft_cap(part.groupBy(F.col("_g").alias("group_id")).agg(F.count("*").alias("n")), cap, f"{salt}-{name}").select(F.col("group_id").alias("_g"))
         one = part.join(drawn, "_g", "left_semi").select("slice", "path", "internal_plant_id", "group_id", "captive")

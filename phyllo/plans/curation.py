@@ -184,14 +184,17 @@ _INDOOR, _OUTDOOR = "family IN ('Paroraceae', 'Ganallaceae')", "family IN ('Gana
 @query(f"""WITH t AS (SELECT DISTINCT path, internal_plant_id, captive, coalesce(group_id, '') AS group_id FROM splits WHERE split = 'test'),
   m AS (SELECT group_id FROM t GROUP BY 1 HAVING count(*) >= 2 AND group_id <> ''), i AS (SELECT internal_id FROM plants WHERE {_INDOOR}), o AS (SELECT internal_id FROM plants WHERE {_OUTDOOR}),
   k AS (SELECT *, CASE WHEN group_id IN (SELECT group_id FROM m) THEN 'multi' WHEN internal_plant_id IN (FROM i) THEN CASE WHEN captive = '1' THEN 'indoor' END WHEN internal_plant_id IN (FROM o) THEN 'outdoor' ELSE 'ood_plant' END AS slice,
-    CASE WHEN group_id <> '' THEN group_id ELSE path END AS g FROM t),
+    CASE WHEN group_id <> '' THEN group_id ELSE path END AS g FROM t
+    UNION ALL SELECT DISTINCT path, '', '0', split_part(path, '/', 1), 'ood_other', split_part(path, '/', 1) FROM records WHERE status = 'rejected' AND path <> ''),
   n AS (SELECT slice, g, count(*) AS n FROM k WHERE slice IS NOT NULL GROUP BY ALL),
   c AS (SELECT slice, g, sum(n) OVER (PARTITION BY slice ORDER BY md5('slice-1-' || slice || ':' || g), g) - n AS before FROM n)
   SELECT slice, path, internal_plant_id, group_id, captive FROM k JOIN (SELECT slice, g FROM c WHERE before < 120) USING (slice, g)""")
 def spl08_slices(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "plants")
     side = lambda where: p.where(where).select(F.col("internal_id").alias("class_id"))
-    return splits.slices(table(spark, d, "splits"), side(_INDOOR), side(_OUTDOOR), 120)
+    rejected = table(spark, d, "records").where("status = 'rejected' AND path <> ''")  # they stand in for pictures of no plant
+    other = rejected.select("path", F.split("path", "/")[0].alias("folder")).distinct()
+    return splits.slices(table(spark, d, "splits"), side(_INDOOR), side(_OUTDOOR), 120, other=other)
 
 
 @query("SELECT internal_plant_id FROM splits GROUP BY 1 HAVING count(*) FILTER (split = 'train') >= 25 AND count(*) FILTER (split = 'val') >= 3")
@@ -286,12 +289,14 @@ def scl05_genus_epithet(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "plants").select("internal_id", names.genus_of(s).alias("genus"), names.epithet_of(s).alias("epithet"))
 
 
-@query("""SELECT license, count(*) AS n, code FROM (SELECT license, CASE
+@query("""SELECT license, n, code, CASE code WHEN 'CC0 1.0' THEN 'https://creativecommons.org/publicdomain/zero/1.0/' ELSE 'https://creativecommons.org/licenses/' || lower(split_part(code, ' ', 2)) || '/' || split_part(code, ' ', 3) || '/' END AS url,
+    NOT contains(code, 'NC') AS commercial, contains(code, 'SA') AS share_alike, NOT contains(code, 'ND') AS derivatives, coalesce(NOT contains(code, 'NC') AND NOT contains(code, 'ND') AND NOT contains(code, 'SA'), false) AS allowed
+  FROM (SELECT license, count(*) AS n, CASE
     WHEN license IN ('CC BY 4.0', 'CC_BY_4_0', 'cc-by') THEN 'CC BY 4.0' WHEN license IN ('CC0 1.0', 'cc0') THEN 'CC0 1.0' WHEN license = 'CC BY-NC 4.0' THEN 'CC BY-NC 4.0'
-    WHEN license = 'CC BY-SA 4.0' THEN 'CC BY-SA 4.0' WHEN license = 'CC BY 3.0' THEN 'CC BY 3.0' END AS code FROM records) GROUP BY ALL""")
+    WHEN license = 'CC BY-SA 4.0' THEN 'CC BY-SA 4.0' WHEN license = 'CC BY 3.0' THEN 'CC BY 3.0' END AS code FROM records GROUP BY license)""")
 def scl10_parse_license(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "records").groupBy("license").agg(F.count("*").alias("n"))
-    return rows.select("license", "n", licenses.parse_license("license")["code"].alias("code"))
+    rows = table(spark, d, "records").groupBy("license").agg(F.count("*").alias("n")).withColumn("l", licenses.parse_license("license"))
+    return rows.select("license", "n", *[F.col(f"l.{c}").alias(c) for c in ("code", "url", "commercial", "share_alike", "derivatives")], licenses.is_allowed(F.col("l")).alias("allowed"))
 
 
 @query("SELECT seq, nullif(regexp_extract(image_url, '/photos/(\\d+)/', 1), '') AS photo_id FROM records")

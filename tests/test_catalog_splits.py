@@ -128,6 +128,9 @@ def test_slices(spark):
     capped = splits.slices(df, side("a"), side("a", "b"), 1).groupBy("slice").count().collect()
     assert {r["slice"]: r["count"] for r in capped} == {"multi": 2, "indoor": 1, "outdoor": 1, "ood_plant": 1}
     assert splits.slices(df.limit(0), side(), side(), 10).count() == 0
+    more = spark.createDataFrame([("c/1.jpg", "c"), ("c/2.jpg", "c"), ("d/1.jpg", "d")], "path string, folder string")
+    other = splits.slices(df, side("a"), side("a", "b"), 1, other=more).where("slice = 'ood_other'").groupBy("group_id").count().collect()
+    assert len(other) == 1 and tuple(other[0]) in {("c", 2), ("d", 1)}
 
 
 def test_running_quota_and_shards(spark):
