@@ -171,8 +171,8 @@ def _merge_long(words: DataFrame, path: str) -> DataFrame:
     return words.select("word").mapInArrow(run, "word string, ids array<int>")
 
 
-def words_of(text: Column | str) -> Column:
-    return F.regexp_extract_all(F.col(text) if isinstance(text, str) else text, F.lit(PATTERN), F.lit(0))
+def words_of(text: Column | str, pattern: str = PATTERN) -> Column:
+    return F.regexp_extract_all(F.col(text) if isinstance(text, str) else text, F.lit(pattern), F.lit(0))
 
 
 def _rank_row(spark: SparkSession, path: str) -> DataFrame:
@@ -213,14 +213,14 @@ def _look_up(words: pa.ListArray, known: pa.Array, starts: np.ndarray, flat: np.
     return pa.ListArray.from_arrays(pa.array(to[at].astype(np.int32)), pa.array(out)), pa.ListArray.from_arrays(pa.array(seen[at].astype(np.int32)), own.filter(pa.array(rare)))
 
 
-def encode(documents: DataFrame, path: str | None = None, key: str = "doc_id", text: str = "text", frequent: int = FREQUENT) -> DataFrame:
-    """(key, ids) of every row of documents.
+def encode(documents: DataFrame, path: str | None = None, key: str = "doc_id", text: str = "text", frequent: int = FREQUENT, pattern: str = PATTERN) -> DataFrame:
+    """(key, ids) of every row of documents; pattern: how the vocabulary cuts texts into words, as a Java pattern that takes every character.
 
     The ``frequent`` commonest words (of 32 characters at most, so a few MB) are broadcast and looked up where the text is;
     only the other words are shuffled to their ids, and only the rows that hold one wait for them.
     """
     path = path or vocabulary()
-    words = documents.select(F.explode(words_of(text)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    words = documents.select(F.explode(words_of(text, pattern)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     words = materialize(words, "words")
     encoded = materialize(encode_vocabulary(words.select("word"), path), "encoded")
     short = encoded.join(words, "word").where(F.length("word") <= 32).orderBy(F.desc("n"), "word").limit(frequent).select("word", "ids").collect()
@@ -239,7 +239,7 @@ def encode(documents: DataFrame, path: str | None = None, key: str = "doc_id", t
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("key"), ids, rare], names=["row", "key", "ids", "rare"])
 
     # rows are told apart by their place in the scan, so repeated keys or rows don't run together
-    rows = documents.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.coalesce(words_of(text), F.array().cast("array<string>")).alias("words"))
+    rows = documents.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.coalesce(words_of(text, pattern), F.array().cast("array<string>")).alias("words"))
     ship(documents.sparkSession)
     kind = documents.schema[key].dataType.simpleString()
     placed = materialize(rows.mapInArrow(run, f"row long, key {kind}, ids array<int>, rare array<string>"), "placed")

@@ -106,6 +106,14 @@ def test_bpe(spark):
     assert bpe.encode(df.limit(0)).count() == 0
 
 
+def test_another_pattern(spark):
+    tiktoken = pytest.importorskip("tiktoken")
+    encoding = tiktoken.Encoding("own", pat_str=r"\d|\D+", mergeable_ranks=bpe.read_ranks(bpe.vocabulary()), special_tokens={})
+    texts = ["room 1204 is warm", "77", "no number"]
+    got = bpe.encode(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), pattern=r"[0-9]|[^0-9]+").collect()
+    assert {r["doc_id"]: r["ids"] for r in got} == {i: encoding.encode_ordinary(t) for i, t in enumerate(texts)}
+
+
 def test_long_words():
     ranks = bpe.read_ranks(bpe.vocabulary())
     tiktoken = pytest.importorskip("tiktoken")
