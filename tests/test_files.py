@@ -23,11 +23,11 @@ def test_manifest_round_trip(spark, tmp_path):
 
 def test_plants_round_trip(spark, tmp_path):
     head = "internal_id,scientific_name,genus,epithet,family,common_fr,common_en,common_de,common_it,synonyms,gbif_key,wikidata_id,plantnet_id,image"
-    (tmp_path / "plants.csv").write_text(head + '\n,"Monstera deliciosa Liebm.",,,Araceae,,"cheese, plant",,,"A b | |C d",12,,,\nx,,,,,,,,,,,,,\n', encoding="utf-8")
+    (tmp_path / "plants.csv").write_text(head + '\n,"Tazela ruvora Bo",,,Tazaceae,,"red, moon",,,"A b | |C d",12,,,\nx,,,,,,,,,,,,,\n', encoding="utf-8")
     p = files.read_plants(spark, str(tmp_path / "plants.csv"))
     r = p.collect()
     assert len(r) == 1
-    assert (r[0]["internal_id"], r[0]["scientific_name"], r[0]["common_names"], r[0]["synonyms"], r[0]["gbif_key"], r[0]["image"]) == ("monstera-deliciosa", "Monstera deliciosa", {"en": "cheese, plant"}, ["A b", "C d"], 12, None)
+    assert (r[0]["internal_id"], r[0]["scientific_name"], r[0]["common_names"], r[0]["synonyms"], r[0]["gbif_key"], r[0]["image"]) == ("tazela-ruvora", "Tazela ruvora", {"en": "red, moon"}, ["A b", "C d"], 12, None)
     sinks.write_plants(p, str(tmp_path / "out"))
     assert [x.asDict() for x in files.read_plants(spark, str(tmp_path / "out")).collect()] == [x.asDict() for x in r]
 
